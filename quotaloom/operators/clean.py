@@ -148,6 +148,26 @@ def dim_date(spark: SparkSession, start: str = "2023-01-01", end: str = "2024-12
     )
 
 
+def dim_date_between(bounds: DataFrame) -> DataFrame:
+    """TR8 over a span taken from data: ``bounds`` is one row with DATE columns start, end.
+
+    The day list is generated from that single row; its length is the calendar span
+    (a few thousand days), not the data volume.
+    """
+    days = bounds.select(F.explode(F.sequence(F.col("start"), F.col("end"))).alias("d"))
+    d = F.col("d")
+    return days.select(
+        F.date_format(d, "yyyy-MM-dd").alias("date_id"),
+        F.year(d).alias("year"),
+        F.quarter(d).alias("quarter"),
+        F.month(d).alias("month"),
+        F.date_format(d, "MMMM").alias("month_name"),
+        F.weekofyear(d).alias("week"),
+        F.weekday(d).alias("day_of_week"),
+        (F.weekday(d) < 5).cast("int").alias("is_weekday"),
+    )
+
+
 def dq_row_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """TR9: per dataset rows in, rows out, dropped — one aggregate over a tagged union."""
     parts = []

@@ -10,14 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.exprs import iso_date_text
-from ..operators import kpis
+from ..functions.exprs import iso_date_text, rnd
+from ..functions.joins import small
+from ..operators import clean, derive, experiments as ab, forecast as fc, kpis, measures as M, reports as rp
+from ..sources import testdata
 from .warehouse import Warehouse, from_testdata
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# Fixed parameters of the registered forecasting queries.
+HOLT_ALPHA = 0.5
+HOLT_BETA = 0.3
+HORIZON = 3
+# As-of date of the lifecycle rule on the driver tables.
+LIFECYCLE_AS_OF = "2000-06-30"
+
 
 def register(name: str):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
@@ -30,6 +40,198 @@ def register(name: str):
     return deco
 
 
-@register("win_rate_rep_month")
-def _k1(w: Warehouse) -> DataFrame:
+def model(w: Warehouse) -> M.Model:
+    return M.Model(w.opportunities, w.revenue, w.quotas, w.forecasts, w.reps, w.dates)
+
+
+# ── 2.2 cleansing ────────────────────────────────────────────
+register("clean_reps")(lambda w: w.reps)
+register("clean_opportunities")(lambda w: w.opportunities)
+register("clean_revenue")(lambda w: w.revenue)
+register("clean_quotas")(lambda w: w.quotas)
+register("clean_forecasts")(lambda w: w.forecasts)
+register("clean_products")(lambda w: w.products)
+register("clean_campaigns")(lambda w: w.campaigns)
+register("dim_date")(lambda w: w.dates)
+
+
+@register("dq_row_counts")
+def _dq_counts(w: Warehouse) -> DataFrame:
+    return clean.dq_row_counts({
+        "reps": (w.raw("reps"), w.reps), "opportunities": (w.raw("opportunities"), w.opportunities),
+        "revenue": (w.raw("revenue"), w.revenue), "quotas": (w.raw("quotas"), w.quotas),
+        "forecasts": (w.raw("forecasts"), w.forecasts), "products": (w.raw("products"), w.products),
+        "campaigns": (w.raw("campaigns"), w.campaigns)})
+
+
+@register("dq_constraints")
+def _dq_constraints(w: Warehouse) -> DataFrame:
+    return clean.dq_constraints(w.tables())
+
+
+# ── 2.3 derivations ──────────────────────────────────────────
+register("derive_bookings")(lambda w: derive.derive_bookings(w.opportunities))
+register("quota_spine")(lambda w: w.raw("quotas"))
+register("forecast_baseline")(lambda w: derive.forecast_baseline(w.revenue))
+
+
+@register("opp_lifecycle")
+def _lifecycle(w: Warehouse) -> DataFrame:
+    li = testdata.table(w.spark, w.source, "lineitem")
+    od = testdata.table(w.spark, w.source, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    base = j.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("opportunity_id"),
+        F.col("l_suppkey").alias("rep_id"), F.col("o_orderdate").cast("date").alias("created_date"),
+        F.col("l_shipdate").cast("date").alias("planned_close_date"),
+        (F.col("l_returnflag") == "A").cast("int").alias("wins"),
+        F.when(F.col("l_returnflag") == "N", "Prospecting").when(F.col("l_returnflag") == "R", "Proposal")
+        .otherwise("Negotiation").alias("open_stage"),
+        F.round(F.col("l_discount") * 1000.0).alias("open_probability"))
+    return derive.opp_lifecycle(base, LIFECYCLE_AS_OF)
+
+
+@register("source_profile")
+def _profile(w: Warehouse) -> DataFrame:
+    return derive.source_profile(w.raw("reps"), w.raw("opportunities"), w.raw("revenue"), w.raw("quotas"),
+                                 w.raw("forecasts"), {"products": w.raw("products"), "campaigns": w.raw("campaigns")})
+
+
+# ── 2.4 KPIs ─────────────────────────────────────────────────
+register("win_rate_rep_month")(lambda w: kpis.win_rate(w.opportunities, w.reps, "rep_month"))
+register("win_rate_region_month")(lambda w: kpis.win_rate(w.opportunities, w.reps, "region_month"))
+register("win_rate_overall")(lambda w: kpis.win_rate(w.opportunities, w.reps, "overall"))
+register("win_rate_sql")(lambda w: kpis.win_rate_sql(w.opportunities, w.reps))
+register("pipeline_velocity")(lambda w: kpis.pipeline_velocity(w.opportunities, w.reps))
+register("pipeline_velocity_sql")(lambda w: kpis.pipeline_velocity_sql(w.opportunities, w.reps))
+register("quota_attainment")(lambda w: kpis.quota_attainment(w.quotas, w.reps, w.revenue))
+register("quota_attainment_sql")(lambda w: kpis.quota_attainment(w.quotas, w.reps, w.revenue, False, False))
+register("forecast_accuracy")(lambda w: kpis.forecast_accuracy(w.forecasts, w.reps, w.revenue))
+register("forecast_accuracy_sql")(lambda w: kpis.forecast_accuracy_sql(w.forecasts, w.reps, w.revenue))
+register("mom_variance")(lambda w: kpis.mom_variance(w.revenue))
+register("mom_variance_sql")(lambda w: kpis.mom_variance_sql(w.revenue))
+register("territory_performance")(lambda w: kpis.territory_performance(w.opportunities, w.reps))
+register("territory_summary_fanout")(lambda w: kpis.territory_summary_fanout(w.opportunities, w.reps, w.revenue))
+register("cycle_by_stage_product")(lambda w: kpis.cycle_by_stage_product(w.opportunities, w.products))
+register("exec_kpi_summary")(lambda w: kpis.exec_kpi_summary(w.opportunities, w.reps, w.revenue, w.quotas))
+register("exec_kpi_summary_corrected")(
+    lambda w: kpis.exec_kpi_summary_corrected(w.opportunities, w.reps, w.revenue, w.quotas))
+register("pipeline_health")(lambda w: kpis.pipeline_health(w.opportunities, w.reps))
+register("campaign_performance")(lambda w: kpis.campaign_performance(w.opportunities, w.campaigns))
+register("monthly_revenue")(lambda w: kpis.monthly_revenue(w.revenue))
+register("total_revenue")(lambda w: kpis.total_revenue(w.revenue))
+
+
+# ── 2.5 experiments ──────────────────────────────────────────
+def _abd(w: Warehouse) -> DataFrame:
+    return ab.ab_dataset(w.opportunities, w.campaigns)
+
+
+register("ab_dataset")(_abd)
+register("ab_welch_ttest")(lambda w: ab.ab_welch_ttest(_abd(w)))
+register("ab_welch_ttest_p")(lambda w: ab.ab_welch_ttest_p(_abd(w)))
+register("ab_chi_square")(lambda w: ab.ab_chi_square(_abd(w)))
+register("ab_chi_square_p")(lambda w: ab.ab_chi_square_p(_abd(w)))
+register("ab_effect_size")(lambda w: ab.ab_effect_size(_abd(w)))
+register("campaign_summary")(lambda w: ab.campaign_summary(_abd(w)))
+register("ab_report")(lambda w: ab.ab_report(_abd(w)))
+
+
+@register("ab_tests_grouped")
+def _ab_grouped(w: Warehouse) -> DataFrame:
+    d = w.opportunities.filter(F.col("is_closed") == 1).select("rep_id", "deal_value", "is_won", "campaign_id")
+    d = d.join(w.campaigns.select("campaign_id", "campaign_type"), "campaign_id").join(
+        w.reps.select("rep_id", "region"), "rep_id")
+    return ab.ab_tests_grouped(d, ["region"])
+
+
+# ── 2.6 forecasting ──────────────────────────────────────────
+def region_monthly(w: Warehouse) -> DataFrame:
+    """Revenue per (region, month): aggregated per (rep, month) before the rep join."""
+    pre = kpis.revenue_by_rep_month(w.revenue)
+    j = pre.join(small(w.reps.select("rep_id", "region")), "rep_id")
+    return j.groupBy("region", "month_year").agg(F.sum("rev").alias("revenue"))
+
+
+def _holt(w: Warehouse) -> DataFrame:
+    return fc.holt_fixed(region_monthly(w), ["region"], "revenue", HOLT_ALPHA, HOLT_BETA)
+
+
+@register("holt_fixed")
+def _holt_fixed(w: Warehouse) -> DataFrame:
+    h = _holt(w)
+    return h.select("region", "month_year", "y", *[rnd(c, 2).alias(c) for c in ("fitted", "level", "trend")])
+
+
+register("holt_forecast")(lambda w: fc.holt_forecast(region_monthly(w), ["region"], "revenue", HORIZON))
+register("holt_forecast_total")(lambda w: fc.holt_forecast(w.revenue, [], "revenue", HORIZON))
+register("forecast_metrics")(lambda w: fc.forecast_metrics(_holt(w), ["region"], HOLT_ALPHA))
+register("forecast_horizon")(lambda w: fc.forecast_horizon(_holt(w), ["region"], HORIZON))
+register("forecast_chart_data")(lambda w: fc.forecast_chart_data(_holt(w), ["region"], HORIZON))
+
+
+# ── 2.7 measures ─────────────────────────────────────────────
+def _measure(name: str, grain: list[str]):
+    register(f"m_{name}")(lambda w: M.evaluate(model(w), grain, [name]))
+
+
+_measure("total_revenue", ["region", "month_year"])
+_measure("win_rate", ["region"])
+_measure("quota_attainment", ["region", "month_year"])
+_measure("pipeline_velocity", ["region"])
+_measure("forecast_accuracy", ["region", "month_year"])
+_measure("avg_sales_cycle_days", ["territory"])
+_measure("weighted_pipeline", ["territory"])
+_measure("revenue_vs_quota", ["region", "month_year"])
+_measure("attainment_band", ["rep_name"])
+_measure("closed_won_count", ["region"])
+_measure("open_pipeline_count", ["region"])
+_measure("attainment_color", ["territory"])
+register("m_mom_variance_pct")(lambda w: M.mom_variance_pct(model(w)))
+register("m_running_total_revenue")(lambda w: M.running_total_revenue(model(w), ["region"]))
+
+
+# ── 2.8 dashboard / report datasets ──────────────────────────
+def _k1(w):
     return kpis.win_rate(w.opportunities, w.reps, "rep_month")
+
+
+def _k3(w):
+    return kpis.quota_attainment(w.quotas, w.reps, w.revenue)
+
+
+def _k4(w):
+    return kpis.forecast_accuracy(w.forecasts, w.reps, w.revenue)
+
+
+def _k5(w):
+    return kpis.mom_variance(w.revenue)
+
+
+def _k6(w):
+    return kpis.territory_performance(w.opportunities, w.reps)
+
+
+register("pq_win_rate")(lambda w: rp.pq_win_rate(_k1(w)))
+register("pq_mom_flag")(lambda w: rp.pq_mom_flag(_k5(w)))
+register("pq_quota_band")(lambda w: rp.pq_quota_band(_k3(w)))
+register("pq_dim_date")(lambda w: rp.pq_dim_date(w.dates))
+register("pq_revenue_with_rep")(lambda w: rp.pq_revenue_with_rep(w.revenue, w.reps))
+register("dash_funnel")(lambda w: rp.dash_funnel(w.opportunities))
+register("dash_deal_scatter")(lambda w: rp.dash_deal_scatter(w.opportunities, w.reps))
+register("dash_open_by_territory")(lambda w: rp.dash_open_by_territory(model(w)))
+register("dash_region_matrix")(lambda w: rp.dash_region_matrix(w.opportunities, w.revenue, w.reps))
+register("dash_top10_reps")(lambda w: rp.dash_top10_reps(w.revenue, w.reps))
+register("dash_attainment_heatmap")(lambda w: rp.dash_attainment_heatmap(model(w)))
+register("dash_win_by_campaign_type")(lambda w: rp.dash_win_by_campaign_type(w.opportunities, w.campaigns))
+register("dash_deal_by_campaign")(lambda w: rp.dash_deal_by_campaign(w.opportunities, w.campaigns))
+register("dash_exec_cards")(lambda w: rp.dash_exec_cards(model(w)))
+register("dash_rep_attainment_bar")(lambda w: rp.dash_rep_attainment_bar(model(w)))
+register("dash_revenue_trend")(lambda w: rp.dash_revenue_trend(model(w)))
+register("report_summary")(lambda w: rp.report_summary(_k1(w), _k3(w), _k4(w), w.revenue))
+register("report_revenue_12m")(lambda w: rp.report_revenue_12m(_k5(w)))
+register("report_winrate_12m")(lambda w: rp.report_winrate_12m(_k1(w)))
+register("report_territory_top8")(lambda w: rp.report_territory_top8(_k6(w)))
+register("report_top_performer")(lambda w: rp.report_top_performer(_k1(w)))
+register("report_cards")(lambda w: rp.report_cards(_k1(w), _k3(w), _k6(w), w.revenue))
+register("report_findings")(lambda w: rp.report_findings(_k5(w), _k1(w), _k3(w), _k4(w), _k6(w)))

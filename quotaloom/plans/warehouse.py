@@ -91,7 +91,9 @@ class Warehouse:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return clean.dim_date(self.spark, self.first_day, self.last_day)
+        if self.kind == "extracts":
+            return clean.dim_date(self.spark, self.first_day, self.last_day)
+        return clean.dim_date_between(testdata.date_bounds(self.spark, self.source))
 
     def tables(self) -> dict[str, DataFrame]:
         return {

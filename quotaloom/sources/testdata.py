@@ -111,3 +111,13 @@ def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount",
                  "l_tax", "l_returnflag", "l_linestatus").alias("_seq"),
     )
+
+
+def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar span of the data: 1 January of the first order year to 31 December of
+    the last ship year (one row: start, end)."""
+    o = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("lo"), F.lit(1).alias("_one"))
+    li = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("hi"), F.lit(1).alias("_one"))
+    return o.join(li, "_one").select(
+        F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("start"),
+        F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("end"))
