@@ -122,9 +122,9 @@ def to_date_lenient(df: DataFrame, name: str) -> Column:
         return c.cast("date")
     s = null_tokens(strip(c.cast("string")))
     return F.coalesce(
-        F.try_to_date(s, F.lit("yyyy-MM-dd")),
-        F.try_to_date(s, F.lit("yyyy/MM/dd")),
-        F.try_to_date(s, F.lit("MM/dd/yyyy")),
+        F.try_to_date(s, "yyyy-MM-dd"),
+        F.try_to_date(s, "yyyy/MM/dd"),
+        F.try_to_date(s, "MM/dd/yyyy"),
         F.to_date(F.try_to_timestamp(s)),
     )
 

@@ -28,7 +28,7 @@ ADAPTER_LAST_DAY = "2001-12-31"
 class Warehouse:
     spark: SparkSession
     source: str
-    kind: str = "testdata"  # or "extracts"
+    kind: str = "testdata"  # or "extracts" (CSV landing) or "tables" (a written warehouse)
     first_day: str = ADAPTER_FIRST_DAY
     last_day: str = ADAPTER_LAST_DAY
     _raw: dict = field(default_factory=dict)
@@ -40,6 +40,8 @@ class Warehouse:
         return self._raw[name]
 
     def _build_raw(self, name: str) -> DataFrame:
+        if self.kind == "tables":
+            raise KeyError(f"a stored warehouse has no raw extract {name!r}")
         if self.kind == "extracts":
             return landing.read_extract(self.spark, self.source, name)
         sp, d = self.spark, self.source
@@ -63,38 +65,57 @@ class Warehouse:
     # ── processed tables ─────────────────────────────────────
     @cached_property
     def reps(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("dim_reps")
         return clean.clean_reps(self.raw("reps"))
 
     @cached_property
     def products(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("dim_products")
         return clean.clean_products(self.raw("products"))
 
     @cached_property
     def campaigns(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("dim_campaigns")
         return clean.clean_campaigns(self.raw("campaigns"))
 
     @cached_property
     def opportunities(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("fact_opportunities")
         return clean.clean_opportunities(self.raw("opportunities"))
 
     @cached_property
     def revenue(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("fact_revenue")
         return clean.clean_revenue(self.raw("revenue"))
 
     @cached_property
     def quotas(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("fact_quotas")
         return clean.clean_quotas(self.raw("quotas"))
 
     @cached_property
     def forecasts(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("fact_forecasts")
         return clean.clean_forecasts(self.raw("forecasts"))
 
     @cached_property
     def dates(self) -> DataFrame:
+        if self.kind == "tables":
+            return self._stored("dim_date")
         if self.kind == "extracts":
             return clean.dim_date(self.spark, self.first_day, self.last_day)
         return clean.dim_date_between(testdata.date_bounds(self.spark, self.source))
 
+    def _stored(self, table: str) -> DataFrame:
+        return landing.read_processed(self.spark, self.source, table)
+
     def tables(self) -> dict[str, DataFrame]:
         return {
             "dim_reps": self.reps, "dim_products": self.products, "dim_campaigns": self.campaigns,

@@ -39,11 +39,12 @@ def read_extract(spark: SparkSession, raw_dir: str, name: str, path: str | None
 
 
 def read_processed(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """IO4: a processed table by name, with its contract schema."""
+    """IO4: a processed table by name. Parquet carries its own schema (ids keep their
+    landed type); CSV is read with the table contract."""
     path = f"{root.rstrip('/')}/{name}"
     if fmt == "csv":
         return spark.read.schema(PROCESSED[name]).option("header", True).csv(path)
-    return spark.read.schema(PROCESSED[name]).parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_export(spark: SparkSession, root: str, name: str) -> DataFrame:
