@@ -17,20 +17,29 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer estimate of the plan's output size in bytes (no job is run)."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # Spark Connect or unavailable stats
         return None
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT))
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def parse_bytes(text: str | None, default: int = DEFAULT_LIMIT) -> int:
+    """'10485760b', '10m', '1g', '-1' → bytes (≤ 0 means broadcasting is off)."""
+    if not text:
+        return default
+    t = str(text).strip().lower()
+    num = t.rstrip("bkmg")
+    unit = t[len(num):]
     try:
-        v = int(str(raw).lower().rstrip("b").replace("m", "")) if raw else DEFAULT_LIMIT
-        if str(raw).lower().endswith(("m", "mb")):
-            v *= 1024 * 1024
-        return v if v > 0 else 0
+        return int(float(num) * _UNITS.get(unit, 1))
     except ValueError:
-        return DEFAULT_LIMIT
+        return default
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT)))
 
 
 def small(df: DataFrame, limit: int | None = None) -> DataFrame:

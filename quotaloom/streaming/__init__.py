@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline has no stream, watermark, window-over-time or state: every run
+is a full refresh of all extracts (see ``plans.jobs.etl_job``). Nothing here is needed
+to match it; the batch jobs are idempotent full replaces and can be re-run after any
+failure.
+"""
