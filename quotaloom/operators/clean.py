@@ -200,9 +200,10 @@ def dq_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
         if child not in tables or parent not in tables:
             continue
         keys = small(tables[parent].select(F.col(pc).alias("_k")).distinct())
-        orphans = (tables[child].select(c).filter(F.col(c).isNotNull())
-                   .join(keys, F.col(c) == F.col("_k"), "left_anti")
-                   .agg(F.count(F.lit(1)).cast("bigint").alias("violations")))
+        # count child rows per key first: a hot key is one row before the anti join
+        per_key = tables[child].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = (per_key.join(keys, F.col(c) == F.col("_k"), "left_anti")
+                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")))
         parts.append(orphans.select(F.lit(child).alias("table_name"), F.lit("foreign_key").alias("rule"),
                                     F.lit(f"{c}->{parent}").alias("column_name"), "violations"))
     out = parts[0]

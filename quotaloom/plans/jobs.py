@@ -28,8 +28,10 @@ RAW_OF = {"dim_reps": "reps", "dim_products": "products", "dim_campaigns": "camp
 PARTITIONS = {"fact_revenue": ["month_year"], "fact_quotas": ["month_year"], "fact_forecasts": ["month_year"]}
 
 
-def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata", fmt: str = "parquet") -> DataFrame:
-    """IO14: extract → transform → load, full replace. Returns the DQ row-count table."""
+def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata", fmt: str = "parquet",
+            timings: dict | None = None) -> DataFrame:
+    """IO14: extract → transform → load, full replace. Returns the DQ row-count table;
+    ``timings`` (if given) receives seconds per table write."""
     started = time.time()
     w = from_testdata(spark, source) if kind == "testdata" else from_extracts(spark, source)
     stored = Warehouse(spark, dst, "tables")
@@ -58,7 +60,10 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
             df = df.observe(out, F.count(F.lit(1)).alias("rows"))
         else:
             df = w.dates
+        t0 = time.time()
         sinks.write_table(df, f"{dst.rstrip('/')}/{table}", "replace", fmt, PARTITIONS.get(table))
+        if timings is not None:
+            timings[table] = round(time.time() - t0, 3)
     rows = [(k, int(v["in"].get["rows"]), int(v["out"].get["rows"])) for k, v in counts.items()]
     dq = spark.createDataFrame(rows, "label string, rows_in bigint, rows_out bigint")
     dq = dq.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
@@ -124,6 +129,16 @@ def report_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
     return sinks.publish(sheets, out, "csv")
 
 
+def create_schema(spark: SparkSession, location: str, fmt: str = "parquet") -> list[str]:
+    """IO6: declare the eight processed tables in the catalog (CREATE TABLE IF NOT EXISTS)
+    at ``location``/<table>, with the contract schemas. Declared keys are checked by the
+    DQ job (``dq_constraints``), not enforced on write."""
+    from ..sources.schemas import PROCESSED, ddl
+    for name in PROCESSED:
+        spark.sql(f"{ddl(name, fmt)} LOCATION '{location.rstrip('/')}/{name}'")
+    return list(PROCESSED)
+
+
 def create_views(spark: SparkSession, w: Warehouse) -> list[str]:
     """IO6/IO7: processed tables and the three reporting views in the session catalog."""
     for name, df in w.tables().items():

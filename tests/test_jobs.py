@@ -58,3 +58,18 @@ def test_csv_landing_keeps_first_in_file_order(spark, tmp_out):
     assert [r.campaign_type for r in w.campaigns.orderBy("campaign_id").collect()] == ["A", "B"]
     sinks.write_table(w.reps, tmp_out + "/out/reps", "replace", "csv")
     assert spark.read.option("header", True).csv(tmp_out + "/out/reps").count() == 2
+
+
+def test_create_schema_and_report_job(spark, tmp_out):
+    names = jobs.create_schema(spark, tmp_out + "/decl")
+    assert "fact_revenue" in names
+    cols = [r.col_name for r in spark.sql("DESCRIBE TABLE dim_reps").collect()]
+    assert cols[:6] == ["rep_id", "rep_name", "region", "territory", "manager", "hire_date"]
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+    jobs.etl_job(spark, SF, tmp_out + "/wh")
+    jobs.report_job(spark, tmp_out + "/wh", tmp_out + "/rep")
+    q = spark.read.option("header", True).csv(tmp_out + "/rep/quota_attainment")
+    assert "attainment_band" not in q.columns
+    s = spark.read.option("header", True).csv(tmp_out + "/rep/executive_summary")
+    assert s.count() == 5
