@@ -182,20 +182,30 @@ def dq_row_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame
 
 
 def dq_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """TR10: violations of the declared PK / NOT NULL / FK constraints, per table and rule."""
+    """TR10: violations of the declared PK / NOT NULL / FK constraints, per table and rule.
+
+    One pass per table: group by the primary key once (partial aggregation), counting the
+    rows and the nulls of every NOT NULL column per key; a second tiny aggregate gives the
+    duplicate-key rows and the null counts. FK checks count child rows per key before the
+    anti join, so a hot key is a single row there.
+    """
     parts = []
     for t, pk in PRIMARY_KEYS.items():
         if t not in tables:
             continue
-        df = tables[t]
-        dup = (df.groupBy(pk).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-               .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")))
-        parts.append(dup.select(F.lit(t).alias("table_name"), F.lit("primary_key").alias("rule"),
-                                F.lit(pk).alias("column_name"), "violations"))
-        for c in [pk, *NOT_NULL.get(t, [])]:
-            nn = df.agg(F.count(F.when(F.col(c).isNull(), 1)).cast("bigint").alias("violations"))
-            parts.append(nn.select(F.lit(t).alias("table_name"), F.lit("not_null").alias("rule"),
-                                   F.lit(c).alias("column_name"), "violations"))
+        cols = [pk, *NOT_NULL.get(t, [])]
+        per_key = tables[t].groupBy(pk).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_null_{i}") for i, c in enumerate(cols)])
+        tot = per_key.agg(
+            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("_dup"),
+            *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).cast("bigint").alias(f"_null_{i}") for i in range(len(cols))])
+        rules = [F.struct(F.lit("primary_key").alias("rule"), F.lit(pk).alias("column_name"),
+                          F.col("_dup").alias("violations"))]
+        rules += [F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("column_name"),
+                           F.col(f"_null_{i}").alias("violations")) for i, c in enumerate(cols)]
+        parts.append(tot.select(F.lit(t).alias("table_name"), F.explode(F.array(*rules)).alias("_r"))
+                     .select("table_name", "_r.rule", "_r.column_name", "_r.violations"))
     for child, c, parent, pc in FOREIGN_KEYS:
         if child not in tables or parent not in tables:
             continue
