@@ -82,7 +82,7 @@ def dash_region_matrix(opps: DataFrame, revenue: DataFrame, reps: DataFrame) ->
     j = r.join(o, "rep_id", "full_outer").join(small(reps.select("rep_id", "region", "territory")), "rep_id")
     g = j.rollup("region", "territory").agg(
         F.sum("rev").cast("double").alias("total_revenue"), F.sum("won").alias("won"), F.sum("closed").alias("closed"),
-        F.grouping_id().alias("level"))
+        F.grouping_id().cast("int").alias("level"))
     return g.select("region", "territory", "level", "total_revenue", "won", "closed",
                     divide_or("won", "closed", 0.0).alias("win_rate"))
 
