@@ -20,6 +20,37 @@ from ..functions.joins import small
 
 REP_ATTRS = ["rep_id", "rep_name", "region", "territory"]
 
+# Output order of each result when it is exported (the reference's ORDER BY clauses).
+# Query results stay unordered: a global sort is a range-partitioning job plus a stage,
+# and order is only observable in the exported files, so jobs sort right before writing.
+EXPORT_ORDER = {
+    "win_rate": ["month_year", "-win_rate"],
+    "win_rate_region_month": ["month_year", "region"],
+    "win_rate_sql": ["-month_year", "-win_rate"],
+    "pipeline_velocity": ["month_year", "region"],
+    "pipeline_velocity_sql": ["-month_year", "-pipeline_velocity"],
+    "quota_attainment": ["-month_year", "-quota_attainment"],
+    "quota_attainment_sql": ["-month_year", "-quota_attainment"],
+    "forecast_accuracy": ["-month_year"],
+    "forecast_accuracy_sql": ["-month_year"],
+    "monthly_revenue": ["month_year"],
+    "mom_variance": ["month_year"],
+    "mom_variance_sql": ["month_year"],
+    "territory_perf": ["-total_revenue"],
+    "territory_summary_fanout": ["-total_revenue"],
+    "cycle_by_stage_product": ["category", "-avg_days"],
+    "pq_win_rate": ["-month_date"],
+    "pq_mom_flag": ["month_date"],
+    "dash_funnel": ["stage_order"],
+}
+
+
+def for_export(name: str, df: DataFrame) -> DataFrame:
+    """``df`` in its exported order (unchanged when the dataset has none)."""
+    if name not in EXPORT_ORDER:
+        return df
+    return df.orderBy(*[F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in EXPORT_ORDER[name]])
+
 
 def _reps(reps: DataFrame, *cols: str) -> DataFrame:
     return small(reps.select("rep_id", *cols))
@@ -49,18 +80,12 @@ def win_rate(opps: DataFrame, reps: DataFrame, granularity: str = "rep_month", w
     attrs = [c for c in grain if c in ("rep_name", "region", "territory")]
     j = pre.join(_reps(reps, *attrs), "rep_id")
     g = j.groupBy(*grain).agg(F.sum("n").alias("total_closed"), F.sum("won").cast("bigint").alias(won_name))
-    g = g.withColumn("win_rate", rnd(safe_div(won_name, "total_closed"), 4))
-    if granularity == "rep_month":
-        return g.orderBy(F.col("month_year").asc(), F.col("win_rate").desc())
-    if granularity == "region_month":
-        return g.orderBy("month_year", "region")
-    return g
+    return g.withColumn("win_rate", rnd(safe_div(won_name, "total_closed"), 4))
 
 
 def win_rate_sql(opps: DataFrame, reps: DataFrame) -> DataFrame:
     """K1s: the SQL sibling (column total_won, month descending)."""
-    g = win_rate(opps, reps, "rep_month", won_name="total_won")
-    return g.orderBy(F.col("month_year").desc(), F.col("win_rate").desc())
+    return win_rate(opps, reps, "rep_month", won_name="total_won")
 
 
 # ── K2 pipeline velocity ─────────────────────────────────────
@@ -87,7 +112,7 @@ def pipeline_velocity(opps: DataFrame, reps: DataFrame) -> DataFrame:
                  rnd("avg_days", 1).alias("avg_cycle_days"))
     g = g.filter(F.col("avg_cycle_days") > 0)
     v = F.col("num_opportunities") * F.col("win_rate") * F.col("avg_deal_size") / F.col("avg_cycle_days")
-    return g.withColumn("pipeline_velocity", rnd(v, 2)).orderBy("month_year", "region")
+    return g.withColumn("pipeline_velocity", rnd(v, 2))
 
 
 def pipeline_velocity_sql(opps: DataFrame, reps: DataFrame) -> DataFrame:
@@ -96,8 +121,7 @@ def pipeline_velocity_sql(opps: DataFrame, reps: DataFrame) -> DataFrame:
     v = F.col("num_opportunities") * F.col("wr") * F.col("avg_deal") / F.when(F.col("avg_days") != 0, F.col("avg_days"))
     return g.select("region", "month_year", "num_opportunities", rnd("avg_deal", 2).alias("avg_deal_size"),
                     rnd("wr", 4).alias("win_rate"), rnd("avg_days", 1).alias("avg_cycle_days"),
-                    rnd(v, 2).alias("pipeline_velocity")).orderBy(F.col("month_year").desc(),
-                                                                  F.col("pipeline_velocity").desc())
+                    rnd(v, 2).alias("pipeline_velocity"))
 
 
 # ── K3 / K4 quota and forecast vs revenue ────────────────────
@@ -118,7 +142,7 @@ def quota_attainment(quotas: DataFrame, reps: DataFrame, revenue: DataFrame, wit
                    rnd(safe_div("_act", "quota_amount"), 4).alias("quota_attainment"))
     if with_band:
         out = out.withColumn("attainment_band", kpi_band("quota_attainment"))
-    return out.orderBy(F.col("month_year").desc(), F.col("quota_attainment").desc())
+    return out
 
 
 def forecast_accuracy(forecasts: DataFrame, reps: DataFrame, revenue: DataFrame) -> DataFrame:
@@ -132,7 +156,7 @@ def forecast_accuracy(forecasts: DataFrame, reps: DataFrame, revenue: DataFrame)
                  "actual_revenue", err.alias("abs_error"))
     ratio = safe_div("abs_error", "actual_revenue")
     return g.select("*", rnd(clip(F.lit(1.0) - ratio, lo=0.0), 4).alias("forecast_accuracy"),
-                    rnd(ratio * F.lit(100.0), 2).alias("mape")).orderBy(F.col("month_year").desc())
+                    rnd(ratio * F.lit(100.0), 2).alias("mape"))
 
 
 def forecast_accuracy_sql(forecasts: DataFrame, reps: DataFrame, revenue: DataFrame) -> DataFrame:
@@ -144,16 +168,14 @@ def forecast_accuracy_sql(forecasts: DataFrame, reps: DataFrame, revenue: DataFr
     err = F.abs(F.col("actual_revenue") - F.col("forecasted_rev").cast("double"))
     return g.select("rep_name", "month_year", F.col("forecasted_rev").cast("double").alias("forecasted_rev"),
                     "actual_revenue",
-                    rnd(F.lit(1.0) - safe_div(err, "actual_revenue"), 4).alias("forecast_accuracy")
-                    ).orderBy(F.col("month_year").desc())
+                    rnd(F.lit(1.0) - safe_div(err, "actual_revenue"), 4).alias("forecast_accuracy"))
 
 
 # ── K5 month over month ──────────────────────────────────────
 
 def monthly_revenue(revenue: DataFrame) -> DataFrame:
     """K8: revenue per month, ordered — the series input of forecasting."""
-    return (revenue.groupBy("month_year").agg(F.sum("revenue").cast("double").alias("total_revenue"))
-            .orderBy("month_year"))
+    return revenue.groupBy("month_year").agg(F.sum("revenue").cast("double").alias("total_revenue"))
 
 
 def _by_month() -> Window:
@@ -167,7 +189,7 @@ def mom_variance(revenue: DataFrame) -> DataFrame:
     m = m.withColumn("prev_revenue", F.lag("total_revenue").over(_by_month()))
     m = m.withColumn("variance", F.col("total_revenue") - F.col("prev_revenue"))
     m = m.withColumn("variance_pct", rnd(safe_div("variance", "prev_revenue") * F.lit(100.0), 2))
-    return m.na.drop().orderBy("month_year")
+    return m.na.drop()
 
 
 def mom_variance_sql(revenue: DataFrame) -> DataFrame:
@@ -176,8 +198,7 @@ def mom_variance_sql(revenue: DataFrame) -> DataFrame:
     m = m.withColumn("p", F.lag("t").over(_by_month())).filter(F.col("p").isNotNull())
     return m.select("month_year", rnd("t", 2).alias("current_revenue"), rnd("p", 2).alias("previous_revenue"),
                     rnd(F.col("t") - F.col("p"), 2).alias("revenue_variance"),
-                    rnd(safe_div(F.col("t") - F.col("p"), "p") * F.lit(100.0), 2).alias("variance_pct")
-                    ).orderBy("month_year")
+                    rnd(safe_div(F.col("t") - F.col("p"), "p") * F.lit(100.0), 2).alias("variance_pct"))
 
 
 # ── K6 territory ─────────────────────────────────────────────
@@ -203,7 +224,7 @@ def territory_performance(opps: DataFrame, reps: DataFrame) -> DataFrame:
                     rnd(safe_div("won_opps", "total_opps"), 4).alias("win_rate"),
                     rnd("_rev", 2).alias("total_revenue"),
                     rnd(safe_div("_ws", "_wc"), 2).alias("avg_deal_size"),
-                    rnd(safe_div("_sd", "_cd"), 1).alias("avg_cycle_days")).orderBy(F.col("total_revenue").desc())
+                    rnd(safe_div("_sd", "_cd"), 1).alias("avg_cycle_days"))
 
 
 def _w(x: str) -> Column:
@@ -233,8 +254,7 @@ def territory_summary_fanout(opps: DataFrame, reps: DataFrame, revenue: DataFram
     return g.select("territory", "region", "total_opportunities", "closed_won_deals",
                     rnd("_sr", 2).alias("total_revenue"), rnd(safe_div("_sr", "_cr"), 2).alias("avg_deal_size"),
                     rnd(safe_div("closed_won_deals", "total_opportunities"), 4).alias("win_rate"),
-                    rnd(safe_div("_sd", "_cd"), 1).alias("avg_sales_cycle_days")
-                    ).orderBy(F.col("total_revenue").desc())
+                    rnd(safe_div("_sd", "_cd"), 1).alias("avg_sales_cycle_days"))
 
 
 # ── K7 cycle by stage and product category ───────────────────
@@ -247,8 +267,7 @@ def cycle_by_stage_product(opps: DataFrame, products: DataFrame) -> DataFrame:
     g = j.groupBy("category", "stage").agg(F.sum("n").alias("opportunity_count"), F.sum("sd").alias("_sd"),
                                            F.sum("cd").alias("_cd"), F.min("mn").alias("_mn"), F.max("mx").alias("_mx"))
     return g.select("category", "stage", "opportunity_count", rnd(safe_div("_sd", "_cd"), 1).alias("avg_days"),
-                    rnd("_mn", 1).alias("min_days"), rnd("_mx", 1).alias("max_days")
-                    ).orderBy("category", F.col("avg_days").desc())
+                    rnd("_mn", 1).alias("min_days"), rnd("_mx", 1).alias("max_days"))
 
 
 # ── V1 executive summary ─────────────────────────────────────

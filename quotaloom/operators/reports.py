@@ -2,7 +2,7 @@
 
 All are compositions over the KPI results or the star schema. "Last 12 months" and
 "top N" are the datasets' own definitions (a limit that is the feature), always with a
-named tie-break.
+named tie-break; their few rows are put in display order within one partition.
 """
 
 from __future__ import annotations
@@ -20,14 +20,13 @@ from . import measures as M
 def pq_win_rate(win_rate: DataFrame) -> DataFrame:
     """Win-rate export + percent + first day of month, month descending."""
     return win_rate.select("*", (F.col("win_rate") * F.lit(100.0)).alias("win_rate_pct"),
-                           month_start("month_year").alias("month_date")).orderBy(F.col("month_date").desc())
+                           month_start("month_year").alias("month_date"))
 
 
 def pq_mom_flag(mom: DataFrame) -> DataFrame:
     """Month-over-month export + month date + direction (variance ≥ 0 → Positive)."""
     return mom.select("*", month_start("month_year").alias("month_date"),
-                      F.when(F.col("variance") >= 0, "Positive").otherwise("Negative").alias("variance_direction")
-                      ).orderBy("month_date")
+                      F.when(F.col("variance") >= 0, "Positive").otherwise("Negative").alias("variance_direction"))
 
 
 def pq_quota_band(quota: DataFrame) -> DataFrame:
@@ -60,7 +59,7 @@ def dash_funnel(opps: DataFrame) -> DataFrame:
     """Opportunities by stage, with the funnel position of the stage."""
     order = F.array_position(F.array(*[F.lit(s) for s in VALID_STAGES]), F.col("stage")).cast("int")
     g = opps.groupBy("stage").agg(F.count(F.lit(1)).alias("opp_count"))
-    return g.select("stage", order.alias("stage_order"), "opp_count").orderBy("stage_order")
+    return g.select("stage", order.alias("stage_order"), "opp_count")
 
 
 def dash_deal_scatter(opps: DataFrame, reps: DataFrame) -> DataFrame:
@@ -166,7 +165,7 @@ def report_revenue_12m(mom: DataFrame) -> DataFrame:
     """R2: the last 12 months of the MoM table in $M, with the bar colour flag."""
     last = mom.orderBy(F.col("month_year").desc()).limit(12)
     return last.select("month_year", (F.col("total_revenue") / F.lit(1e6)).alias("revenue_musd"),
-                       (F.col("variance") >= 0).alias("positive")).orderBy("month_year")
+                       (F.col("variance") >= 0).alias("positive")).coalesce(1).sortWithinPartitions("month_year")
 
 
 def report_winrate_12m(win_rate: DataFrame) -> DataFrame:
@@ -175,14 +174,14 @@ def report_winrate_12m(win_rate: DataFrame) -> DataFrame:
     last = m.orderBy(F.col("month_year").desc()).limit(12)
     return last.select("month_year", rnd("avg_win_rate", 6).alias("avg_win_rate"),
                        rnd(F.avg("avg_win_rate").over(Window.partitionBy()), 6).alias("avg_of_period")
-                       ).orderBy("month_year")
+                       ).coalesce(1).sortWithinPartitions("month_year")
 
 
 def report_territory_top8(territory: DataFrame) -> DataFrame:
     """The 8 territories with the most revenue, ascending, in $M (ties: name)."""
     top = territory.orderBy(F.col("total_revenue").desc(), F.col("territory").asc()).limit(8)
-    return top.select("territory", (F.col("total_revenue") / F.lit(1e6)).alias("revenue_musd")).orderBy(
-        "revenue_musd", "territory")
+    return top.select("territory", (F.col("total_revenue") / F.lit(1e6)).alias("revenue_musd")).coalesce(
+        1).sortWithinPartitions("revenue_musd", "territory")
 
 
 def report_top_performer(win_rate: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def kpi_suite(w: Warehouse) -> dict[str, DataFrame]:
 def kpi_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
     """IO9: compute and export the six KPI tables (CSV with header)."""
     w = Warehouse(spark, warehouse_dir, "tables")
-    return sinks.publish(kpi_suite(w), out, "csv")
+    return sinks.publish({n: kpis.for_export(n, df) for n, df in kpi_suite(w).items()}, out, "csv")
 
 
 def ab_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
@@ -125,7 +125,8 @@ def report_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
     k = kpi_suite(w)
     sheets = {"executive_summary": rp.report_summary(k["win_rate"], k["quota_attainment"], k["forecast_accuracy"],
                                                       w.revenue),
-              **{n: (df.drop("attainment_band") if n == "quota_attainment" else df) for n, df in k.items()}}
+              **{n: kpis.for_export(n, df.drop("attainment_band") if n == "quota_attainment" else df)
+                 for n, df in k.items()}}
     return sinks.publish(sheets, out, "csv")
 
 
