@@ -19,8 +19,6 @@ from ..operators import clean, experiments as ab, forecast as fc, kpis, reports
 from ..sources import sinks
 from .warehouse import Warehouse, from_extracts, from_testdata
 
-ORDER = ["dim_reps", "dim_products", "dim_campaigns", "dim_date", "fact_opportunities", "fact_revenue",
-         "fact_quotas", "fact_forecasts"]
 RAW_OF = {"dim_reps": "reps", "dim_products": "products", "dim_campaigns": "campaigns",
           "fact_opportunities": "opportunities", "fact_revenue": "revenue", "fact_quotas": "quotas",
           "fact_forecasts": "forecasts"}
@@ -28,43 +26,50 @@ RAW_OF = {"dim_reps": "reps", "dim_products": "products", "dim_campaigns": "camp
 PARTITIONS = {"fact_revenue": ["month_year"], "fact_quotas": ["month_year"], "fact_forecasts": ["month_year"]}
 
 
+# Write waves: tables in one wave are independent and are written concurrently (one
+# Spark job each, submitted from a thread pool); later waves read tables written before.
+WAVES = [["fact_opportunities", "dim_reps", "dim_products", "dim_campaigns", "dim_date"],
+         ["fact_revenue", "fact_quotas"],
+         ["fact_forecasts"]]
+CLEANERS = {"dim_reps": clean.clean_reps, "dim_products": clean.clean_products,
+            "dim_campaigns": clean.clean_campaigns, "fact_opportunities": clean.clean_opportunities,
+            "fact_revenue": clean.clean_revenue, "fact_quotas": clean.clean_quotas,
+            "fact_forecasts": clean.clean_forecasts}
+
+
 def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata", fmt: str = "parquet",
-            timings: dict | None = None) -> DataFrame:
+            timings: dict | None = None, parallel: int = 4) -> DataFrame:
     """IO14: extract → transform → load, full replace. Returns the DQ row-count table;
     ``timings`` (if given) receives seconds per table write."""
+    from concurrent.futures import ThreadPoolExecutor
+
     started = time.time()
     w = from_testdata(spark, source) if kind == "testdata" else from_extracts(spark, source)
     stored = Warehouse(spark, dst, "tables")
-    counts = {}
-
-    def observed(label: str, raw: DataFrame) -> DataFrame:
-        obs = Observation(f"in_{label}")
-        counts.setdefault(label, {})["in"] = obs
-        return raw.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    for table in ORDER:
-        if table in RAW_OF:
-            label = RAW_OF[table]
-            if label in ("revenue", "forecasts", "quotas"):
-                # derived from tables already written: read them back instead of recomputing
-                base = _derived_raw(w, stored, label)
-            else:
-                base = w.raw(label)
-            w._raw[label] = observed(label, base)
-            df = {"dim_reps": clean.clean_reps, "dim_products": clean.clean_products,
-                  "dim_campaigns": clean.clean_campaigns, "fact_opportunities": clean.clean_opportunities,
-                  "fact_revenue": clean.clean_revenue, "fact_quotas": clean.clean_quotas,
-                  "fact_forecasts": clean.clean_forecasts}[table](w._raw[label])
-            out = Observation(f"out_{label}")
-            counts[label]["out"] = out
-            df = df.observe(out, F.count(F.lit(1)).alias("rows"))
-        else:
-            df = w.dates
+    counts: dict = {}
+
+    def plan(table: str) -> DataFrame:
+        if table not in RAW_OF:
+            return w.dates
+        label = RAW_OF[table]
+        # derived extracts read the tables already written instead of recomputing them
+        base = _derived_raw(w, stored, label) if label in ("revenue", "forecasts", "quotas") else w.raw(label)
+        obs_in, obs_out = Observation(f"in_{label}"), Observation(f"out_{label}")
+        counts[label] = {"in": obs_in, "out": obs_out}
+        cleaned = CLEANERS[table](base.observe(obs_in, F.count(F.lit(1)).alias("rows")))
+        return cleaned.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+
+    def write(table: str) -> None:
         t0 = time.time()
-        sinks.write_table(df, f"{dst.rstrip('/')}/{table}", "replace", fmt, PARTITIONS.get(table))
+        sinks.write_table(plan(table), f"{dst.rstrip('/')}/{table}", "replace", fmt, PARTITIONS.get(table))
         if timings is not None:
             timings[table] = round(time.time() - t0, 3)
-    rows = [(k, int(v["in"].get["rows"]), int(v["out"].get["rows"])) for k, v in counts.items()]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for wave in WAVES:
+            list(pool.map(write, wave))  # re-raises the first failure
+    rows = [(k, int(counts[k]["in"].get["rows"]), int(counts[k]["out"].get["rows"]))
+            for k in ("reps", "products", "campaigns", "opportunities", "revenue", "quotas", "forecasts")]
     dq = spark.createDataFrame(rows, "label string, rows_in bigint, rows_out bigint")
     dq = dq.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
     spark.conf.set("quotaloom.etl.seconds", f"{time.time() - started:.3f}")
