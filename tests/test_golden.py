@@ -68,3 +68,18 @@ def test_mom_variance_golden(spark):
     for e in exp:
         g = got[e["month_year"]]
         assert abs(g.variance - float(e["variance"])) < 1e-6 and g.variance_pct == float(e["variance_pct"])
+
+
+def test_holt_fit_on_published_series():
+    """The reference's 23-month revenue series: a least-squares Holt fit reaches an SSE at
+    or below the straight-line fit (2.21e11), and forecasts are linear in the horizon."""
+    from quotaloom.operators import forecast as fc
+    import numpy as np
+    exp = _expected("expected_mom_variance.csv")
+    y = np.array([float(exp[0]["prev_revenue"])] + [float(e["total_revenue"]) for e in exp])
+    assert len(y) == 23
+    r = fc.fit_holt(y)
+    assert r["sse"] <= 2.21e11
+    f = [r["level"] + h * r["trend"] for h in (1, 2, 3)]
+    assert abs((f[2] - f[1]) - (f[1] - f[0])) < 1e-6
+    assert fc.fit_holt(y) == r  # deterministic
