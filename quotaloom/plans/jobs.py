@@ -76,6 +76,26 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
     return dq
 
 
+def extract_job(spark: SparkSession, source: str, raw_dir: str) -> list[str]:
+    """IO2: write the seven raw extracts as CSV (header row, all text), as the source
+    systems would deliver them. Each extract is range-partitioned and sorted on its key
+    and ingest order, so file order is the order keep-first dedupe must honour."""
+    from ..sources.schemas import RAW_COLUMNS, RAW_FILES
+    w = from_testdata(spark, source)
+    keys = {"reps": "rep_id", "opportunities": "opportunity_id", "revenue": "revenue_id", "quotas": "quota_id",
+            "forecasts": "forecast_id", "products": "product_id", "campaigns": "campaign_id"}
+    paths = []
+    for name, cols in RAW_COLUMNS.items():
+        df = w.raw(name)
+        order = [keys[name], "_seq"] if "_seq" in df.columns else [keys[name]]
+        df = df.repartitionByRange(keys[name]).sortWithinPartitions(*order)
+        out = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+        path = f"{raw_dir.rstrip('/')}/{RAW_FILES[name]}"
+        sinks.write_csv(out, path)
+        paths.append(path)
+    return paths
+
+
 def _derived_raw(w: Warehouse, stored: Warehouse, label: str) -> DataFrame:
     from ..operators import derive
     from .warehouse import ADAPTER_FIRST_MONTH, ADAPTER_LAST_MONTH, adapter_forecasts
@@ -162,10 +182,17 @@ def query(spark: SparkSession, sql: str) -> DataFrame:
     return spark.sql(sql)
 
 
-def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata") -> dict[str, Callable]:
-    """Full refresh then every downstream job, each isolated so one failure does not stop the rest."""
+def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata",
+            via_files: bool = False) -> dict[str, Callable]:
+    """Full refresh then every downstream job, each isolated so one failure does not stop the rest.
+    ``via_files`` lands the driver tables as CSV extracts first (extract → transform → load)."""
     wh = f"{root.rstrip('/')}/warehouse"
-    results: dict = {"etl": etl_job(spark, source, wh, kind)}
+    results: dict = {}
+    if via_files and kind == "testdata":
+        raw = f"{root.rstrip('/')}/raw"
+        results["extract"] = extract_job(spark, source, raw)
+        source, kind = raw, "extracts"
+    results["etl"] = etl_job(spark, source, wh, kind)
     for name, job in (("kpi", kpi_job), ("ab", ab_job), ("forecast", forecast_job), ("report", report_job)):
         try:
             results[name] = job(spark, wh, f"{root.rstrip('/')}/exports/{name}")
