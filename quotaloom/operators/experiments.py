@@ -19,6 +19,7 @@ from ..functions.exprs import ALPHA, effect_magnitude, rnd, safe_div
 from ..functions.joins import small
 from ..functions.median import exact_median
 from ..functions.stats import chi2_pvalue_df1, t_pvalue, welch_df
+from ..functions.text import py_format
 
 
 def ab_dataset(opps: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -102,13 +103,13 @@ def ab_welch_ttest_p(df: DataFrame, group_col: str = "campaign_type", value_col:
     s = s.withColumn("_p", t_pvalue(F.col("_t_raw"), F.col("_df_raw")))
     sig = F.col("_p") < ALPHA
     pct = F.abs(safe_div(F.col("_mb_raw") - F.col("_ma_raw"), "_ma_raw") * F.lit(100.0))
-    yes = F.format_string(
-        "Statistically significant difference in %s (p=%.4f < α=%s). Group %s mean is %.1f%% %s than Group %s.",
-        F.lit(value_col), F.col("_p"), F.lit(str(ALPHA)), F.lit(group_b), pct,
-        F.when(F.col("_mb_raw") > F.col("_ma_raw"), "higher").otherwise("lower"), F.lit(group_a))
-    no = F.format_string(
-        "No statistically significant difference in %s (p=%.4f ≥ α=%s). "
-        "Cannot conclude the campaigns perform differently.", F.lit(value_col), F.col("_p"), F.lit(str(ALPHA)))
+    yes = py_format(
+        f"Statistically significant difference in {value_col} (p={{0:.4f}} < α={ALPHA}). "
+        f"Group {group_b} mean is {{1:.1f}}% {{2}} than Group {group_a}.",
+        F.col("_p"), pct, F.when(F.col("_mb_raw") > F.col("_ma_raw"), "higher").otherwise("lower"))
+    no = py_format(
+        f"No statistically significant difference in {value_col} (p={{0:.4f}} ≥ α={ALPHA}). "
+        "Cannot conclude the campaigns perform differently.", F.col("_p"))
     return _public(s.select("*", rnd("_p", 6).alias("p_value"), F.lit(ALPHA).alias("alpha"),
                             sig.alias("significant"), F.when(sig, yes).otherwise(no).alias("conclusion")))
 
@@ -147,14 +148,14 @@ def ab_chi_square_p(df: DataFrame, group_col: str = "campaign_type", group_a: st
     """AB3 with p-value (erfc form for one degree of freedom), significance, conclusion."""
     s = chi_square_stats(df, group_col, group_a, group_b).withColumn("_p", chi2_pvalue_df1(F.col("_chi2")))
     sig = F.col("_p") < ALPHA
-    wa, wb = F.col("win_rate_a") * 100.0, F.col("win_rate_b") * 100.0
-    yes = F.format_string(
-        "Statistically significant difference in win rate (p=%.4f < α=%s). Group %s win rate (%.1f%%) vs "
-        "Group %s (%.1f%%) — difference of %.1f%%.", F.col("_p"), F.lit(str(ALPHA)), F.lit(group_b), wb,
-        F.lit(group_a), wa, F.abs(wb - wa))
-    no = F.format_string(
-        "No statistically significant difference in win rate (p=%.4f ≥ α=%s). Groups %s (%.1f%%) and %s (%.1f%%) "
-        "are comparable.", F.col("_p"), F.lit(str(ALPHA)), F.lit(group_a), wa, F.lit(group_b), wb)
+    wa, wb = F.col("win_rate_a"), F.col("win_rate_b")
+    yes = py_format(
+        f"Statistically significant difference in win rate (p={{0:.4f}} < α={ALPHA}). "
+        f"Group {group_b} win rate ({{1:.1%}}) vs Group {group_a} ({{2:.1%}}) — difference of {{3:.1%}}.",
+        F.col("_p"), wb, wa, F.abs(wb - wa))
+    no = py_format(
+        f"No statistically significant difference in win rate (p={{0:.4f}} ≥ α={ALPHA}). "
+        f"Groups {group_a} ({{1:.1%}}) and {group_b} ({{2:.1%}}) are comparable.", F.col("_p"), wa, wb)
     return _public(s.select("*", rnd("_p", 6).alias("p_value"), F.lit(ALPHA).alias("alpha"),
                             sig.alias("significant"), F.when(sig, yes).otherwise(no).alias("conclusion")))
 

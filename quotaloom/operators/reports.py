@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import VALID_STAGES, dax_band, divide_or, month_start, rnd, safe_div
 from ..functions.joins import small
+from ..functions.text import py_format
 from . import measures as M
 
 # ── Power Query datasets ─────────────────────────────────────
@@ -142,10 +143,10 @@ def report_summary(win_rate: DataFrame, quota: DataFrame, accuracy: DataFrame, r
     wr = win_rate.agg(F.avg("win_rate").alias("v"), F.sum("won").alias("won"))
     qa = quota.agg(F.avg("quota_attainment").alias("v"))
     fa = accuracy.agg(F.avg("forecast_accuracy").alias("v"))
-    pct = lambda c: F.format_string("%.1f%%", rnd(c * F.lit(100.0), 1))
+    pct = lambda c: py_format("{0:.1%}", c)
     rows = [
         tr.select(F.lit(1).alias("pos"), F.lit("Total Revenue").alias("kpi"), rnd("v", 6).alias("value"),
-                  F.format_string("$%,.0f", rnd("v", 0)).alias("display")),
+                  py_format("${0:,.0f}", F.col("v")).alias("display")),
         wr.select(F.lit(2).alias("pos"), F.lit("Avg Win Rate").alias("kpi"), rnd("v", 6).alias("value"),
                   pct(F.col("v")).alias("display")),
         qa.select(F.lit(3).alias("pos"), F.lit("Avg Quota Attainment").alias("kpi"), rnd("v", 6).alias("value"),
