@@ -104,8 +104,36 @@ def month_start(m: Column | str) -> Column:
 
 def null_tokens(c: Column | str) -> Column:
     """Map empty strings and the missing-value tokens to null (landing rule)."""
-    x = col(c)
-    return F.when(~x.isin(NA_TOKENS), x)
+    if isinstance(c, str):
+        return F.expr(_null_tokens_sql(_q(c)))
+    return F.when(~c.isin(NA_TOKENS), c)
+
+
+def _q(name: str) -> str:
+    """Quoted column reference for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_TOKENS_SQL = ", ".join(_lit_sql(t) for t in NA_TOKENS)
+
+
+def _null_tokens_sql(x: str) -> str:
+    return f"CASE WHEN {x} IN ({_TOKENS_SQL}) THEN NULL ELSE {x} END"
+
+
+def _strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^\\\\s+|\\\\s+$', '')"
+
+
+def title_case_text(name: str) -> Column:
+    """title_case(strip(to_text(name))) for a string column, as one SQL expression."""
+    x = _strip_sql(_null_tokens_sql(_q(name)))
+    return F.expr(f"array_join(transform(regexp_extract_all(lower({x}), '(\\\\p{{L}}+|[^\\\\p{{L}}]+)', 1), "
+                  f"t -> concat(upper(substring(t, 1, 1)), substring(t, 2))), '')")
 
 
 def _is_string(df: DataFrame, name: str) -> bool:
@@ -120,30 +148,27 @@ def to_date_lenient(df: DataFrame, name: str) -> Column:
         return c
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
-    s = null_tokens(strip(c.cast("string")))
-    return F.coalesce(
-        F.try_to_date(s, "yyyy-MM-dd"),
-        F.try_to_date(s, "yyyy/MM/dd"),
-        F.try_to_date(s, "MM/dd/yyyy"),
-        F.to_date(F.try_to_timestamp(s)),
-    )
+    x = _null_tokens_sql(_strip_sql(f"CAST({_q(name)} AS STRING)"))
+    return F.expr(f"coalesce(try_to_date({x}, 'yyyy-MM-dd'), try_to_date({x}, 'yyyy/MM/dd'), "
+                  f"try_to_date({x}, 'MM/dd/yyyy'), to_date(try_to_timestamp({x})))")
 
 
 def to_number(df: DataFrame, name: str, dtype: str = "double") -> Column:
     """Coerce to a number; bad text and NaN become null."""
     dt = df.schema[name].dataType
-    c = F.col(name)
+    x = _q(name)
     if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
-        c = null_tokens(strip(c))
-    d = c.try_cast("double")
-    d = F.when(~F.isnan(d), d)
-    return d if dtype == "double" else d.try_cast(dtype)
+        x = _null_tokens_sql(_strip_sql(x))
+    d = f"try_cast({x} AS DOUBLE)"
+    d = f"CASE WHEN NOT isnan({d}) THEN {d} END"
+    return F.expr(d if dtype == "double" else f"try_cast({d} AS {dtype.upper()})")
 
 
 def to_text(df: DataFrame, name: str) -> Column:
     """Text column with missing tokens mapped to null (landing rule for keys)."""
-    c = F.col(name).cast("string")
-    return null_tokens(c) if _is_string(df, name) else c
+    if _is_string(df, name):
+        return F.expr(_null_tokens_sql(_q(name)))
+    return F.col(name).cast("string")
 
 
 def kpi_band(att: Column | str) -> Column:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dedupe import keep_first
 from ..functions.exprs import (
-    VALID_STAGES, clip, month_key, rnd, safe_div, strip, title_case, to_date_lenient, to_number, to_text,
+    VALID_STAGES, clip, month_key, rnd, safe_div, strip, title_case, title_case_text, to_date_lenient, to_number,
+    to_text,
 )
 from ..functions.joins import small
 from ..sources.schemas import FOREIGN_KEYS, MONEY, NOT_NULL, PRIMARY_KEYS
@@ -40,7 +41,8 @@ def clean_reps(raw: DataFrame) -> DataFrame:
     d = _first(raw, "rep_id")
     d = d.select(
         _key(d, "rep_id"),
-        *[title_case(strip(to_text(d, c))).alias(c) for c in ("rep_name", "region", "territory")],
+        *[title_case_text(c).alias(c) if dict(d.dtypes)[c] == "string" else title_case(strip(to_text(d, c))).alias(c)
+          for c in ("rep_name", "region", "territory")],
         to_text(d, "manager").alias("manager"),
         to_date_lenient(d, "hire_date").alias("hire_date"),
     )
