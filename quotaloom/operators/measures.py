@@ -185,3 +185,32 @@ def running_total_revenue(model: Model, by: Sequence[str] = ()) -> DataFrame:
     w = (Window.partitionBy(*by) if by else Window).orderBy("month_year").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return rev.select(*by, "month_year", F.sum(F.col("_rev")).over(w).cast("double").alias("running_total_revenue"))
+
+
+def mom_variance_pct_daily(model: Model) -> DataFrame:
+    """M6 on the date axis: month-to-date revenue up to each calendar day (DATESMTD) vs the
+    whole previous calendar month (PREVIOUSMONTH), as a fraction; 0 when the previous
+    month is blank or 0. Revenue is first summed per day; the windows and the joins then
+    run over calendar days and months (bounded by the date dimension), not fact rows."""
+    daily = model.revenue.groupBy(F.col("close_date").alias("d")).agg(F.sum("revenue").alias("r"))
+    monthly = daily.groupBy(F.date_format("d", "yyyy-MM").alias("pm")).agg(F.sum("r").alias("prev"))
+    spine = model.dates.select(F.to_date("date_id").alias("d"), F.substring("date_id", 1, 7).alias("m"))
+    spine = spine.withColumn("pm", F.date_format(F.add_months(F.to_date(F.concat("m", F.lit("-01"))), -1), "yyyy-MM"))
+    j = spine.join(daily, "d", "left").join(monthly, "pm", "left")
+    w = Window.partitionBy("m").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = j.withColumn("mtd", F.sum("r").over(w))
+    cur = F.coalesce(F.col("mtd").cast("double"), F.lit(0.0))
+    prev = F.coalesce(F.col("prev").cast("double"), F.lit(0.0))
+    return j.select(F.date_format("d", "yyyy-MM-dd").alias("date_id"), F.col("mtd").cast("double").alias("mtd_revenue"),
+                    F.col("prev").cast("double").alias("prev_month_revenue"),
+                    divide_or(cur - prev, prev, 0.0).alias("mom_variance_pct"))
+
+
+def running_total_revenue_daily(model: Model) -> DataFrame:
+    """M13 on the date axis: revenue with close date up to each calendar day. One ordered
+    window over the calendar (a few thousand days), after summing revenue per day."""
+    daily = model.revenue.groupBy(F.col("close_date").alias("d")).agg(F.sum("revenue").alias("r"))
+    spine = model.dates.select(F.to_date("date_id").alias("d"))
+    w = Window.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return spine.join(daily, "d", "left").select(
+        F.date_format("d", "yyyy-MM-dd").alias("date_id"), F.sum("r").over(w).cast("double").alias("running_total_revenue"))

@@ -189,6 +189,8 @@ _measure("open_pipeline_count", ["region"])
 _measure("attainment_color", ["territory"])
 register("m_mom_variance_pct")(lambda w: M.mom_variance_pct(model(w)))
 register("m_running_total_revenue")(lambda w: M.running_total_revenue(model(w), ["region"]))
+register("m_mom_variance_pct_daily")(lambda w: M.mom_variance_pct_daily(model(w)))
+register("m_running_total_revenue_daily")(lambda w: M.running_total_revenue_daily(model(w)))
 
 
 # ── 2.8 dashboard / report datasets ──────────────────────────
