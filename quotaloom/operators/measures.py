@@ -1,8 +1,11 @@
 """Dashboard measures (M1–M14) evaluated at any grain.
 
-A grain is a list drawn from the rep attributes (``rep_name``, ``region``, ``territory``)
-and ``month_year`` (revenue / quota / forecast month; opportunities use their close
-month, as the date dimension relates to them on close_date). Each fact is aggregated
+A grain is a list drawn from the rep attributes (``rep_name``, ``region``, ``territory``),
+``month_year`` (revenue / quota / forecast month; opportunities use their close month, as
+the date dimension relates to them on close_date), and the opportunity-only attributes
+``category`` (products), ``campaign_type`` / ``campaign_name`` (campaigns) and ``stage``.
+Facts without a relationship to an opportunity-only attribute are not filtered by it (as
+in the dashboard model): they are evaluated at the rest of the grain and attached N:1. Each fact is aggregated
 at the grain on its own — per (rep_id, month) first, then through the rep dimension —
 and the per-fact results are combined with full outer joins on the grain, which is how
 a measure sees "its" rows under a filter context. Empty grain = the whole model.
@@ -26,17 +29,34 @@ def _exact_weighted(value: Column, prob: Column) -> Column:
     return value.cast("decimal(18,2)") * prob.cast("decimal(9,4)") * F.lit(0.01).cast("decimal(3,2)")
 
 
+# Grain columns that only opportunities relate to (through products, campaigns, or their
+# own stage); revenue, quota and forecast measures are not filtered by them.
+OPP_ONLY = {"category": ("products", "product_id"), "campaign_type": ("campaigns", "campaign_id"),
+            "campaign_name": ("campaigns", "campaign_id"), "stage": (None, None)}
+
+
 def at_grain(fact: DataFrame, reps: DataFrame, grain: Sequence[str], month: Column | None,
-             aggs: dict[str, Column], finals: dict[str, Column]) -> DataFrame:
-    """Aggregate one fact at ``grain``: partial aggregates per (rep_id[, month]), then
-    through the rep dimension, then the final combination."""
+             aggs: dict[str, Column], finals: dict[str, Column], dims: dict | None = None) -> DataFrame:
+    """Aggregate one fact at ``grain``: partial aggregates per (rep_id[, month][, dimension
+    keys]), then through the (size-checked broadcast) dimensions, then the final combination."""
     grain = list(grain)
+    dims = dims or {}
     keys = ["rep_id"] + (["month_year"] if "month_year" in grain else [])
+    fks = []
+    for g in grain:
+        if g in OPP_ONLY:
+            dim, fk = OPP_ONLY[g]
+            name = fk or g
+            if name not in fks:
+                fks.append(name)
     src = fact if month is None or "month_year" not in grain else fact.withColumn("month_year", month)
-    pre = src.groupBy(*keys).agg(*[v.alias(k) for k, v in aggs.items()])
+    pre = src.groupBy(*keys, *fks).agg(*[v.alias(k) for k, v in aggs.items()])
     rep_cols = [c for c in grain if c in REP_COLS]
     if rep_cols:
         pre = pre.join(small(reps.select("rep_id", *rep_cols)), "rep_id")
+    for dim_name, fk in {(OPP_ONLY[g][0], OPP_ONLY[g][1]) for g in grain if g in OPP_ONLY and OPP_ONLY[g][0]}:
+        cols = [g for g in grain if OPP_ONLY.get(g, (None,))[0] == dim_name]
+        pre = pre.join(small(dims[dim_name].select(fk, *cols)), fk)
     if grain:
         g = pre.groupBy(*grain).agg(*[v.alias(k) for k, v in finals.items()])
     else:
@@ -55,9 +75,11 @@ class Model:
     """The star schema a dashboard sees (facts + rep dimension + date spine)."""
 
     def __init__(self, opps: DataFrame, revenue: DataFrame, quotas: DataFrame, forecasts: DataFrame,
-                 reps: DataFrame, dates: DataFrame | None = None):
+                 reps: DataFrame, dates: DataFrame | None = None, products: DataFrame | None = None,
+                 campaigns: DataFrame | None = None):
         self.opps, self.revenue, self.quotas, self.forecasts, self.reps, self.dates = (
             opps, revenue, quotas, forecasts, reps, dates)
+        self.dims = {"products": products, "campaigns": campaigns}
 
     # per-fact building blocks ---------------------------------
     def revenue_at(self, grain: Sequence[str]) -> DataFrame:
@@ -75,14 +97,14 @@ class Model:
     def opps_at(self, grain: Sequence[str]) -> DataFrame:
         closed = F.col("is_closed") == 1
         return at_grain(
-            self.opps, self.reps, grain, month_key("close_date"),
+            self.opps, self.reps, grain, month_key("close_date"), dims=self.dims, aggs=
             {"n": F.count(F.lit(1)), "won": F.count(F.when(F.col("is_won") == 1, 1)),
              "closed": F.count(F.when(closed, 1)), "open": F.count(F.when(F.col("is_closed") == 0, 1)),
              "sv": F.sum("deal_value"), "cv": F.count("deal_value"),
              "sdc": F.sum(F.when(closed, F.col("days_in_pipeline"))),
              "cdc": F.count(F.when(closed, F.col("days_in_pipeline"))),
              "wp": F.sum(F.when(F.col("is_closed") == 0, _exact_weighted(F.col("deal_value"), F.col("probability"))))},
-            {"_n": F.sum("n"), "_won": F.sum("won"), "_closed": F.sum("closed"), "_open": F.sum("open"),
+            finals={"_n": F.sum("n"), "_won": F.sum("won"), "_closed": F.sum("closed"), "_open": F.sum("open"),
              "_sv": F.sum("sv"), "_cv": F.sum("cv"), "_sdc": F.sum("sdc"), "_cdc": F.sum("cdc"), "_wp": F.sum("wp")})
 
 
@@ -151,8 +173,21 @@ def evaluate(model: Model, grain: Sequence[str], names: Sequence[str]) -> DataFr
     }
     facts = set().union(*[need[n] for n in names])
     builders = {"rev": model.revenue_at, "quota": model.quota_at, "fc": model.forecast_at, "opp": model.opps_at}
-    parts = [builders[f](grain) for f in ("rev", "quota", "fc", "opp") if f in facts]
-    j = _join_all(parts, grain)
+    opp_only = [g for g in grain if g in OPP_ONLY]
+    if not opp_only:
+        parts = [builders[f](grain) for f in ("rev", "quota", "fc", "opp") if f in facts]
+        j = _join_all(parts, grain)
+    else:
+        # rows: the grain combinations opportunities have; unrelated facts are evaluated at
+        # the rest of the grain and attached by an N:1 join on it (DAX: no relationship,
+        # no filter)
+        rest = [g for g in grain if g not in OPP_ONLY]
+        j = model.opps_at(grain)
+        others = [builders[f](rest) for f in ("rev", "quota", "fc") if f in facts]
+        if others:
+            o = _join_all(others, rest)
+            j = j.join(o, rest, "left") if rest else j.withColumn("_one", F.lit(1)).join(
+                o.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
     return j.select(*grain, *[expr[n]().alias(n) for n in names])
 
 

@@ -41,7 +41,7 @@ def register(name: str):
 
 
 def model(w: Warehouse) -> M.Model:
-    return M.Model(w.opportunities, w.revenue, w.quotas, w.forecasts, w.reps, w.dates)
+    return M.Model(w.opportunities, w.revenue, w.quotas, w.forecasts, w.reps, w.dates, w.products, w.campaigns)
 
 
 # ── 2.2 cleansing ────────────────────────────────────────────
@@ -189,6 +189,12 @@ _measure("open_pipeline_count", ["region"])
 _measure("attainment_color", ["territory"])
 register("m_mom_variance_pct")(lambda w: M.mom_variance_pct(model(w)))
 register("m_running_total_revenue")(lambda w: M.running_total_revenue(model(w), ["region"]))
+register("m_by_campaign_type")(
+    lambda w: M.evaluate(model(w), ["campaign_type"], ["win_rate", "pipeline_velocity", "closed_won_count"]))
+register("m_by_category_stage")(
+    lambda w: M.evaluate(model(w), ["category", "stage"], ["avg_sales_cycle_days", "open_pipeline_count"]))
+register("m_region_campaign_mix")(
+    lambda w: M.evaluate(model(w), ["region", "campaign_type"], ["win_rate", "total_revenue", "quota_attainment"]))
 register("m_mom_variance_pct_daily")(lambda w: M.mom_variance_pct_daily(model(w)))
 register("m_running_total_revenue_daily")(lambda w: M.running_total_revenue_daily(model(w)))
 
