@@ -1,6 +1,5 @@
 """Cleansing rules: the reference's unit cases plus the edge rows its code defines."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from quotaloom.functions.exprs import dax_band, kpi_band
 from quotaloom.operators import kpis
