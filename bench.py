@@ -105,9 +105,8 @@ def main() -> None:
         df.createOrReplaceTempView(name)
     naive = {}
     for key, sql in (("territory_summary_fanout", NAIVE_FANOUT), ("exec_kpi_summary", NAIVE_EXEC)):
-        timed(lambda: spark.sql(sql))
-        naive[key] = {"naive_sec": round(statistics.median(timed(lambda: spark.sql(sql)) for _ in range(RUNS)), 3),
-                      "rewrite_sec": per[key]}
+        # one run: the naive fan-out join is the slow baseline being measured (tens of seconds)
+        naive[key] = {"naive_sec_single_run": round(timed(lambda: spark.sql(sql)), 3), "rewrite_sec": per[key]}
     total = round(sum(per.values()), 3)
     print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
                       "queries": per, "etl_sec": round(etl, 3), "etl_tables": etl_tables, "sf": SF_DIR.rstrip("/").split("sf")[-1],
