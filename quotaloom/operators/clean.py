@@ -49,24 +49,31 @@ def clean_reps(raw: DataFrame) -> DataFrame:
     return d.na.drop(subset=["rep_id", "rep_name", "region", "territory"])
 
 
-def clean_opportunities(raw: DataFrame) -> DataFrame:
-    """TR2: dedupe; coerce; clip probability; |days|; flags; stage repair; value > 0;
-    closed rows need a close date; weighted value."""
-    d = _first(raw, "opportunity_id")
+def _coerce_opportunities(d: DataFrame) -> DataFrame:
+    """TR2 coercions and repairs on deduplicated rows (before the row filters)."""
     stage = to_text(d, "stage")
-    value = to_number(d, "deal_value")
-    prob = clip(to_number(d, "probability"), 0.0, 100.0)
-    d = d.select(
+    return d.select(
         _key(d, "opportunity_id"), _key(d, "rep_id"), _key(d, "product_id"), _key(d, "campaign_id"),
         to_date_lenient(d, "created_date").alias("created_date"),
         to_date_lenient(d, "close_date").alias("close_date"),
         F.when(F.coalesce(stage.isin(VALID_STAGES), F.lit(False)), stage).otherwise("Prospecting").alias("stage"),
-        value.alias("_value"),
-        prob.alias("probability"),
+        to_number(d, "deal_value").alias("_value"),
+        clip(to_number(d, "probability"), 0.0, 100.0).alias("probability"),
         F.abs(to_number(d, "days_in_pipeline")).try_cast("int").alias("days_in_pipeline"),
         F.coalesce(to_number(d, "is_won").try_cast("int"), F.lit(0)).alias("is_won"),
         F.coalesce(to_number(d, "is_closed").try_cast("int"), F.lit(0)).alias("is_closed"),
+        # what the repairs changed, for the per-rule DQ counts
+        (~F.coalesce(stage.isin(VALID_STAGES), F.lit(False))).alias("_stage_repaired"),
+        ((to_number(d, "probability") < 0) | (to_number(d, "probability") > 100)).alias("_prob_clipped"),
+        (to_number(d, "days_in_pipeline") < 0).alias("_days_negative"),
+        (to_number(d, "is_won").isNull() | to_number(d, "is_closed").isNull()).alias("_flag_defaulted"),
     )
+
+
+def clean_opportunities(raw: DataFrame) -> DataFrame:
+    """TR2: dedupe; coerce; clip probability; |days|; flags; stage repair; value > 0;
+    closed rows need a close date; weighted value."""
+    d = _coerce_opportunities(_first(raw, "opportunity_id"))
     d = d.filter(F.col("_value") > 0)
     d = d.filter(~((F.col("is_closed") == 1) & F.col("close_date").isNull()))
     return d.select(
@@ -77,6 +84,32 @@ def clean_opportunities(raw: DataFrame) -> DataFrame:
     )
 
 
+def dq_rule_counts(raw_opportunities: DataFrame) -> DataFrame:
+    """TR9 per rule for opportunities: rows in, duplicates removed, rows dropped by each
+    validity rule, rows repaired by each coercion, rows out — one aggregate over the
+    deduplicated rows plus one count of the raw rows."""
+    n_in = raw_opportunities.agg(F.count(F.lit(1)).alias("n"))
+    d = _coerce_opportunities(_first(raw_opportunities, "opportunity_id"))
+    bad_value = ~F.coalesce(F.col("_value") > 0, F.lit(False))
+    no_date = (~bad_value) & (F.col("is_closed") == 1) & F.col("close_date").isNull()
+    c = d.agg(F.count(F.lit(1)).alias("dedup"), F.count(F.when(bad_value, 1)).alias("bad_value"),
+              F.count(F.when(no_date, 1)).alias("no_date"),
+              F.count(F.when(F.col("_stage_repaired"), 1)).alias("stage"),
+              F.count(F.when(F.col("_prob_clipped"), 1)).alias("prob"),
+              F.count(F.when(F.col("_days_negative"), 1)).alias("days"),
+              F.count(F.when(F.col("_flag_defaulted"), 1)).alias("flags"))
+    j = n_in.withColumn("_one", F.lit(1)).join(c.withColumn("_one", F.lit(1)), "_one")
+    rules = [("rows_in", F.col("n")), ("duplicates_removed", F.col("n") - F.col("dedup")),
+             ("dropped_deal_value_not_positive", F.col("bad_value")),
+             ("dropped_closed_without_close_date", F.col("no_date")),
+             ("repaired_invalid_stage", F.col("stage")), ("repaired_probability_clipped", F.col("prob")),
+             ("repaired_negative_days", F.col("days")), ("repaired_missing_flag", F.col("flags")),
+             ("rows_out", F.col("dedup") - F.col("bad_value") - F.col("no_date"))]
+    arr = F.array(*[F.struct(F.lit(r).alias("rule"), v.cast("bigint").alias("rows")) for r, v in rules])
+    return j.select(F.lit("opportunities").alias("dataset"), F.explode(arr).alias("_r")).select(
+        "dataset", "_r.rule", "_r.rows")
+
+
 def clean_revenue(raw: DataFrame) -> DataFrame:
     """TR3: dedupe; coerce; drop incomplete; revenue > 0; month_year recomputed from close_date."""
     d = _first(raw, "revenue_id")

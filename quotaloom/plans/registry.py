@@ -64,6 +64,9 @@ def _dq_counts(w: Warehouse) -> DataFrame:
         "campaigns": (w.raw("campaigns"), w.campaigns)})
 
 
+register("dq_rule_counts")(lambda w: clean.dq_rule_counts(w.raw("opportunities")))
+
+
 @register("dq_constraints")
 def _dq_constraints(w: Warehouse) -> DataFrame:
     return clean.dq_constraints(w.tables())
