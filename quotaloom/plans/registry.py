@@ -168,6 +168,8 @@ def _holt_fixed(w: Warehouse) -> DataFrame:
 
 register("holt_forecast")(lambda w: fc.holt_forecast(region_monthly(w), ["region"], "revenue", HORIZON))
 register("holt_forecast_total")(lambda w: fc.holt_forecast(w.revenue, [], "revenue", HORIZON))
+register("holt_forecast_rep")(
+    lambda w: fc.holt_forecast(kpis.revenue_by_rep_month(w.revenue), ["rep_id"], "rev", HORIZON))
 register("forecast_metrics")(lambda w: fc.forecast_metrics(_holt(w), ["region"], HOLT_ALPHA))
 register("forecast_horizon")(lambda w: fc.forecast_horizon(_holt(w), ["region"], HORIZON))
 register("forecast_chart_data")(lambda w: fc.forecast_chart_data(_holt(w), ["region"], HORIZON))
