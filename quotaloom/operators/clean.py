@@ -36,17 +36,22 @@ def _key(df: DataFrame, name: str) -> Column:
     return (to_text(df, name) if dt == "string" else F.col(name)).alias(name)
 
 
-def clean_reps(raw: DataFrame) -> DataFrame:
-    """TR1: dedupe; trim + title-case name, region, territory; hire date; drop incomplete rows."""
-    d = _first(raw, "rep_id")
-    d = d.select(
+def _coerce_reps(d: DataFrame, flags: bool = False) -> DataFrame:
+    cols = [
         _key(d, "rep_id"),
         *[title_case_text(c).alias(c) if dict(d.dtypes)[c] == "string" else title_case(strip(to_text(d, c))).alias(c)
           for c in ("rep_name", "region", "territory")],
         to_text(d, "manager").alias("manager"),
         to_date_lenient(d, "hire_date").alias("hire_date"),
-    )
-    return d.na.drop(subset=["rep_id", "rep_name", "region", "territory"])
+    ]
+    if flags:
+        cols.append((to_text(d, "hire_date").isNotNull() & to_date_lenient(d, "hire_date").isNull()).alias("_hire_bad"))
+    return d.select(*cols)
+
+
+def clean_reps(raw: DataFrame) -> DataFrame:
+    """TR1: dedupe; trim + title-case name, region, territory; hire date; drop incomplete rows."""
+    return _coerce_reps(_first(raw, "rep_id")).na.drop(subset=["rep_id", "rep_name", "region", "territory"])
 
 
 def _coerce_opportunities(d: DataFrame) -> DataFrame:
@@ -84,40 +89,87 @@ def clean_opportunities(raw: DataFrame) -> DataFrame:
     )
 
 
-def dq_rule_counts(raw_opportunities: DataFrame) -> DataFrame:
-    """TR9 per rule for opportunities: rows in, duplicates removed, rows dropped by each
-    validity rule, rows repaired by each coercion, rows out — one aggregate over the
-    deduplicated rows plus one count of the raw rows."""
-    n_in = raw_opportunities.agg(F.count(F.lit(1)).alias("n"))
-    d = _coerce_opportunities(_first(raw_opportunities, "opportunity_id"))
+def _any_null(*cols: str) -> Column:
+    out = F.col(cols[0]).isNull()
+    for c in cols[1:]:
+        out = out | F.col(c).isNull()
+    return out
+
+
+def _rule_specs():
+    """Per dataset: key, coercion, ordered drop rules (name, fails), repairs (name, flag)."""
     bad_value = ~F.coalesce(F.col("_value") > 0, F.lit(False))
-    no_date = (~bad_value) & (F.col("is_closed") == 1) & F.col("close_date").isNull()
-    c = d.agg(F.count(F.lit(1)).alias("dedup"), F.count(F.when(bad_value, 1)).alias("bad_value"),
-              F.count(F.when(no_date, 1)).alias("no_date"),
-              F.count(F.when(F.col("_stage_repaired"), 1)).alias("stage"),
-              F.count(F.when(F.col("_prob_clipped"), 1)).alias("prob"),
-              F.count(F.when(F.col("_days_negative"), 1)).alias("days"),
-              F.count(F.when(F.col("_flag_defaulted"), 1)).alias("flags"))
-    j = n_in.withColumn("_one", F.lit(1)).join(c.withColumn("_one", F.lit(1)), "_one")
-    rules = [("rows_in", F.col("n")), ("duplicates_removed", F.col("n") - F.col("dedup")),
-             ("dropped_deal_value_not_positive", F.col("bad_value")),
-             ("dropped_closed_without_close_date", F.col("no_date")),
-             ("repaired_invalid_stage", F.col("stage")), ("repaired_probability_clipped", F.col("prob")),
-             ("repaired_negative_days", F.col("days")), ("repaired_missing_flag", F.col("flags")),
-             ("rows_out", F.col("dedup") - F.col("bad_value") - F.col("no_date"))]
-    arr = F.array(*[F.struct(F.lit(r).alias("rule"), v.cast("bigint").alias("rows")) for r, v in rules])
-    return j.select(F.lit("opportunities").alias("dataset"), F.explode(arr).alias("_r")).select(
-        "dataset", "_r.rule", "_r.rows")
+    return {
+        "reps": ("rep_id", lambda d: _coerce_reps(d, flags=True),
+                 [("dropped_missing_required", _any_null("rep_id", "rep_name", "region", "territory"))],
+                 [("repaired_invalid_hire_date", F.col("_hire_bad"))]),
+        "opportunities": ("opportunity_id", _coerce_opportunities,
+                          [("dropped_deal_value_not_positive", bad_value),
+                           ("dropped_closed_without_close_date", (F.col("is_closed") == 1) & F.col("close_date").isNull())],
+                          [("repaired_invalid_stage", F.col("_stage_repaired")),
+                           ("repaired_probability_clipped", F.col("_prob_clipped")),
+                           ("repaired_negative_days", F.col("_days_negative")),
+                           ("repaired_missing_flag", F.col("_flag_defaulted"))]),
+        "revenue": ("revenue_id", _coerce_revenue,
+                    [("dropped_missing_required", _any_null("revenue_id", "rep_id", "_rev", "close_date")),
+                     ("dropped_not_positive", ~(F.col("_rev") > 0))], []),
+        "quotas": ("quota_id", _coerce_quotas,
+                   [("dropped_missing_required", _any_null("quota_id", "rep_id", "month_year", "_q")),
+                    ("dropped_not_positive", ~(F.col("_q") > 0))], []),
+        "forecasts": ("forecast_id", _coerce_forecasts,
+                      [("dropped_missing_required", _any_null("forecast_id", "rep_id", "month_year", "_f"))], []),
+        "products": ("product_id", lambda d: d, [], []),
+        "campaigns": ("campaign_id", lambda d: d, [], []),
+    }
+
+
+def dq_rule_counts(raws: Mapping[str, DataFrame]) -> DataFrame:
+    """TR9 per rule: for every dataset, rows in, duplicates removed, rows dropped by each
+    validity rule (in the order the rules apply), rows changed by each repair, rows out.
+    Per dataset: one count of the raw rows and one aggregate over the deduplicated rows."""
+    parts = []
+    for name, (key, coerce, drops, repairs) in _rule_specs().items():
+        if name not in raws:
+            continue
+        raw = raws[name]
+        n_in = raw.agg(F.count(F.lit(1)).alias("_in"))
+        d = coerce(_first(raw, key))
+        alive = F.lit(True)
+        aggs = [F.count(F.lit(1)).alias("_dedup")]
+        for i, (_, fails) in enumerate(drops):
+            fail = F.coalesce(fails, F.lit(True))
+            aggs.append(F.count(F.when(alive & fail, 1)).alias(f"_d{i}"))
+            alive = alive & ~fail
+        aggs += [F.count(F.when(flag, 1)).alias(f"_r{i}") for i, (_, flag) in enumerate(repairs)]
+        c = d.agg(*aggs)
+        j = n_in.withColumn("_one", F.lit(1)).join(c.withColumn("_one", F.lit(1)), "_one")
+        out_rows = F.col("_dedup")
+        for i in range(len(drops)):
+            out_rows = out_rows - F.col(f"_d{i}")
+        rules = ([("rows_in", F.col("_in")), ("duplicates_removed", F.col("_in") - F.col("_dedup"))]
+                 + [(r, F.col(f"_d{i}")) for i, (r, _) in enumerate(drops)]
+                 + [(r, F.col(f"_r{i}")) for i, (r, _) in enumerate(repairs)]
+                 + [("rows_out", out_rows)])
+        arr = F.array(*[F.struct(F.lit(r).alias("rule"), v.cast("bigint").alias("rows")) for r, v in rules])
+        parts.append(j.select(F.lit(name).alias("dataset"), F.explode(arr).alias("_r"))
+                     .select("dataset", "_r.rule", "_r.rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-def clean_revenue(raw: DataFrame) -> DataFrame:
-    """TR3: dedupe; coerce; drop incomplete; revenue > 0; month_year recomputed from close_date."""
-    d = _first(raw, "revenue_id")
-    d = d.select(
+def _coerce_revenue(d: DataFrame) -> DataFrame:
+    return d.select(
         _key(d, "revenue_id"), _key(d, "opportunity_id"), _key(d, "rep_id"), _key(d, "product_id"),
         to_date_lenient(d, "close_date").alias("close_date"),
         to_number(d, "revenue").alias("_rev"),
     )
+
+
+def clean_revenue(raw: DataFrame) -> DataFrame:
+    """TR3: dedupe; coerce; drop incomplete; revenue > 0; month_year recomputed from close_date."""
+    d = _coerce_revenue(_first(raw, "revenue_id"))
     d = d.na.drop(subset=["revenue_id", "rep_id", "_rev", "close_date"]).filter(F.col("_rev") > 0)
     return d.select(
         "revenue_id", "opportunity_id", "rep_id", "product_id", "close_date",
@@ -126,21 +178,27 @@ def clean_revenue(raw: DataFrame) -> DataFrame:
     )
 
 
+def _coerce_quotas(d: DataFrame) -> DataFrame:
+    return d.select(_key(d, "quota_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
+                    to_number(d, "quota_amount").alias("_q"))
+
+
 def clean_quotas(raw: DataFrame) -> DataFrame:
     """TR4: dedupe; coerce; drop incomplete; quota > 0."""
-    d = _first(raw, "quota_id")
-    d = d.select(_key(d, "quota_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
-                 to_number(d, "quota_amount").alias("_q"))
+    d = _coerce_quotas(_first(raw, "quota_id"))
     d = d.na.drop(subset=["quota_id", "rep_id", "month_year", "_q"]).filter(F.col("_q") > 0)
     return d.select("quota_id", "rep_id", "month_year", F.col("_q").cast(MONEY).alias("quota_amount"))
 
 
+def _coerce_forecasts(d: DataFrame) -> DataFrame:
+    return d.select(_key(d, "forecast_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
+                    to_number(d, "forecasted_rev").alias("_f"),
+                    to_date_lenient(d, "forecast_date").alias("forecast_date"))
+
+
 def clean_forecasts(raw: DataFrame) -> DataFrame:
     """TR5: dedupe; coerce; drop incomplete (no positivity rule)."""
-    d = _first(raw, "forecast_id")
-    d = d.select(_key(d, "forecast_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
-                 to_number(d, "forecasted_rev").alias("_f"),
-                 to_date_lenient(d, "forecast_date").alias("forecast_date"))
+    d = _coerce_forecasts(_first(raw, "forecast_id"))
     d = d.na.drop(subset=["forecast_id", "rep_id", "month_year", "_f"])
     return d.select("forecast_id", "rep_id", "month_year", F.col("_f").cast(MONEY).alias("forecasted_rev"),
                     "forecast_date")

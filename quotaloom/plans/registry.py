@@ -64,7 +64,8 @@ def _dq_counts(w: Warehouse) -> DataFrame:
         "campaigns": (w.raw("campaigns"), w.campaigns)})
 
 
-register("dq_rule_counts")(lambda w: clean.dq_rule_counts(w.raw("opportunities")))
+register("dq_rule_counts")(lambda w: clean.dq_rule_counts(
+    {n: w.raw(n) for n in ("reps", "opportunities", "revenue", "quotas", "forecasts", "products", "campaigns")}))
 
 
 @register("dq_constraints")
