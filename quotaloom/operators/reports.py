@@ -100,6 +100,14 @@ def dash_attainment_heatmap(model: M.Model) -> DataFrame:
     return M.evaluate(model, ["rep_name", "month_year"], ["quota_attainment"])
 
 
+def dash_attainment_heatmap_wide(model: M.Model) -> DataFrame:
+    """D6 as the matrix visual shows it: one row per rep, one column per month. The month
+    values come from the data (a distinct over the already-aggregated long form, bounded by
+    the calendar); each cell holds one value, so ``first`` is exact."""
+    long = M.evaluate(model, ["rep_name", "month_year"], ["quota_attainment"])
+    return long.groupBy("rep_name").pivot("month_year").agg(F.first("quota_attainment"))
+
+
 def dash_win_by_campaign_type(opps: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Win rate by campaign type (A vs B)."""
     c = small(campaigns.select("campaign_id", "campaign_type"))

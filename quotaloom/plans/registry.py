@@ -237,6 +237,7 @@ register("dash_open_by_territory")(lambda w: rp.dash_open_by_territory(model(w))
 register("dash_region_matrix")(lambda w: rp.dash_region_matrix(w.opportunities, w.revenue, w.reps))
 register("dash_top10_reps")(lambda w: rp.dash_top10_reps(w.revenue, w.reps))
 register("dash_attainment_heatmap")(lambda w: rp.dash_attainment_heatmap(model(w)))
+register("dash_attainment_heatmap_wide")(lambda w: rp.dash_attainment_heatmap_wide(model(w)))
 register("dash_win_by_campaign_type")(lambda w: rp.dash_win_by_campaign_type(w.opportunities, w.campaigns))
 register("dash_deal_by_campaign")(lambda w: rp.dash_deal_by_campaign(w.opportunities, w.campaigns))
 register("dash_exec_cards")(lambda w: rp.dash_exec_cards(model(w)))
