@@ -11,9 +11,10 @@ spread over many partitions — then:
    of the sorted data by a join with that tiny table; their mean is the median
    (pandas' definition: mean of the two middle values for even n).
 
-Row ids come from ``monotonically_increasing_id`` after the in-partition sort; an
-explicit-count range repartition is never coalesced by AQE, so partition ids and row ids
-are the same in both uses of the sorted data and on re-execution.
+Row ids come from ``monotonically_increasing_id`` after the in-partition sort; the sorted
+(group, value, partition id, row id) rows are checkpointed once (eager, reliable, in the
+session's ``spark.checkpoint.dir``), so both uses read identical ids and a lost executor
+does not change them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import small
 
 
@@ -34,6 +36,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "m
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     s = (v.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
          .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    # Both uses below must see the same partition and row ids. Two range shuffles would
+    # sample with different seeds, so rather than rely on exchange reuse the ids are
+    # materialised once (reliable checkpoint in the session's checkpoint folder).
+    ensure_checkpoint_dir(spark)
+    s = s.checkpoint(eager=True)
     per_part = s.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     wk = Window.partitionBy(*keys)
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

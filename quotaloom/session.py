@@ -36,11 +36,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only a local session without it (tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the checkpoint folder
+        return current or ""
     if not current:
-        current = spark.sparkContext.getCheckpointDir() or ""
+        current = sc.getCheckpointDir() or ""
     if not current:
         current = tempfile.mkdtemp(prefix="ql-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
