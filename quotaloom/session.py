@@ -21,6 +21,7 @@ def local_session(cores: int | str = 8, app: str = "quotaloom") -> SparkSession:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QL_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()
