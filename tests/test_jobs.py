@@ -105,3 +105,16 @@ def test_run_all_via_files_publishes_every_dataset(spark, tmp_out):
         with open(part) as f:
             months += [r["month_year"] for r in csv.DictReader(f)]
     assert len(months) > 0 and months == sorted(months)  # exported in the reference's order
+
+
+def test_load_modes_replace_append_fail(spark, tmp_out):
+    import pytest
+    df = spark.range(5).withColumnRenamed("id", "k")
+    path = tmp_out + "/modes"
+    sinks.write_table(df, path, "replace")
+    sinks.write_table(df, path, "append")
+    assert spark.read.parquet(path).count() == 10
+    sinks.write_table(df, path, "replace")
+    assert spark.read.parquet(path).count() == 5
+    with pytest.raises(Exception):
+        sinks.write_table(df, path, "fail")
