@@ -36,8 +36,8 @@ WITH d AS (
     ELSE ((SELECT (total - capped)::DOUBLE / (all_weight - capped_weight)::DOUBLE FROM o x WHERE x.k = f.k)) * weight END AS target
   FROM o CROSS JOIN f
 ), p AS (
-  SELECT doc_id, size, source, source_size, target,
-         coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, doc_id, size
+  SELECT doc_id, size, d.source, source_size, target,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, doc_id, size
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
