@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import exact_dedup, mixing, packing
+from quotaloom.llm import exact_dedup, fingerprints, mixing, packing, secret_scan, simhash, toxicity
 from quotaloom.llm.common import documents
 
 
@@ -21,10 +21,42 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_exact_groups(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.find_near_groups(documents(spark, sf_dir))
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return groups.select(F.col("id").alias("doc_id"), fingerprint.alias("fingerprint"), "component_id")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit_by_fold(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (toxicity.fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed, sources = mixing.mix_with_targets(docs, F.array("source"))
@@ -34,8 +66,16 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edit(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_simhash": op4_simhash,
+    "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
+    "op10_minhash": op10_minhash,
 }
