@@ -204,3 +204,21 @@ def mix_with_targets(
         F.map_from_entries(F.filter(given, lambda g: g["times"] > 0)).alias("given"),
     )
     return frame, named
+
+
+def take(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; columns as in ``docs``.
+
+    Rows are matched by id and size; rows that repeat both all get the rounded mean of what the mix gives them.
+    """
+    mixed, _ = mix_with_targets(docs, members, id_col, text_col, **options)
+    key = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("size").alias("_size")]
+    chosen = mixed.groupBy(*key).agg(F.round(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
+    keyed = docs.withColumns(
+        {
+            "_id": F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")),
+            "_size": F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long"),
+        }
+    )
+    each = keyed.join(chosen, ["_id", "_size"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return each.select(*[F.col(f"`{c}`") for c in docs.columns])

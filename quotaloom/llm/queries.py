@@ -7,14 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import exact_dedup, fingerprints, mixing, packing, secret_scan, simhash, toxicity
+import corpus_pipeline
+from quotaloom.llm import exact_dedup, fingerprints, langid, mixing, packing, repair_files, secret_scan, simhash, toxicity
 from quotaloom.llm.common import documents
-
-
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from quotaloom.llm.tokens import tokenizer_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +62,19 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    part = toxicity.fold("doc_id", 3)
+    model = langid.fit(docs.select("doc_id", "text", "lang").where(part != 1))
+    known = langid.with_language(docs.select("doc_id", "text"), model)
+    return known.select("doc_id", (part == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op9_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = repair_files.write_shards(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+    return repair_files.document_index(shards)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edit(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
@@ -77,5 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
+    "op8_language_id": op8_language_id,
+    "op9_repair_files": op9_repair_files,
     "op10_minhash": op10_minhash,
+    "pipeline": corpus_pipeline.run,
 }

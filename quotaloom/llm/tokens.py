@@ -33,9 +33,22 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # With white space dropped between words, "word" and " word" have the same ids.
         self.spaceless = self._encode(["a", " a", "  a", "\na"]) == self._encode(["a"]) * 4
+        # Letters and the mark after them are separate words to the library's pattern; some fold case first.
+        self.marks = ".," if self._encode(["a.", "a,"]) == self._join([["a", "."], ["a", ","]]) else ""
+        self.caseless = self._encode(["aB", "AB"]) == self._encode(["ab"]) * 2
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _join(self, rows: list[list[str]]) -> list[bytes]:
+        return [b"".join(self._encode(r)) for r in rows]
+
+    def _simpler(self, word: str) -> tuple[str, str]:
+        """(word, mark) whose ids end to end are those of ``word``."""
+        mark = ""
+        if len(word) > 1 and word[-1] in self.marks and word[-2].lower()[-1].isalpha():
+            word, mark = word[:-1], word[-1]
+        return (word.lower() if self.caseless and word.isascii() else word), mark
+
     def _encode(self, words: list[str]) -> list[bytes]:
         from array import array
 
@@ -71,10 +84,21 @@ class WordEncoder:
                     continue
                 new[w] = ids
             local[w] = ids
-        for w, ids in zip(unseen, self._encode(unseen), strict=True):
-            local[w] = ids
+        parts = [self._simpler(w) for w in unseen]
+        known = {}
+        for w in {x for part in parts for x in part}:
+            known[w] = new.get(w) or old.get(w) or (b"" if not w else None)
+        todo = [w for w, ids in known.items() if ids is None]
+        known.update(zip(todo, self._encode(todo), strict=True))
+        for w, (word, mark) in zip(unseen, parts, strict=True):
+            ids = known[word]
             if len(w) <= CACHE_CHARS:
-                new[w] = ids
+                new[word] = ids
+            if mark or w is not word:
+                ids += known[mark]
+                if len(w) <= CACHE_CHARS:
+                    new[w] = ids
+            local[w] = ids
         self.new, self.old = new, old
         get = local.__getitem__
         return [b"".join(map(get, row)) for row in rows]
@@ -104,6 +128,13 @@ def chunks(texts: list[str | None], limit: int = CHUNK_CHARS):
         yield first, len(texts)
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the machine keeps the public tokenizer ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def read_text_file(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
