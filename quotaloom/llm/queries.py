@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quotaloom.llm import exact_dedup, fingerprints, langid, mixing, packing, repair_files, secret_scan, simhash, toxicity
+from quotaloom.llm import exact_dedup, fingerprints, langid, mixing, packing, repair_files, secret_scan, simhash, suffix_dedup, toxicity
 from quotaloom.llm.common import documents
 from quotaloom.llm.tokens import tokenizer_path
 
@@ -62,6 +62,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return suffix_dedup.with_digest(removed).withColumnRenamed("id", "doc_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     part = toxicity.fold("doc_id", 3)
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_toxicity": op5_toxicity,
     "op6_source_mixing": op6_source_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_repair_files": op9_repair_files,
     "op10_minhash": op10_minhash,
