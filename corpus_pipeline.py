@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotaloom.llm import exact_dedup, mixing, packing, simhash, toxicity
-from quotaloom.llm.common import documents, stored
+from quotaloom.llm.common import documents, fresh, stored
 from quotaloom.llm.tokens import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator predicts toxic go; it learns from the labels of the documents given."""
     model = toxicity.fit_by_fold(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.with_score(docs, model, name="_toxic").where("_toxic < 0.5").drop("_toxic")
+    (score,) = fresh(docs, "_toxic")
+    return toxicity.with_score(docs, model, name=score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

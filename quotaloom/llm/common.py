@@ -24,6 +24,17 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores added until ``df`` has no such column in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared scratch folder: spark.checkpoint.dir; only a local session may go without one.
 

@@ -9,10 +9,10 @@ than one salt's rows, and after the first stage only one row per salt.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotaloom.llm.common import SPACE, cut, lookup, text_of
+from quotaloom.llm.common import SPACE, cut, fresh, lookup, text_of
 
 #: Salts a digest group is cut into.
 SALTS = 32
@@ -21,17 +21,24 @@ STEP = "CAST(36893488147419103232 AS DECIMAL(20,0))"
 NO_ID = "CAST(9223372036854775808 AS DECIMAL(20,0))"
 
 
+def _content(text: Column) -> Column:
+    return F.regexp_replace(text, SPACE, "")
+
+
+def _rank(id_value: Column, n_chars: Column) -> Column:
+    """Larger is better: more characters, then a smaller id; a null id comes last."""
+    behind = F.expr(NO_ID) - F.coalesce(id_value.cast("decimal(19,0)"), F.expr(NO_ID))
+    return (n_chars.cast("decimal(10,0)") * F.expr(STEP) + behind).cast("decimal(38,0)")
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("t"))
-    rows = rows.select(
-        "id", F.char_length("t").alias("n_chars"), F.regexp_replace("t", SPACE, "").alias("content")
-    )
-    rank = F.expr(f"CAST(n_chars AS DECIMAL(10,0)) * {STEP} + ({NO_ID} - coalesce(CAST(id AS DECIMAL(19,0)), {NO_ID}))")
+    rows = rows.select("id", F.char_length("t").alias("n_chars"), _content(F.col("t")).alias("content"))
     return rows.select(
         "id",
         "content",
         F.sha2("content", 256).alias("digest"),
-        rank.cast("decimal(38,0)").alias("rank"),
+        _rank(F.col("id"), F.col("n_chars")).alias("rank"),
         F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"),
     )
 
@@ -76,14 +83,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows are matched to the winners by digest and rank, which differ between the rows of a group,
     so a hot group stays spread; repeated rows are combined locally before that.
     """
-    winners = _groups(_keyed(docs, id_col, text_col)).select(F.col("digest").alias("_digest"), F.col("best").alias("_rank"))
+    digest, rank = fresh(docs, "_digest", "_rank")
+    winners = _groups(_keyed(docs, id_col, text_col)).select(F.col("digest").alias(digest), F.col("best").alias(rank))
     t = text_of(text_col)
-    rank = F.expr(
-        f"CAST(char_length(coalesce(CAST(`{text_col}` AS STRING), '')) AS DECIMAL(10,0)) * {STEP}"
-        f" + ({NO_ID} - coalesce(CAST(`{id_col}` AS DECIMAL(19,0)), {NO_ID}))"
-    )
-    marked = docs.withColumns(
-        {"_digest": F.sha2(F.regexp_replace(t, SPACE, ""), 256), "_rank": rank.cast("decimal(38,0)")}
-    )
-    kept = marked.join(winners, ["_digest", "_rank"], "left_semi")
-    return kept.dropDuplicates(["_digest", "_rank"]).drop("_digest", "_rank")
+    marked = docs.withColumns({digest: F.sha2(_content(t), 256), rank: _rank(F.col(id_col).cast("long"), F.char_length(t))})
+    kept = marked.join(winners, [digest, rank], "left_semi")
+    return kept.dropDuplicates([digest, rank]).drop(digest, rank)

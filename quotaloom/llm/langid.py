@@ -157,10 +157,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def with_language(docs: DataFrame, model: dict | None, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with two last columns: the predicted language and its mean probability over the text's windows.
+    """``docs`` with two last columns (replaced if there): the predicted language and its mean probability over the text's windows.
 
     A null text, a text without a letter, and any text where there is no model, is ``und`` with score 0.
     """
+    docs = docs.drop(lang, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
     where, names = docs.columns.index(text_col), [*docs.columns, lang, score]
 

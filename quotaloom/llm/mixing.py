@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotaloom.llm.common import WORD, cut, text_of
+from quotaloom.llm.common import WORD, cut, fresh, text_of
 
 #: Weights of the sources in code point order, repeating; the most often a document may be taken.
 WEIGHTS = (1, 2, 3)
@@ -212,13 +212,14 @@ def take(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str
     Rows are matched by id and size; rows that repeat both all get the rounded mean of what the mix gives them.
     """
     mixed, _ = mix_with_targets(docs, members, id_col, text_col, **options)
-    key = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("size").alias("_size")]
-    chosen = mixed.groupBy(*key).agg(F.round(F.avg("copies")).cast("int").alias("_copies")).where("_copies > 0")
+    key, size, copies, copy = fresh(docs, "_id", "_size", "_copies", "_copy")
+    own = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias(key), F.col("size").alias(size)]
+    chosen = mixed.groupBy(*own).agg(F.round(F.avg("copies")).cast("int").alias(copies)).where(F.col(copies) > 0)
     keyed = docs.withColumns(
         {
-            "_id": F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")),
-            "_size": F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long"),
+            key: F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")),
+            size: F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long"),
         }
     )
-    each = keyed.join(chosen, ["_id", "_size"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    each = keyed.join(chosen, [key, size]).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return each.select(*[F.col(f"`{c}`") for c in docs.columns])
