@@ -116,7 +116,7 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
     cuts = [i / slices for i in range(1, slices)]
     got = rows.agg(F.min(id_col).alias("least"), F.percentile_approx(id_col, cuts or [0.5], 10 * MAX_SLICES).alias("cuts")).first()
     bounds = sorted({got["least"], *(got["cuts"] if cuts else ())} - {None})
-    first = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<long>")
+    first = F.split(F.lit(",".join(map(str, bounds or [0]))), ",").cast("array<long>")  # without rows any bound will do
     own = F.size(F.filter(first, lambda b: b <= F.col(id_col))) - 1
     # With one slice the first row is sent twice to the same slice: the copy is told by its number.
     placed = rows.withColumn("_own", own)

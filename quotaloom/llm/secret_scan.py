@@ -29,6 +29,8 @@ IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]{7,}"
 SAMPLE_DOCS = 20_000
 #: A run is a secret if its log-likelihood ratio is above this: odds of one to ten thousand.
 MIN_RATIO = math.log(10_000)
+#: Counts by which a transition leans on its second character alone.
+PRIOR = 20
 #: Token characters lie between these code points.
 LOW, HIGH = ord("+"), ord("z")
 SIDE = HIGH - LOW + 1
@@ -72,14 +74,20 @@ def base_spans(text: Column) -> Column:
 
 
 def labelled_samples(docs: DataFrame) -> DataFrame:
-    """(value, random) from ``docs`` (id, text, base): values of base spans, digests of ids, and ordinary identifiers."""
+    """(value, random) from ``docs`` (id, text, base).
+
+    Random: the values of base spans, and digests of the ids. Ordinary: identifiers that several documents have,
+    each once, and that are no such value; a random string hardly ever occurs twice.
+    """
     rows = docs.select("id", "text", "base")
     taken = F.transform("base", lambda s: F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
     values = F.transform(taken, lambda v: F.regexp_extract(v, r"[A-Za-z0-9+/_-]+$", 0))
     digest = F.sha2(F.coalesce(F.col("id").cast("string"), F.lit("")), 256)
     made = F.array(digest, F.regexp_replace(F.base64(F.unhex(digest)), "=", ""))
     random = rows.select(F.explode(F.concat(values, made)).alias("value"), F.lit(True).alias("random"))
-    plain = rows.where(F.size("base") == 0).select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("value"))
+    plain = rows.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)))).alias("value"))
+    plain = plain.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+    plain = plain.join(random, "value", "left_anti")
     return random.unionByName(plain.select("value", F.lit(False).alias("random"))).where(F.char_length("value") > 1)
 
 
@@ -95,16 +103,20 @@ def _pairs(value: Column) -> Column:
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio, random over ordinary, of each pair of characters (SIDE * SIDE numbers).
 
-    Transition probabilities by add-one counts over the token characters; without samples all ratios are 0.
+    A transition's probability leans on that of its second character by PRIOR counts, which in turn is
+    smoothed by one count; so characters that ordinary identifiers lack speak for a random string. Without samples all
+    ratios are 0.
     """
     counted = samples.where(F.char_length("value") > 1).select("random", F.explode(_pairs(F.col("value"))).alias("pair"))
-    counts = {True: [1.0] * SIDE**2, False: [1.0] * SIDE**2}
+    counts = {True: [0] * SIDE**2, False: [0] * SIDE**2}
     for r in counted.groupBy("random", "pair").count().collect():  # at most 2 * SIDE * SIDE rows
         counts[r["random"]][r["pair"]] += r["count"]
     logs = {}
     for label, c in counts.items():
-        totals = [sum(c[i * SIDE : (i + 1) * SIDE]) for i in range(SIDE)]
-        logs[label] = [math.log(x / totals[k // SIDE]) for k, x in enumerate(c)]
+        single = [sum(c[k::SIDE]) + 1 for k in range(SIDE)]
+        share = [x / sum(single) for x in single]
+        totals = [sum(c[k * SIDE : (k + 1) * SIDE]) for k in range(SIDE)]
+        logs[label] = [math.log((x + PRIOR * share[k % SIDE]) / (totals[k // SIDE] + PRIOR)) for k, x in enumerate(c)]
     return [a - b for a, b in zip(logs[True], logs[False], strict=True)]
 
 

@@ -54,7 +54,9 @@ def test_ratio_from_the_definition(spark):
     samples = spark.createDataFrame([("x9x9", True), ("abab", False), ("ab", False)], "value string, random boolean")
     table = secret_scan.train(samples)
     side, low = secret_scan.SIDE, secret_scan.LOW
-    want = math.log((1 + 0) / (side + 0)) - math.log((1 + 3) / (side + 3))  # a to b: random never, ordinary 3 of 3
+    prior = secret_scan.PRIOR
+    # a to b: random never, with 3 pairs none of which ends in b; ordinary 3 of 3, with 4 pairs of which 3 end in b.
+    want = math.log(prior / (3 + side) / prior) - math.log((3 + prior * 4 / (4 + side)) / (3 + prior))
     assert abs(table[(ord("a") - low) * side + ord("b") - low] - want) < 1e-12
     got = spark.range(1).select(secret_scan.ratio(F.lit("ab"), table)).first()[0]
     assert abs(got - want) < 1e-5
