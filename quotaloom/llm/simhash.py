@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quotaloom.llm.common import components, cut, lookup, text_of
+from quotaloom.llm.common import components, cut, fresh, lookup, text_of
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -93,28 +93,29 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         for bit in range(low, high):
             mask = ((1 << high) - (1 << low)) & ~(1 << bit)
             mask = mask - (1 << 64) if mask >> 63 else mask
-            variants.append(F.struct(F.lit(bit).alias("bit"), F.col("fp").bitwiseAND(F.lit(mask).cast("long")).alias("rest")))
-    keyed = prints.select("fp", F.explode(F.array(*variants)).alias("key")).select("fp", "key.bit", "key.rest")
-    hubs = [F.min(F.col("fp").bitwiseXOR(F.lit(h).cast("long"))).alias(f"h{i}") for i, h in enumerate(HUBS)]
-    buckets = keyed.groupBy("bit", "rest").agg(F.count(F.lit(1)).alias("n"), *hubs).where("n > 1")
-    # Members of buckets with company, each with its bucket's hubs.
-    met = cut(keyed.join(buckets, ["bit", "rest"]).select(
-        "fp", "bit", "rest", "n", F.array(*[F.col(f"h{i}").bitwiseXOR(F.lit(h).cast("long")) for i, h in enumerate(HUBS)]).alias("hubs")
-    ))
+            rest = F.col("fp").bitwiseAND(F.lit(mask).cast("long"))
+            variants.append(F.xxhash64(F.lit(bit), rest))  # a shared key only proposes a pair: bits are compared below
+    keyed = prints.select("fp", F.explode(F.array(*variants)).alias("key"))
+    # Keys with company first, by a count; both sides are shuffled at any size, as the hint keeps one plan.
+    company = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut(keyed.join(company.hint("merge"), "key"))
+    nearest = [F.min(F.col("fp").bitwiseXOR(F.lit(h).cast("long"))).bitwiseXOR(F.lit(h).cast("long")) for h in HUBS]
+    hubs = members.groupBy("key").agg(F.array(*nearest).alias("hubs"))
+    met = cut(members.join(hubs, "key"))
     near = met.select("fp", F.explode(F.array_distinct("hubs")).alias("hub")).where("fp <> hub")
     near = near.where(_bits_apart(F.col("fp"), F.col("hub")) <= max_bits).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     near = cut(near.distinct())
     first = components(near)
     # What is still apart: bucket members outside the component of the bucket's first hub.
     named = met.where("n > 2").join(first.withColumnRenamed("v", "fp"), "fp", "left")
-    named = named.select("fp", "bit", "rest", F.col("hubs")[0].alias("hub"), F.coalesce("label", "fp").alias("label"))
+    named = named.select("fp", "key", F.col("hubs")[0].alias("hub"), F.coalesce("label", "fp").alias("label"))
     main = first.select(F.col("v").alias("hub"), F.col("label").alias("main"))
     named = named.join(main, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
-    outside = cut(named.where("label <> main").select("fp", "bit", "rest", "label"))
+    outside = cut(named.where("label <> main").select("fp", "key", "label"))
     if outside.isEmpty():
         return first.withColumnsRenamed({"v": "fp"})
-    other = outside.select("bit", "rest", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
-    pairs = named.select("fp", "bit", "rest", "label").join(other, ["bit", "rest"])
+    other = outside.select("key", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
+    pairs = named.select("fp", "key", "label").join(other, "key")
     pairs = pairs.where((F.col("label") != F.col("label2")) & (_bits_apart(F.col("fp"), F.col("fp2")) <= max_bits))
     more = cut(pairs.select(F.col("label").alias("a"), F.col("label2").alias("b")).distinct())
     return components(near.union(more)).withColumnsRenamed({"v": "fp"})
@@ -154,14 +155,14 @@ def drop_near_copies(
     as in ``find_near_groups``.
     """
     groups = _grouped(docs, id_col, text_col, shingle, max_bits)
-    key = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit(""))
+    own = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit(""))
+    key, fp, text = fresh(docs, "_key", "_fp", "_text")
+    groups = groups.withColumn(key, F.coalesce(F.col("id").cast("string"), F.lit("")))
     first = groups.where(F.col("id").eqNullSafe(F.col("component_id")))
-    stay = cut(
-        first.groupBy("label").agg(F.min("fp").alias("_fp"), F.first("component_id").alias("id"), F.count(F.lit(1)).alias("rows"))
-    ).withColumn("_key", F.coalesce(F.col("id").cast("string"), F.lit("")))
-    if stay.where("rows > 1").isEmpty() and stay.groupBy("_key").count().where("count > 1").isEmpty():
-        return docs.withColumn("_key", key).join(stay.select("_key"), "_key", "left_semi").drop("_key")
+    stay = cut(first.groupBy("label", key).agg(F.min("fp").alias(fp)))
+    if groups.join(stay, key, "left_semi").count() == stay.count():
+        return docs.withColumn(key, own).join(stay, key, "left_semi").drop(key)
     # Some id is repeated: its rows are told apart by their fingerprints.
-    marked = with_fingerprints(docs.withColumns({"_key": key, "_text": text_of(text_col)}), "_text", "_fp", shingle)
-    kept = marked.join(stay.select("_key", "_fp"), ["_key", "_fp"], "left_semi")
-    return kept.dropDuplicates(["_key", "_fp"]).drop("_key", "_fp", "_text")
+    marked = with_fingerprints(docs.withColumns({key: own, text: text_of(text_col)}), text, fp, shingle)
+    kept = marked.join(stay, [key, fp], "left_semi")
+    return kept.dropDuplicates([key, fp]).drop(key, fp, text)
