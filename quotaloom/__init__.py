@@ -5,7 +5,6 @@ Layers:
   functions/  reusable column expressions and distributed helpers
   operators/  cleaning, derivations, KPIs, measures, experiments, forecasting, reports
   plans/      warehouse assembly (star schema), jobs, query registry
-  streaming/  incremental landing of extract files
 """
 
 __version__ = "0.1.0"

@@ -43,11 +43,13 @@ def rnd(c: Column | str, digits: int) -> Column:
     """Round half away from zero on the scaled double.
 
     Spark's ``round`` and DuckDB's ``round`` disagree on binary ties; this form gives
-    the same double in both engines.
+    the same double in both engines. From 2^53 on the scaled double has no fraction, so the
+    value is its own rounding (and ``floor``, a BIGINT in Spark, would saturate).
     """
     x = col(c).cast("double")
     p = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)
+    scaled = F.abs(x) * F.lit(p)
+    return F.when(scaled < F.lit(2.0 ** 53), F.signum(x) * F.floor(scaled + F.lit(0.5)) / F.lit(p)).otherwise(x)
 
 
 def safe_div(num: Column | str, den: Column | str) -> Column:
@@ -56,6 +58,11 @@ def safe_div(num: Column | str, den: Column | str) -> Column:
     return col(num).cast("double") / F.when(d != 0, d)
 
 
+def weighted(value: Column, probability: Column) -> Column:
+    """value · probability / 100 in exact DECIMAL, so that sums of it do not depend on order."""
+    return value.cast("decimal(18,2)") * probability.cast("decimal(13,10)") * F.lit(0.01).cast("decimal(3,2)")
+
+
 def divide_or(num: Column | str, den: Column | str, alt: float = 0.0) -> Column:
     """DIVIDE(num, den, alt): alt when den is zero or blank."""
     return F.coalesce(safe_div(num, den), F.lit(float(alt)))
@@ -98,8 +105,8 @@ def month_key(d: Column | str) -> Column:
 
 
 def month_start(m: Column | str) -> Column:
-    """First day of a 'yyyy-MM' month key."""
-    return F.to_date(F.concat(col(m), F.lit("-01")))
+    """First day of a 'yyyy-MM' month key; null for any other text."""
+    return F.try_to_date(F.concat(col(m), F.lit("-01")), "yyyy-MM-dd")
 
 
 def null_tokens(c: Column | str) -> Column:
@@ -118,6 +125,8 @@ def _lit_sql(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Texts that count as numbers.
+_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
 _TOKENS_SQL = ", ".join(_lit_sql(t) for t in NA_TOKENS)
 
 
@@ -159,6 +168,7 @@ def to_number(df: DataFrame, name: str, dtype: str = "double") -> Column:
     x = _q(name)
     if isinstance(dt, (T.StringType, T.VarcharType, T.CharType)):
         x = _null_tokens_sql(_strip_sql(x))
+        x = f"CASE WHEN {x} RLIKE '{_NUMBER}' THEN {x} END"  # a cast alone would take '12d' for 12
     d = f"try_cast({x} AS DOUBLE)"
     d = f"CASE WHEN NOT isnan({d}) THEN {d} END"
     return F.expr(d if dtype == "double" else f"try_cast({d} AS {dtype.upper()})")

@@ -1,56 +1,53 @@
 """Exact median per group without gathering a group in one task.
 
-``percentile``/``median`` buffer every distinct value of a group in one task; a group
-that holds a third of the data would not fit. Here the values are range-partitioned
-and sorted on (group, value) — the range partitioner samples the data, so a hot group is
-spread over many partitions — then:
-
-1. per (group, partition): row count and the first row id (small table);
-2. per group: rows before each partition (window over that small table) and n;
-3. the one or two middle ranks are located as (partition, row id) pairs and picked out
-   of the sorted data by a join with that tiny table; their mean is the median
-   (pandas' definition: mean of the two middle values for even n).
-
-Row ids come from ``monotonically_increasing_id`` after the in-partition sort; the sorted
-(group, value, partition id, row id) rows are checkpointed once (eager, reliable, in the
-session's ``spark.checkpoint.dir``), so both uses read identical ids and a lost executor
-does not change them.
+``percentile``/``median`` buffer every distinct value of a group in one task. Here equal
+values collapse to (group, value, count) first, map-side, so a value that most rows share costs
+one row. Then
+
+1. values are counted by coarse bucket, a monotone function of the value (its logarithm in
+   steps of 1/256, signed): the few buckets of a group are cumulated in order, which tells the
+   bucket and the rank within it of the one or two middle values;
+2. only the values of those buckets are cumulated one by one.
+
+The median is the mean of the two middle values (pandas' definition for an even count).
+Everything is a lazy plan: no sort of the rows, no checkpoint, no job while it is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .joins import small
+#: Steps of a bucket per doubling of the value, and an offset above any logarithm of a double in such steps.
+_STEPS, _OFFSET = 256, 300_000
+
+
+def _bucket(v: Column) -> Column:
+    size = F.floor(F.log2(F.abs(v)) * F.lit(float(_STEPS))) + F.lit(_OFFSET)
+    return F.when(v == 0, F.lit(0).cast("bigint")).otherwise(F.signum(v).cast("bigint") * size)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median",
                  partitions: int | None = None) -> DataFrame:
+    """Per non-null ``keys``: the median of the non-null, finite values. ``partitions``: of the value
+    counts, where the session's number does not suit."""
     keys = list(keys)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    s = (v.repartitionByRange(n_parts, *keys, "_v").sortWithinPartitions(*keys, "_v")
-         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
-    # Both uses below must see the same partition and row ids. Two range shuffles would
-    # sample with different seeds, so rather than rely on exchange reuse the ids are
-    # materialised once (reliable checkpoint in the session's checkpoint folder).
-    ensure_checkpoint_dir(spark)
-    s = s.checkpoint(eager=True)
-    per_part = s.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    wk = Window.partitionBy(*keys)
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = (per_part.withColumn("_n", F.sum("_c").over(wk))
-                .withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))))
-    k1 = F.floor((F.col("_n") + 1) / 2)
-    k2 = F.floor(F.col("_n") / 2) + 1
-    targets = per_part.select(
-        *keys, "_pid", F.explode(F.array_distinct(F.array(k1, k2))).alias("_k"), "_before", "_c", "_m0")
-    targets = targets.filter((F.col("_k") > F.col("_before")) & (F.col("_k") <= F.col("_before") + F.col("_c")))
-    targets = targets.select("_pid", (F.col("_m0") + F.col("_k") - F.col("_before") - 1).alias("_mid"))
-    picked = s.join(small(targets), ["_pid", "_mid"])
-    return picked.groupBy(*keys).agg(F.avg("_v").alias(alias))
+    v = df.select(*keys, F.col(value).cast("double").alias("_v")).na.drop().filter(F.abs(F.col("_v")) < float("inf"))
+    counts = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", _bucket(F.col("_v")))
+    if partitions:
+        counts = counts.repartition(partitions, *keys, "_b")
+    whole = Window.partitionBy(*keys)
+    up_to = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    buckets = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_c"))
+    buckets = buckets.withColumns({"_n": F.sum("_c").over(whole), "_to": F.sum("_c").over(up_to)})
+    ranks = F.array_distinct(F.array(F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1))
+    wanted = buckets.select(*keys, "_b", (F.col("_to") - F.col("_c")).alias("_before"), "_to", F.explode(ranks).alias("_k"))
+    wanted = wanted.filter((F.col("_k") > F.col("_before")) & (F.col("_k") <= F.col("_to")))
+    wanted = wanted.groupBy(*keys, "_b").agg(F.collect_list(F.col("_k") - F.col("_before")).alias("_ks"))  # one or two
+    near = counts.join(wanted, [*keys, "_b"])
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.withColumn("_at", F.sum("_c").over(inside))
+    hit = F.exists("_ks", lambda k: (k <= F.col("_at")) & (k > F.col("_at") - F.col("_c")))
+    return near.filter(hit).groupBy(*keys).agg(F.avg("_v").alias(alias))

@@ -9,7 +9,7 @@ values become null, business rules, derived columns. Each function is a lazy
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +23,23 @@ from ..functions.joins import small
 from ..sources.schemas import FOREIGN_KEYS, MONEY, NOT_NULL, PRIMARY_KEYS
 
 
-def _first(df: DataFrame, key: str) -> DataFrame:
-    """Keep the first row per key in ingest order (``_seq``); the order column is dropped."""
+def _first(df: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Keep the first row per key in ingest order (``_seq``); the order column is dropped.
+
+    ``unique``: the key is unique by construction (a derived extract), there is nothing to drop.
+    """
+    if unique:
+        return df.drop("_seq")
     if "_seq" not in df.columns:
-        df = df.withColumn("_seq", F.monotonically_increasing_id())
+        raise ValueError(f"keep-first on {key} needs the input order in a column _seq")
     return keep_first(df, key, ["_seq"]).drop("_seq")
 
 
+def _money(number: Column) -> Column:
+    """The amount as stored; null where it does not fit, so that the rules judge what is stored."""
+    return number.try_cast(MONEY)
+
+
 def _key(df: DataFrame, name: str) -> Column:
     """Identifier column: text keys get the missing-token rule, typed keys stay as they are."""
     dt = df.schema[name].dataType.simpleString()
@@ -62,7 +72,8 @@ def _coerce_opportunities(d: DataFrame) -> DataFrame:
         to_date_lenient(d, "created_date").alias("created_date"),
         to_date_lenient(d, "close_date").alias("close_date"),
         F.when(F.coalesce(stage.isin(VALID_STAGES), F.lit(False)), stage).otherwise("Prospecting").alias("stage"),
-        to_number(d, "deal_value").alias("_value"),
+        to_number(d, "deal_value").alias("_number"),
+        _money(to_number(d, "deal_value")).alias("_value"),
         clip(to_number(d, "probability"), 0.0, 100.0).alias("probability"),
         F.abs(to_number(d, "days_in_pipeline")).try_cast("int").alias("days_in_pipeline"),
         F.coalesce(to_number(d, "is_won").try_cast("int"), F.lit(0)).alias("is_won"),
@@ -83,9 +94,9 @@ def clean_opportunities(raw: DataFrame) -> DataFrame:
     d = d.filter(~((F.col("is_closed") == 1) & F.col("close_date").isNull()))
     return d.select(
         "opportunity_id", "rep_id", "product_id", "campaign_id", "created_date", "close_date", "stage",
-        F.col("_value").cast(MONEY).alias("deal_value"),
+        F.col("_value").alias("deal_value"),
         "probability", "days_in_pipeline", "is_won", "is_closed",
-        rnd(F.col("_value") * F.col("probability") / F.lit(100.0), 2).alias("weighted_value"),
+        rnd(F.col("_number") * F.col("probability") / F.lit(100.0), 2).alias("weighted_value"),
     )
 
 
@@ -123,17 +134,18 @@ def _rule_specs():
     }
 
 
-def dq_rule_counts(raws: Mapping[str, DataFrame]) -> DataFrame:
+def dq_rule_counts(raws: Mapping[str, DataFrame], unique: Collection[str] = ()) -> DataFrame:
     """TR9 per rule: for every dataset, rows in, duplicates removed, rows dropped by each
     validity rule (in the order the rules apply), rows changed by each repair, rows out.
-    Per dataset: one count of the raw rows and one aggregate over the deduplicated rows."""
+    Per dataset: one count of the raw rows and one aggregate over the deduplicated rows.
+    ``unique`` names the datasets whose key is unique by construction."""
     parts = []
     for name, (key, coerce, drops, repairs) in _rule_specs().items():
         if name not in raws:
             continue
         raw = raws[name]
         n_in = raw.agg(F.count(F.lit(1)).alias("_in"))
-        d = coerce(_first(raw, key))
+        d = coerce(_first(raw, key, name in unique))
         alive = F.lit(True)
         aggs = [F.count(F.lit(1)).alias("_dedup")]
         for i, (_, fails) in enumerate(drops):
@@ -163,44 +175,44 @@ def _coerce_revenue(d: DataFrame) -> DataFrame:
     return d.select(
         _key(d, "revenue_id"), _key(d, "opportunity_id"), _key(d, "rep_id"), _key(d, "product_id"),
         to_date_lenient(d, "close_date").alias("close_date"),
-        to_number(d, "revenue").alias("_rev"),
+        _money(to_number(d, "revenue")).alias("_rev"),
     )
 
 
-def clean_revenue(raw: DataFrame) -> DataFrame:
+def clean_revenue(raw: DataFrame, unique: bool = False) -> DataFrame:
     """TR3: dedupe; coerce; drop incomplete; revenue > 0; month_year recomputed from close_date."""
-    d = _coerce_revenue(_first(raw, "revenue_id"))
+    d = _coerce_revenue(_first(raw, "revenue_id", unique))
     d = d.na.drop(subset=["revenue_id", "rep_id", "_rev", "close_date"]).filter(F.col("_rev") > 0)
     return d.select(
         "revenue_id", "opportunity_id", "rep_id", "product_id", "close_date",
-        F.col("_rev").cast(MONEY).alias("revenue"),
+        F.col("_rev").alias("revenue"),
         month_key("close_date").alias("month_year"),
     )
 
 
 def _coerce_quotas(d: DataFrame) -> DataFrame:
     return d.select(_key(d, "quota_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
-                    to_number(d, "quota_amount").alias("_q"))
+                    _money(to_number(d, "quota_amount")).alias("_q"))
 
 
-def clean_quotas(raw: DataFrame) -> DataFrame:
+def clean_quotas(raw: DataFrame, unique: bool = False) -> DataFrame:
     """TR4: dedupe; coerce; drop incomplete; quota > 0."""
-    d = _coerce_quotas(_first(raw, "quota_id"))
+    d = _coerce_quotas(_first(raw, "quota_id", unique))
     d = d.na.drop(subset=["quota_id", "rep_id", "month_year", "_q"]).filter(F.col("_q") > 0)
-    return d.select("quota_id", "rep_id", "month_year", F.col("_q").cast(MONEY).alias("quota_amount"))
+    return d.select("quota_id", "rep_id", "month_year", F.col("_q").alias("quota_amount"))
 
 
 def _coerce_forecasts(d: DataFrame) -> DataFrame:
     return d.select(_key(d, "forecast_id"), _key(d, "rep_id"), to_text(d, "month_year").alias("month_year"),
-                    to_number(d, "forecasted_rev").alias("_f"),
+                    _money(to_number(d, "forecasted_rev")).alias("_f"),
                     to_date_lenient(d, "forecast_date").alias("forecast_date"))
 
 
-def clean_forecasts(raw: DataFrame) -> DataFrame:
+def clean_forecasts(raw: DataFrame, unique: bool = False) -> DataFrame:
     """TR5: dedupe; coerce; drop incomplete (no positivity rule)."""
-    d = _coerce_forecasts(_first(raw, "forecast_id"))
+    d = _coerce_forecasts(_first(raw, "forecast_id", unique))
     d = d.na.drop(subset=["forecast_id", "rep_id", "month_year", "_f"])
-    return d.select("forecast_id", "rep_id", "month_year", F.col("_f").cast(MONEY).alias("forecasted_rev"),
+    return d.select("forecast_id", "rep_id", "month_year", F.col("_f").alias("forecasted_rev"),
                     "forecast_date")
 
 
@@ -211,7 +223,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     return d.select(
         _key(d, "product_id"), to_text(d, "product_name").alias("product_name"),
         to_text(d, "category").alias("category"),
-        unit.cast(MONEY).alias("unit_price"), cost.cast(MONEY).alias("cost_price"),
+        _money(unit).alias("unit_price"), _money(cost).alias("cost_price"),
         rnd(safe_div(unit - cost, unit) * F.lit(100.0), 2).alias("margin_pct"),
     )
 

@@ -9,7 +9,7 @@ how the data is partitioned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,17 +42,46 @@ def _square(df: DataFrame, value: str) -> Column:
     return v.cast("double") * v.cast("double")
 
 
+def campaign_moments(opps: DataFrame, campaigns: DataFrame, value_col: str = "deal_value",
+                     by: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """Experiment rows reduced to sufficient statistics before any join: per campaign type (and
+    per ``by`` attribute: name → (dimension, its key)) the counts, Σx, Σx² and wins of closed opportunities.
+
+    The fact is grouped by campaign id and dimension keys first, so the joins see a few rows per key,
+    however large the fact and however few the campaigns. The result takes the place of the
+    experiment rows in every test below.
+    """
+    by = dict(by or {})
+    fks = [fk for _, fk in by.values()]
+    closed = opps.filter(F.col("is_closed") == 1)
+    pre = closed.groupBy("campaign_id", *fks).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value_col).alias("_n"), F.sum(value_col).alias("_s1"),
+        F.sum(_square(closed, value_col)).alias("_s2"), F.sum("is_won").alias("_won"))
+    j = pre.join(small(campaigns.select("campaign_id", "campaign_type")), "campaign_id")
+    for name, (dim, fk) in by.items():
+        j = j.join(small(dim.select(fk, name)), fk)
+    return j.groupBy("campaign_type", *by).agg(*[F.sum(c).alias(c) for c in ("_rows", "_n", "_s1", "_s2", "_won")])
+
+
+def _reduced(df: DataFrame, group_col: str, value_col: str, by: Sequence[str]) -> DataFrame:
+    """``df`` if it is already reduced, else its statistics per group."""
+    if "_s2" in df.columns:
+        return df
+    return df.groupBy(group_col, *by).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count(value_col).alias("_n"), F.sum(value_col).alias("_s1"),
+        F.sum(_square(df, value_col)).alias("_s2"),
+        (F.sum("is_won") if "is_won" in df.columns else F.lit(None).cast("bigint")).alias("_won"))
+
+
 def moments(df: DataFrame, group_col: str, value_col: str, group_a: str = "A", group_b: str = "B",
             by: Sequence[str] = ()) -> DataFrame:
-    """n, Σx, Σx² of ``value_col`` (nulls dropped) and won/total for groups a and b."""
-    g, v = F.col(group_col), F.col(value_col)
-    sq = _square(df, value_col)
-    aggs = []
+    """n, Σx, Σx² of ``value_col`` (nulls dropped) for groups a and b, per ``by``."""
+    r, aggs = _reduced(df, group_col, value_col, by), []
     for tag, lab in (("a", group_a), ("b", group_b)):
-        inn = g == F.lit(lab)
-        aggs += [F.count(F.when(inn, v)).alias(f"n_{tag}"), F.sum(F.when(inn, v)).alias(f"s1_{tag}"),
-                 F.sum(F.when(inn, sq)).alias(f"s2_{tag}")]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        inn = F.col(group_col) == F.lit(lab)
+        aggs += [F.coalesce(F.sum(F.when(inn, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"n_{tag}"),
+                 F.sum(F.when(inn, F.col("_s1"))).alias(f"s1_{tag}"), F.sum(F.when(inn, F.col("_s2"))).alias(f"s2_{tag}")]
+    return r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
 
 
 def _mean_var(tag: str) -> tuple[Column, Column]:
@@ -70,11 +99,11 @@ def welch_stats(df: DataFrame, group_col: str, value_col: str, group_a: str = "A
     ma, va = _mean_var("a")
     mb, vb = _mean_var("b")
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    t = (ma - mb) / F.sqrt(va / na + vb / nb)
-    d = (mb - ma) / F.sqrt((va + vb) / F.lit(2.0))
+    t = safe_div(ma - mb, F.sqrt(safe_div(va, na) + safe_div(vb, nb)))
+    pooled = F.sqrt((va + vb) / F.lit(2.0))
     m = m.select(*by, "n_a", "n_b", ma.alias("_ma"), mb.alias("_mb"), t.alias("_t"),
                  welch_df(va, na, vb, nb).alias("_df"),
-                 F.when(F.sqrt((va + vb) / F.lit(2.0)) > 0, d).otherwise(F.lit(0.0)).alias("_d"))
+                 F.when(pooled > 0, safe_div(mb - ma, pooled)).otherwise(F.lit(0.0)).alias("_d"))
     return m.select(
         *by, F.lit("Independent t-test (Welch's)").alias("test"), F.lit(value_col).alias("metric"),
         F.lit(group_a).alias("group_a"), F.lit(group_b).alias("group_b"), "n_a", "n_b",
@@ -117,12 +146,12 @@ def ab_welch_ttest_p(df: DataFrame, group_col: str = "campaign_type", value_col:
 def chi_square_stats(df: DataFrame, group_col: str = "campaign_type", group_a: str = "A", group_b: str = "B",
                      by: Sequence[str] = ()) -> DataFrame:
     """AB3 statistics: 2×2 won/lost cells, win rates, Yates-corrected χ² (dof 1)."""
-    g, won = F.col(group_col), F.col("is_won")
-    aggs = []
+    r, aggs = _reduced(df, group_col, "is_won", by), []
     for tag, lab in (("a", group_a), ("b", group_b)):
-        inn = g == F.lit(lab)
-        aggs += [F.count(F.when(inn, F.lit(1))).alias(f"n_{tag}"), F.sum(F.when(inn, won)).alias(f"won_{tag}")]
-    c = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        inn = F.col(group_col) == F.lit(lab)
+        aggs += [F.coalesce(F.sum(F.when(inn, F.col("_rows"))), F.lit(0)).cast("bigint").alias(f"n_{tag}"),
+                 F.sum(F.when(inn, F.col("_won"))).alias(f"won_{tag}")]
+    c = r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
     c = c.select(*by, "n_a", "n_b", F.coalesce(F.col("won_a"), F.lit(0)).cast("bigint").alias("won_a"),
                  F.coalesce(F.col("won_b"), F.lit(0)).cast("bigint").alias("won_b"))
     c = c.withColumn("lost_a", F.col("n_a") - F.col("won_a")).withColumn("lost_b", F.col("n_b") - F.col("won_b"))
@@ -202,12 +231,14 @@ def ab_report(df: DataFrame, group_col: str = "campaign_type", value_col: str =
 
 def ab_tests_grouped(df: DataFrame, by: Sequence[str], group_col: str = "campaign_type",
                      value_col: str = "deal_value", group_a: str = "A", group_b: str = "B") -> DataFrame:
-    """AB7: the t-test, Cohen's d and χ² statistics per value of ``by`` in one job."""
+    """AB7: t-test, Cohen's d and χ² per value of ``by`` in one job, each with p-value, significance and
+    magnitude. A key with flat or missing groups has null statistics; it does not stop the others."""
     by = list(by)
-    t = welch_stats(df, group_col, value_col, group_a, group_b, by).select(
-        *by, "n_a", "n_b", "mean_a", "mean_b", "t_statistic", "welch_df",
-        rnd("_d_raw", 4).alias("cohens_d"))
-    c = chi_square_stats(df, group_col, group_a, group_b, by).select(
-        *by, F.col("n_a").alias("cases_a"), F.col("n_b").alias("cases_b"), "win_rate_a", "win_rate_b",
-        "chi2_statistic")
+    t = welch_stats(df, group_col, value_col, group_a, group_b, by).withColumn("_p", t_pvalue(F.col("_t_raw"), F.col("_df_raw")))
+    t = t.select(*by, "n_a", "n_b", "mean_a", "mean_b", "t_statistic", "welch_df", rnd("_p", 6).alias("p_value"),
+                 (F.col("_p") < ALPHA).alias("significant"), rnd("_d_raw", 4).alias("cohens_d"),
+                 effect_magnitude("_d_raw").alias("effect_magnitude"))
+    c = chi_square_stats(df, group_col, group_a, group_b, by).withColumn("_p", chi2_pvalue_df1(F.col("_chi2")))
+    c = c.select(*by, F.col("n_a").alias("cases_a"), F.col("n_b").alias("cases_b"), "win_rate_a", "win_rate_b",
+                 "chi2_statistic", rnd("_p", 6).alias("chi2_p_value"), (F.col("_p") < ALPHA).alias("chi2_significant"))
     return t.join(c, by, "full_outer")

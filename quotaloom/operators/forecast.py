@@ -8,8 +8,8 @@
   on that key's monthly series (a few hundred rows at most), NumPy only.
 * FC3–FC5: metrics, horizon labels and chart data over the FC1 output, in SQL terms.
 
-Grid bounds: α ∈ (0, 1), β ∈ [0, 1]. Series shorter than 3 points: level = last value,
-trend 0.
+Grid bounds: α ∈ (0, 1), β ∈ [0, 1]. A key's series covers every month from its first to its
+last: a month without rows counts as 0, as a blank sum does in the dashboard measures.
 """
 
 from __future__ import annotations
@@ -90,6 +90,10 @@ def forecast_chart_data(fitted: DataFrame, keys: Sequence[str], horizon: int = 3
 
 # ── FC2: per-key least-squares fit ───────────────────────────
 
+#: Widths of (α, β) below which the grid is not refined; reported are four digits.
+TOLERANCE = 1e-7
+
+
 def _sse_grid(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray):
     """For each (α, β) on the grid: optimal (l0, b0) and SSE, vectorised over the grid."""
     A, B = np.meshgrid(alphas, betas, indexing="ij")
@@ -110,21 +114,21 @@ def _sse_grid(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray):
         lvl = new_lvl
     det = suu * svv - suv * suv
     ok = np.abs(det) > 1e-12 * np.maximum(1.0, suu * svv)
-    l0 = np.where(ok, (sur * svv - svr * suv) / np.where(ok, det, 1.0), 0.0)
-    b0 = np.where(ok, (svr * suu - sur * suv) / np.where(ok, det, 1.0), 0.0)
+    l0 = np.where(ok, (sur * svv - svr * suv) / np.where(ok, det, 1.0), y[0])
+    b0 = np.where(ok, (svr * suu - sur * suv) / np.where(ok, det, 1.0), y[1] - y[0] if len(y) > 1 else 0.0)
     sse = srr - 2 * (l0 * sur + b0 * svr) + (l0 * l0 * suu + 2 * l0 * b0 * suv + b0 * b0 * svv)
     return A, B, l0, b0, sse
 
 
 def fit_holt(y: np.ndarray) -> dict:
-    """Least-squares Holt fit: coarse grid, then two zoomed grids around the best point."""
-    n = len(y)
-    if n < 3:
-        last = float(y[-1]) if n else float("nan")
-        return {"alpha": 1.0, "beta": 0.0, "l0": last, "b0": 0.0, "sse": 0.0, "level": last, "trend": 0.0}
+    """Least-squares Holt fit: a grid over (α, β), zoomed around its best point until it is finer than TOLERANCE.
+
+    One rule for every length: where the normal equations leave (l0, b0) open, as for one or two points, the
+    start is l0 = y1, b0 = y2 − y1 (no trend for a single point).
+    """
     lo_a, hi_a, lo_b, hi_b = 0.01, 0.99, 0.0, 1.0
     best = None
-    for _ in range(3):
+    while best is None or max(hi_a - lo_a, hi_b - lo_b) > TOLERANCE:
         A, B, l0, b0, sse = _sse_grid(y, np.linspace(lo_a, hi_a, 25), np.linspace(lo_b, hi_b, 25))
         i = int(np.nanargmin(sse))
         best = (A[i], B[i], l0[i], b0[i], sse[i])
@@ -152,15 +156,16 @@ def holt_forecast(df: DataFrame, keys: Sequence[str], value: str, horizon: int =
         T.StructField("beta", T.DoubleType()), T.StructField("sse", T.DoubleType())])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month_year")
-        r = fit_holt(pdf["y"].to_numpy(dtype="float64"))
-        last = pd.Period(pdf["month_year"].iloc[-1], freq="M")
+        y = pd.Series(pdf["y"].to_numpy(dtype="float64"), index=pd.PeriodIndex(pdf["month_year"], freq="M")).sort_index()
+        y = y.reindex(pd.period_range(y.index[0], y.index[-1], freq="M"), fill_value=0.0)
+        r = fit_holt(y.to_numpy())
+        last = y.index[-1]
         rows = []
         for h in range(1, horizon + 1):
             row = {k: pdf[k].iloc[0] for k in keys}
             row.update({"month_year": str(last + h), "step": h,
-                        "forecasted_revenue": round(r["level"] + h * r["trend"], 2),
-                        "alpha": round(r["alpha"], 4), "beta": round(r["beta"], 4), "sse": r["sse"]})
+                        "forecasted_revenue": r["level"] + h * r["trend"],
+                        "alpha": r["alpha"], "beta": r["beta"], "sse": r["sse"]})
             rows.append(row)
         return pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
@@ -168,5 +173,6 @@ def holt_forecast(df: DataFrame, keys: Sequence[str], value: str, horizon: int =
         monthly = monthly.withColumn("_all", F.lit(1))
         out_schema = T.StructType([T.StructField("_all", T.IntegerType())] + list(out_schema.fields))
         keys = ["_all"]
-        return monthly.groupBy("_all").applyInPandas(fit, out_schema).drop("_all")
-    return monthly.groupBy(*keys).applyInPandas(fit, out_schema)
+    fitted = monthly.groupBy(*keys).applyInPandas(fit, out_schema).withColumns(
+        {"forecasted_revenue": rnd("forecasted_revenue", 2), "alpha": rnd("alpha", 4), "beta": rnd("beta", 4)})
+    return fitted.drop("_all")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import clip, kpi_band, month_key, rnd, safe_div
+from ..functions.exprs import clip, kpi_band, month_key, rnd, safe_div, weighted
 from ..functions.joins import small
 
 REP_ATTRS = ["rep_id", "rep_name", "region", "territory"]
@@ -56,11 +56,6 @@ def _reps(reps: DataFrame, *cols: str) -> DataFrame:
     return small(reps.select("rep_id", *cols))
 
 
-def _exact_weighted(value: Column, prob: Column) -> Column:
-    """value · prob / 100 in exact DECIMAL (a sum of it is then order-independent)."""
-    return value.cast("decimal(18,2)") * prob.cast("decimal(9,4)") * F.lit(0.01).cast("decimal(3,2)")
-
-
 # ── K1 win rate ──────────────────────────────────────────────
 
 def _closed_by_rep_month(opps: DataFrame) -> DataFrame:
@@ -227,6 +222,11 @@ def territory_performance(opps: DataFrame, reps: DataFrame) -> DataFrame:
                     rnd(safe_div("_sd", "_cd"), 1).alias("avg_cycle_days"))
 
 
+def _wide(x: str) -> Column:
+    """A count or sum that a row multiplicity scales: wide enough for a hot key's product."""
+    return F.col(x).cast("decimal(20,0)")
+
+
 def _w(x: str) -> Column:
     """Row multiplicity of a left-joined side: its row count, or 1 when it had no rows."""
     return F.greatest(F.coalesce(F.col(x), F.lit(0)), F.lit(1))
@@ -248,9 +248,9 @@ def territory_summary_fanout(opps: DataFrame, reps: DataFrame, revenue: DataFram
         F.coalesce(F.sum("o_ids"), F.lit(0)).alias("total_opportunities"),
         F.coalesce(F.sum("r_ids"), F.lit(0)).alias("closed_won_deals"),
         F.sum(F.col("sr") * _w("o_rows")).alias("_sr"),
-        F.sum(F.col("cr") * _w("o_rows")).alias("_cr"),
-        F.sum(F.col("sd") * _w("r_rows")).alias("_sd"),
-        F.sum(F.col("cd") * _w("r_rows")).alias("_cd"))
+        F.sum(_wide("cr") * _w("o_rows")).alias("_cr"),
+        F.sum(_wide("sd") * _w("r_rows")).alias("_sd"),
+        F.sum(_wide("cd") * _w("r_rows")).alias("_cd"))
     return g.select("territory", "region", "total_opportunities", "closed_won_deals",
                     rnd("_sr", 2).alias("total_revenue"), rnd(safe_div("_sr", "_cr"), 2).alias("avg_deal_size"),
                     rnd(safe_div("closed_won_deals", "total_opportunities"), 4).alias("win_rate"),
@@ -293,9 +293,9 @@ def exec_kpi_summary(opps: DataFrame, reps: DataFrame, revenue: DataFrame, quota
     g = j.groupBy("region", "territory", "rep_name", "month_year", "quota_amount").agg(
         F.sum(F.col("sr") * _w("o_rows") * qw).alias("_rev"),
         F.coalesce(F.sum("o_ids"), F.lit(0)).alias("total_opps"),
-        F.sum(F.col("won") * F.col("r_rows") * qw).cast("bigint").alias("won_opps"),
-        F.sum(F.col("sd") * F.col("r_rows") * qw).alias("_sd"),
-        F.sum(F.col("cd") * F.col("r_rows") * qw).alias("_cd"))
+        F.sum(_wide("won") * F.col("r_rows") * qw).cast("bigint").alias("won_opps"),
+        F.sum(_wide("sd") * F.col("r_rows") * qw).alias("_sd"),
+        F.sum(_wide("cd") * F.col("r_rows") * qw).alias("_cd"))
     return g.select("region", "territory", "rep_name", "month_year",
                     F.col("_rev").cast("double").alias("actual_revenue"),
                     F.col("quota_amount").cast("double").alias("quota_amount"),
@@ -327,7 +327,7 @@ def pipeline_health(opps: DataFrame, reps: DataFrame) -> DataFrame:
     """V2: open opportunities by rep, territory, stage."""
     pre = opps.filter(F.col("is_closed") == 0).groupBy("rep_id", "stage").agg(
         F.count(F.lit(1)).alias("n"), F.sum("deal_value").alias("v"),
-        F.sum(_exact_weighted(F.col("deal_value"), F.col("probability"))).alias("wv"),
+        F.sum(weighted(F.col("deal_value"), F.col("probability"))).alias("wv"),
         F.sum("days_in_pipeline").alias("sd"), F.count("days_in_pipeline").alias("cd"))
     j = pre.join(_reps(reps, "rep_name", "territory"), "rep_id")
     g = j.groupBy("rep_name", "territory", "stage").agg(

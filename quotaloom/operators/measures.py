@@ -19,16 +19,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import attainment_color, dax_band, divide_or, month_key, safe_div
+from ..functions.exprs import attainment_color, dax_band, divide_or, month_key, safe_div, weighted
 from ..functions.joins import small
 
 REP_COLS = ("rep_name", "region", "territory")
 
 
-def _exact_weighted(value: Column, prob: Column) -> Column:
-    return value.cast("decimal(18,2)") * prob.cast("decimal(9,4)") * F.lit(0.01).cast("decimal(3,2)")
-
-
 # Grain columns that only opportunities relate to (through products, campaigns, or their
 # own stage); revenue, quota and forecast measures are not filtered by them.
 OPP_ONLY = {"category": ("products", "product_id"), "campaign_type": ("campaigns", "campaign_id"),
@@ -103,7 +99,7 @@ class Model:
              "sv": F.sum("deal_value"), "cv": F.count("deal_value"),
              "sdc": F.sum(F.when(closed, F.col("days_in_pipeline"))),
              "cdc": F.count(F.when(closed, F.col("days_in_pipeline"))),
-             "wp": F.sum(F.when(F.col("is_closed") == 0, _exact_weighted(F.col("deal_value"), F.col("probability"))))},
+             "wp": F.sum(F.when(F.col("is_closed") == 0, weighted(F.col("deal_value"), F.col("probability"))))},
             finals={"_n": F.sum("n"), "_won": F.sum("won"), "_closed": F.sum("closed"), "_open": F.sum("open"),
              "_sv": F.sum("sv"), "_cv": F.sum("cv"), "_sdc": F.sum("sdc"), "_cdc": F.sum("cdc"), "_wp": F.sum("wp")})
 
@@ -211,15 +207,22 @@ def mom_variance_pct(model: Model, by: Sequence[str] = ()) -> DataFrame:
 
 
 def running_total_revenue(model: Model, by: Sequence[str] = ()) -> DataFrame:
-    """M13 by month: revenue up to each month with revenue (per ``by`` key).
+    """M13 by month: revenue up to each calendar month (per ``by`` key that has any): a month without
+    revenue carries the total on, months before the first are blank.
 
-    The window runs over one row per (key, month) after aggregation.
+    The spine is the calendar's months exploded per key; the window runs over it, one row per
+    (key, month), after aggregation.
     """
     by = list(by)
-    rev = model.revenue_at([*by, "month_year"])
+    rev = model.revenue_at([*by, "month_year"]).select(*by, "month_year", "_rev")
+    months = model.dates.agg(F.sort_array(F.collect_set(F.substring("date_id", 1, 7))).alias("_months"))
+    keys = rev.select(*by).distinct() if by else months.sparkSession.range(1).select()
+    spine = keys.withColumn("_one", F.lit(1)).join(months.withColumn("_one", F.lit(1)), "_one")
+    spine = spine.select(*by, F.explode("_months").alias("month_year"))
     w = (Window.partitionBy(*by) if by else Window).orderBy("month_year").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return rev.select(*by, "month_year", F.sum(F.col("_rev")).over(w).cast("double").alias("running_total_revenue"))
+    return spine.join(rev, [*by, "month_year"], "left").select(
+        *by, "month_year", F.sum("_rev").over(w).cast("double").alias("running_total_revenue"))
 
 
 def mom_variance_pct_daily(model: Model) -> DataFrame:

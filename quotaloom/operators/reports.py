@@ -7,6 +7,8 @@ named tie-break; their few rows are put in display order within one partition.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,12 +102,12 @@ def dash_attainment_heatmap(model: M.Model) -> DataFrame:
     return M.evaluate(model, ["rep_name", "month_year"], ["quota_attainment"])
 
 
-def dash_attainment_heatmap_wide(model: M.Model) -> DataFrame:
-    """D6 as the matrix visual shows it: one row per rep, one column per month. The month
-    values come from the data (a distinct over the already-aggregated long form, bounded by
-    the calendar); each cell holds one value, so ``first`` is exact."""
+def dash_attainment_heatmap_wide(model: M.Model, months: Sequence[str]) -> DataFrame:
+    """D6 as the matrix visual shows it: one row per rep, one column per month that ``months``
+    names; each cell holds one value, so ``first`` is exact. With the months given, building the
+    plan runs no job."""
     long = M.evaluate(model, ["rep_name", "month_year"], ["quota_attainment"])
-    return long.groupBy("rep_name").pivot("month_year").agg(F.first("quota_attainment"))
+    return long.groupBy("rep_name").pivot("month_year", list(months)).agg(F.first("quota_attainment"))
 
 
 def dash_win_by_campaign_type(opps: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, experiments as ab, forecast as fc, kpis, reports as rp
 from ..sources import sinks
+from ..sources.schemas import PARTITIONS
 from .warehouse import Warehouse, from_extracts, from_testdata
 
 RAW_OF = {"dim_reps": "reps", "dim_products": "products", "dim_campaigns": "campaigns",
           "fact_opportunities": "opportunities", "fact_revenue": "revenue", "fact_quotas": "quotas",
           "fact_forecasts": "forecasts"}
-# Facts stored partitioned by month so month filters prune files.
-PARTITIONS = {"fact_revenue": ["month_year"], "fact_quotas": ["month_year"], "fact_forecasts": ["month_year"]}
 
 
 # Write waves: tables in one wave are independent and are written concurrently (one
@@ -38,14 +37,16 @@ CLEANERS = {"dim_reps": clean.clean_reps, "dim_products": clean.clean_products,
 
 
 def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata", fmt: str = "parquet",
-            timings: dict | None = None, parallel: int = 4) -> DataFrame:
+            timings: dict | None = None, parallel: int = 4, first_day: str | None = None,
+            last_day: str | None = None) -> DataFrame:
     """IO14: extract → transform → load, full replace. Returns the DQ row-count table;
-    ``timings`` (if given) receives seconds per table write."""
+    ``timings`` (if given) receives seconds per table write. The days bound the calendar of
+    extracts; without them it follows the data."""
     from concurrent.futures import ThreadPoolExecutor
 
     started = time.time()
-    w = from_testdata(spark, source) if kind == "testdata" else from_extracts(spark, source)
-    stored = Warehouse(spark, dst, "tables")
+    w = from_testdata(spark, source) if kind == "testdata" else from_extracts(spark, source, first_day, last_day)
+    stored = Warehouse(spark, dst, "tables", fmt=fmt)
     counts: dict = {}
 
     def plan(table: str) -> DataFrame:
@@ -56,7 +57,9 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
         base = _derived_raw(w, stored, label) if label in ("revenue", "forecasts", "quotas") else w.raw(label)
         obs_in, obs_out = Observation(f"in_{label}"), Observation(f"out_{label}")
         counts[label] = {"in": obs_in, "out": obs_out}
-        cleaned = CLEANERS[table](base.observe(obs_in, F.count(F.lit(1)).alias("rows")))
+        seen = base.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+        derived = kind == "testdata" and label in ("revenue", "quotas", "forecasts")
+        cleaned = CLEANERS[table](seen, unique=True) if derived else CLEANERS[table](seen)
         return cleaned.observe(obs_out, F.count(F.lit(1)).alias("rows"))
 
     def write(table: str) -> None:
@@ -121,9 +124,9 @@ def kpi_suite(w: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def kpi_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
-    """IO9: compute and export the six KPI tables (CSV with header)."""
-    w = Warehouse(spark, warehouse_dir, "tables")
+def kpi_job(spark: SparkSession, warehouse_dir: str, out: str, fmt: str = "parquet") -> list[str]:
+    """IO9: compute and export the six KPI tables (CSV with header) of a warehouse stored as ``fmt``."""
+    w = Warehouse(spark, warehouse_dir, "tables", fmt=fmt)
     return sinks.publish({n: kpis.for_export(n, df) for n, df in kpi_suite(w).items()}, out, "csv")
 
 
@@ -131,10 +134,11 @@ def ab_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
     """IO11: campaign summary, t-test (+ effect size) and chi-square result sets."""
     w = Warehouse(spark, warehouse_dir, "tables")
     d = ab.ab_dataset(w.opportunities, w.campaigns)
-    t = ab.ab_welch_ttest_p(d).withColumn("_one", F.lit(1)).join(
-        ab.ab_effect_size(d).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    m = ab.campaign_moments(w.opportunities, w.campaigns)
+    t = ab.ab_welch_ttest_p(m).withColumn("_one", F.lit(1)).join(
+        ab.ab_effect_size(m).withColumn("_one", F.lit(1)), "_one").drop("_one")
     return sinks.publish({"campaign_summary": ab.campaign_summary(d), "t_test_results": t,
-                          "chi_square_results": ab.ab_chi_square_p(d)}, out, "csv")
+                          "chi_square_results": ab.ab_chi_square_p(m)}, out, "csv")
 
 
 def forecast_job(spark: SparkSession, warehouse_dir: str, out: str, horizon: int = 3) -> list[str]:
@@ -157,11 +161,21 @@ def report_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
 
 def create_schema(spark: SparkSession, location: str, fmt: str = "parquet") -> list[str]:
     """IO6: declare the eight processed tables in the catalog (CREATE TABLE IF NOT EXISTS)
-    at ``location``/<table>, with the contract schemas. Declared keys are checked by the
-    DQ job (``dq_constraints``), not enforced on write."""
+    at ``location``/<table>. A table already written there is declared with its own column
+    types and its partitions are found; others get the contract schema. Declared keys are
+    checked by the DQ job (``dq_constraints``), not enforced on write."""
+    from pyspark.errors import AnalysisException
+
     from ..sources.schemas import PROCESSED, ddl
     for name in PROCESSED:
-        spark.sql(f"{ddl(name, fmt)} LOCATION '{location.rstrip('/')}/{name}'")
+        path = f"{location.rstrip('/')}/{name}"
+        try:
+            stored = spark.read.format(fmt).load(path).schema if fmt != "csv" else None
+        except AnalysisException:  # nothing written yet
+            stored = None
+        spark.sql(f"{ddl(name, fmt, stored)} LOCATION '{path}'")
+        if name in PARTITIONS:
+            spark.catalog.recoverPartitions(name)
     return list(PROCESSED)
 
 
@@ -184,7 +198,7 @@ def query(spark: SparkSession, sql: str) -> DataFrame:
 
 def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata",
             via_files: bool = False) -> dict[str, Callable]:
-    """Full refresh then every downstream job, each isolated so one failure does not stop the rest.
+    """Full refresh then every downstream job; one failure does not stop the rest, but the run ends by raising it.
     ``via_files`` lands the driver tables as CSV extracts first (extract → transform → load)."""
     wh = f"{root.rstrip('/')}/warehouse"
     results: dict = {}
@@ -193,9 +207,12 @@ def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata",
         results["extract"] = extract_job(spark, source, raw)
         source, kind = raw, "extracts"
     results["etl"] = etl_job(spark, source, wh, kind)
+    failed: dict[str, Exception] = {}
     for name, job in (("kpi", kpi_job), ("ab", ab_job), ("forecast", forecast_job), ("report", report_job)):
         try:
             results[name] = job(spark, wh, f"{root.rstrip('/')}/exports/{name}")
         except Exception as e:  # noqa: BLE001 — per-job isolation like a scheduler would give
-            results[name] = e
+            failed[name] = e
+    if failed:
+        raise ExceptionGroup(f"jobs failed: {', '.join(failed)}", list(failed.values()))
     return results

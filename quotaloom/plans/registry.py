@@ -16,7 +16,7 @@ from ..functions.exprs import iso_date_text, rnd
 from ..functions.joins import small
 from ..operators import clean, derive, experiments as ab, forecast as fc, kpis, measures as M, reports as rp
 from ..sources import testdata
-from .warehouse import Warehouse, from_testdata
+from .warehouse import ADAPTER_FIRST_MONTH, ADAPTER_LAST_MONTH, Warehouse, from_testdata, months_between
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -65,7 +65,8 @@ def _dq_counts(w: Warehouse) -> DataFrame:
 
 
 register("dq_rule_counts")(lambda w: clean.dq_rule_counts(
-    {n: w.raw(n) for n in ("reps", "opportunities", "revenue", "quotas", "forecasts", "products", "campaigns")}))
+    {n: w.raw(n) for n in ("reps", "opportunities", "revenue", "quotas", "forecasts", "products", "campaigns")},
+    unique=("revenue", "quotas", "forecasts")))
 
 
 @register("dq_constraints")
@@ -131,22 +132,28 @@ def _abd(w: Warehouse) -> DataFrame:
     return ab.ab_dataset(w.opportunities, w.campaigns)
 
 
+def _abm(w: Warehouse, **by) -> DataFrame:
+    return ab.campaign_moments(w.opportunities, w.campaigns, by=by)
+
+
 register("ab_dataset")(_abd)
-register("ab_welch_ttest")(lambda w: ab.ab_welch_ttest(_abd(w)))
-register("ab_welch_ttest_p")(lambda w: ab.ab_welch_ttest_p(_abd(w)))
-register("ab_chi_square")(lambda w: ab.ab_chi_square(_abd(w)))
-register("ab_chi_square_p")(lambda w: ab.ab_chi_square_p(_abd(w)))
-register("ab_effect_size")(lambda w: ab.ab_effect_size(_abd(w)))
+register("ab_welch_ttest")(lambda w: ab.ab_welch_ttest(_abm(w)))
+register("ab_welch_ttest_p")(lambda w: ab.ab_welch_ttest_p(_abm(w)))
+register("ab_chi_square")(lambda w: ab.ab_chi_square(_abm(w)))
+register("ab_chi_square_p")(lambda w: ab.ab_chi_square_p(_abm(w)))
+register("ab_effect_size")(lambda w: ab.ab_effect_size(_abm(w)))
 register("campaign_summary")(lambda w: ab.campaign_summary(_abd(w)))
-register("ab_report")(lambda w: ab.ab_report(_abd(w)))
+register("ab_report")(lambda w: ab.ab_report(_abm(w)))
 
 
 @register("ab_tests_grouped")
 def _ab_grouped(w: Warehouse) -> DataFrame:
-    d = w.opportunities.filter(F.col("is_closed") == 1).select("rep_id", "deal_value", "is_won", "campaign_id")
-    d = d.join(w.campaigns.select("campaign_id", "campaign_type"), "campaign_id").join(
-        w.reps.select("rep_id", "region"), "rep_id")
-    return ab.ab_tests_grouped(d, ["region"])
+    return ab.ab_tests_grouped(_abm(w, region=(w.reps, "rep_id")), ["region"])
+
+
+@register("ab_tests_by_category")
+def _ab_by_category(w: Warehouse) -> DataFrame:
+    return ab.ab_tests_grouped(_abm(w, category=(w.products, "product_id")), ["category"])
 
 
 # ── 2.6 forecasting ──────────────────────────────────────────
@@ -237,7 +244,8 @@ register("dash_open_by_territory")(lambda w: rp.dash_open_by_territory(model(w))
 register("dash_region_matrix")(lambda w: rp.dash_region_matrix(w.opportunities, w.revenue, w.reps))
 register("dash_top10_reps")(lambda w: rp.dash_top10_reps(w.revenue, w.reps))
 register("dash_attainment_heatmap")(lambda w: rp.dash_attainment_heatmap(model(w)))
-register("dash_attainment_heatmap_wide")(lambda w: rp.dash_attainment_heatmap_wide(model(w)))
+register("dash_attainment_heatmap_wide")(
+    lambda w: rp.dash_attainment_heatmap_wide(model(w), months_between(ADAPTER_FIRST_MONTH, ADAPTER_LAST_MONTH)))
 register("dash_win_by_campaign_type")(lambda w: rp.dash_win_by_campaign_type(w.opportunities, w.campaigns))
 register("dash_deal_by_campaign")(lambda w: rp.dash_deal_by_campaign(w.opportunities, w.campaigns))
 register("dash_exec_cards")(lambda w: rp.dash_exec_cards(model(w)))

@@ -13,15 +13,19 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import rnd
+from ..functions.exprs import month_start, rnd
 from ..operators import clean, derive
 from ..sources import landing, testdata
 
-# Fixed values of the adapter (driver tables): quota grid months and date dimension span.
+# Fixed values of the adapter (driver tables): the quota grid's months.
 ADAPTER_FIRST_MONTH = "1995-01"
 ADAPTER_LAST_MONTH = "2001-12"
-ADAPTER_FIRST_DAY = "1995-01-01"
-ADAPTER_LAST_DAY = "2001-12-31"
+
+
+def months_between(first: str, last: str) -> list[str]:
+    """The 'yyyy-MM' keys from ``first`` to ``last``."""
+    (y0, m0), (y1, m1) = (map(int, m.split("-")) for m in (first, last))
+    return [f"{k // 12}-{k % 12 + 1:02d}" for k in range(12 * y0 + m0 - 1, 12 * y1 + m1)]
 
 
 @dataclass
@@ -29,8 +33,9 @@ class Warehouse:
     spark: SparkSession
     source: str
     kind: str = "testdata"  # or "extracts" (CSV landing) or "tables" (a written warehouse)
-    first_day: str = ADAPTER_FIRST_DAY
-    last_day: str = ADAPTER_LAST_DAY
+    first_day: str | None = None  # calendar of the extracts; from the data where not given
+    last_day: str | None = None
+    fmt: str = "parquet"  # of a written warehouse
     _raw: dict = field(default_factory=dict)
 
     # ── raw extracts ─────────────────────────────────────────
@@ -91,30 +96,41 @@ class Warehouse:
     def revenue(self) -> DataFrame:
         if self.kind == "tables":
             return self._stored("fact_revenue")
-        return clean.clean_revenue(self.raw("revenue"))
+        return clean.clean_revenue(self.raw("revenue"), unique=self.kind == "testdata")
 
     @cached_property
     def quotas(self) -> DataFrame:
         if self.kind == "tables":
             return self._stored("fact_quotas")
-        return clean.clean_quotas(self.raw("quotas"))
+        return clean.clean_quotas(self.raw("quotas"), unique=self.kind == "testdata")
 
     @cached_property
     def forecasts(self) -> DataFrame:
         if self.kind == "tables":
             return self._stored("fact_forecasts")
-        return clean.clean_forecasts(self.raw("forecasts"))
+        return clean.clean_forecasts(self.raw("forecasts"), unique=self.kind == "testdata")
 
     @cached_property
     def dates(self) -> DataFrame:
         if self.kind == "tables":
             return self._stored("dim_date")
         if self.kind == "extracts":
-            return clean.dim_date(self.spark, self.first_day, self.last_day)
+            return clean.dim_date_between(self._span())
         return clean.dim_date_between(testdata.date_bounds(self.spark, self.source))
 
+    def _span(self) -> DataFrame:
+        """One row (start, end): the days given, else whole years around the closing dates and quota months."""
+        days = self.opportunities.select(F.col("close_date").alias("d")).unionByName(
+            self.opportunities.select(F.col("created_date").alias("d"))).unionByName(
+            self.revenue.select(F.col("close_date").alias("d"))).unionByName(
+            self.quotas.select(month_start("month_year").alias("d")))
+        first, last = F.date_trunc("year", F.min("d")).cast("date"), F.make_date(F.year(F.max("d")), F.lit(12), F.lit(31))
+        given = lambda day, found: F.lit(day).cast("date") if day else found
+        return days.agg(given(self.first_day, first).alias("start"), given(self.last_day, last).alias("end")).filter(
+            "start IS NOT NULL AND end IS NOT NULL")
+
     def _stored(self, table: str) -> DataFrame:
-        return landing.read_processed(self.spark, self.source, table)
+        return landing.read_processed(self.spark, self.source, table, self.fmt)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -141,6 +157,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, sf_dir, "testdata")
 
 
-def from_extracts(spark: SparkSession, raw_dir: str, first_day: str = "2023-01-01",
-                  last_day: str = "2024-12-31") -> Warehouse:
+def from_extracts(spark: SparkSession, raw_dir: str, first_day: str | None = None,
+                  last_day: str | None = None) -> Warehouse:
+    """Extracts under ``raw_dir``; the calendar spans the given days, or the years that the facts fall in."""
     return Warehouse(spark, raw_dir, "extracts", first_day, last_day)

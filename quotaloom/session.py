@@ -33,7 +33,8 @@ def local_session(cores: int | str = 8, app: str = "quotaloom") -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; set a scratch one only when unset.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is respected as is.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is respected as is; a cluster
+    session without it is refused, as its executors would not share a folder of the driver's.
     Only a local session without it (tests) gets a fresh scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = sc.getCheckpointDir() or ""
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="ql-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.dedupe import ingest_sequence
-from .schemas import PROCESSED, RAW_FILES, raw_schema
+from .schemas import CSV, PROCESSED, RAW_FILES, raw_schema
 
 # Typed contracts of the KPI exports (as written by the KPI job).
 EXPORTS = {
@@ -31,11 +31,22 @@ EXPORTS = {
 
 
 def read_extract(spark: SparkSession, raw_dir: str, name: str, path: str | None = None) -> DataFrame:
-    """IO1: one raw extract as strings (+ ``_seq`` ingest order)."""
+    """IO1: one raw extract as strings (+ ``_seq`` ingest order).
+
+    Quotes follow RFC 4180: a doubled quote is a quote, and a quoted field may hold line breaks. Columns are
+    mapped by the header's names; a header that lacks one is refused. A row with more or fewer fields than the
+    header fails the read rather than landing shifted.
+    """
     path = path or f"{raw_dir.rstrip('/')}/{RAW_FILES[name]}"
-    df = (spark.read.schema(raw_schema(name)).option("header", True).option("mode", "PERMISSIVE")
-          .option("emptyValue", None).csv(path))
-    return df.select("*", ingest_sequence().alias("_seq"))
+    wanted = [f.name for f in raw_schema(name).fields]
+    reader = spark.read.options(**CSV).option("multiLine", True)
+    header = reader.option("inferSchema", False).csv(path).columns
+    missing = [c for c in wanted if c not in header]
+    if missing:
+        raise ValueError(f"extract {name} at {path} has no column {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = reader.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    return df.select(*wanted, ingest_sequence().alias("_seq"))
 
 
 def read_processed(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -43,11 +54,11 @@ def read_processed(spark: SparkSession, root: str, name: str, fmt: str = "parque
     landed type); CSV is read with the table contract."""
     path = f"{root.rstrip('/')}/{name}"
     if fmt == "csv":
-        return spark.read.schema(PROCESSED[name]).option("header", True).csv(path)
+        return spark.read.schema(PROCESSED[name]).options(**CSV).option("multiLine", True).csv(path)
     return spark.read.parquet(path)
 
 
 def read_export(spark: SparkSession, root: str, name: str) -> DataFrame:
     """IO13: typed read of a KPI export (CSV with header)."""
     schema = T._parse_datatype_string(EXPORTS[name])
-    return spark.read.schema(schema).option("header", True).csv(f"{root.rstrip('/')}/{name}")
+    return spark.read.schema(schema).options(**CSV).option("multiLine", True).csv(f"{root.rstrip('/')}/{name}")

@@ -47,6 +47,11 @@ def _s(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 S, D, I, DB = T.StringType(), T.DateType(), T.IntegerType(), T.DoubleType()
 
+# CSV as RFC 4180 has it: a header, and a doubled quote for a quote.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+# Facts stored partitioned by month so month filters prune files.
+PARTITIONS = {"fact_revenue": ["month_year"], "fact_quotas": ["month_year"], "fact_forecasts": ["month_year"]}
+
 PROCESSED = {
     "dim_reps": _s(("rep_id", S), ("rep_name", S), ("region", S), ("territory", S), ("manager", S), ("hire_date", D)),
     "dim_products": _s(("product_id", S), ("product_name", S), ("category", S), ("unit_price", MONEY),
@@ -90,7 +95,15 @@ FOREIGN_KEYS = [
 ]
 
 
-def ddl(name: str, fmt: str = "parquet") -> str:
-    """CREATE TABLE IF NOT EXISTS statement of a processed table."""
-    cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in PROCESSED[name].fields)
-    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}"
+def ddl(name: str, fmt: str = "parquet", stored: T.StructType | None = None) -> str:
+    """CREATE TABLE IF NOT EXISTS statement of a processed table; column types as ``stored`` where it has them
+    (ids keep the type they landed with), partitioned as the ETL writes it."""
+    types = {f.name: f.dataType for f in (stored or PROCESSED[name]).fields}
+    cols = ", ".join(f"{f.name} {types.get(f.name, f.dataType).simpleString().upper()}" for f in PROCESSED[name].fields)
+    options = f" OPTIONS ({', '.join(f'{k} {_quoted(v)}' for k, v in CSV.items())})" if fmt == "csv" else ""
+    parts = f" PARTITIONED BY ({', '.join(PARTITIONS[name])})" if name in PARTITIONS else ""
+    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{options}{parts}"
+
+
+def _quoted(v: str) -> str:
+    return "'" + v + "'"

@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from .schemas import CSV
+
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists",
          "overwrite": "overwrite", "errorifexists": "errorifexists", "ignore": "ignore"}
 
@@ -26,7 +28,7 @@ def write_table(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(MODES[mode]).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**CSV)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -39,7 +41,7 @@ def save_as_table(df: DataFrame, name: str, mode: str = "replace", fmt: str = "p
 
 def write_csv(df: DataFrame, path: str, mode: str = "replace") -> None:
     """IO2/IO9/IO10: CSV with a header row (one directory of part files per dataset)."""
-    df.write.mode(MODES[mode]).option("header", True).csv(path)
+    df.write.mode(MODES[mode]).options(**CSV).csv(path)
 
 
 def publish(datasets: Mapping[str, DataFrame], root: str, fmt: str = "csv", mode: str = "replace") -> list[str]:

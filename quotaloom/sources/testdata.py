@@ -31,17 +31,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_SOURCES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. The (immutable, lazy) source DataFrame is reused per session and
-    path, so file listing and footer reads happen once, not once per query plan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark, path)
-    if key not in _SOURCES:
-        _SOURCES[key] = spark.read.parquet(path)
-    return _SOURCES[key]
+    """One driver table, listed anew for every plan, so that files written since are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_reps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,11 @@ OPPS = ("opportunity_id string, rep_id string, product_id string, campaign_id st
 REV = "revenue_id string, opportunity_id string, rep_id string, product_id string, close_date string, revenue string, month_year string"
 
 
+def _seq(df):
+    """``df`` in one partition with its input order, as a landed file has it."""
+    return df.coalesce(1).withColumn("_seq", F.monotonically_increasing_id())
+
+
 def _opp(**kw):
     base = dict(opportunity_id="O001", rep_id="R001", product_id="P001", campaign_id="C001",
                 created_date="2023-01-15", close_date="2023-03-01", stage="Closed Won", deal_value="10000",
@@ -28,22 +33,22 @@ O2 = _opp(opportunity_id="O002", created_date="2023-02-10", close_date="2023-04-
 
 
 def opps(spark, *rows):
-    return clean.clean_opportunities(spark.createDataFrame(list(rows), OPPS))
+    return clean.clean_opportunities(_seq(spark.createDataFrame(list(rows), OPPS)))
 
 
 def test_reps_dedupe(spark):
     rows = [("R001", "Alice", "North", "NYC", "Mgr1", "2020-01-01")] * 2 + [("R002", "Bob", "South", "Texas", "Mgr2", "2021-06-15")]
-    assert clean.clean_reps(spark.createDataFrame(rows, REPS)).count() == 2
+    assert clean.clean_reps(_seq(spark.createDataFrame(rows, REPS))).count() == 2
 
 
 def test_reps_null_id_dropped(spark):
     rows = [("R001", "Alice", "North", "NYC", "M", "2020-01-01"), (None, "Bob", "South", "Texas", "M", "2021-01-01")]
-    assert clean.clean_reps(spark.createDataFrame(rows, REPS)).count() == 1
+    assert clean.clean_reps(_seq(spark.createDataFrame(rows, REPS))).count() == 1
 
 
 def test_reps_title_case(spark):
     rows = [("R001", "  alice smith ", "north", "mid-atlantic", "mgr", "2020-13-01")]
-    r = clean.clean_reps(spark.createDataFrame(rows, REPS)).first()
+    r = clean.clean_reps(_seq(spark.createDataFrame(rows, REPS))).first()
     assert r.rep_name == "Alice Smith" and r.territory == "Mid-Atlantic" and r.region == "North"
     assert r.hire_date is None  # bad date → null, row kept
 
@@ -102,25 +107,25 @@ def test_dedupe_before_rules(spark):
 def test_revenue_positive_only(spark):
     rows = [("REV001", "O001", "R001", "P001", "2023-03-01", "10000", "2023-03"),
             ("REV002", "O002", "R001", "P001", "2023-04-01", "0", "2023-04")]
-    assert clean.clean_revenue(spark.createDataFrame(rows, REV)).count() == 1
+    assert clean.clean_revenue(_seq(spark.createDataFrame(rows, REV))).count() == 1
 
 
 def test_revenue_month_from_close_date(spark):
     rows = [("REV001", "O001", "R001", "P001", "2023-07-15", "5000", "2019-01")]
-    assert clean.clean_revenue(spark.createDataFrame(rows, REV)).first().month_year == "2023-07"
+    assert clean.clean_revenue(_seq(spark.createDataFrame(rows, REV))).first().month_year == "2023-07"
 
 
 def test_quotas_forecasts_products_campaigns(spark):
     q = spark.createDataFrame([("Q1", "R1", "2023-01", "100"), ("Q2", "R1", "2023-02", "-3"),
                                ("Q3", None, "2023-02", "5")], "quota_id string, rep_id string, month_year string, quota_amount string")
-    assert clean.clean_quotas(q).count() == 1
+    assert clean.clean_quotas(_seq(q)).count() == 1
     f = spark.createDataFrame([("F1", "R1", "2023-01", "-50", "2022-12-01"), ("F2", "R1", "2023-02", None, None)],
                               "forecast_id string, rep_id string, month_year string, forecasted_rev string, forecast_date string")
-    assert clean.clean_forecasts(f).count() == 1  # negative forecast kept, missing value dropped
+    assert clean.clean_forecasts(_seq(f)).count() == 1  # negative forecast kept, missing value dropped
     p = spark.createDataFrame([("P1", "A", "S", "100", "25")], "product_id string, product_name string, category string, unit_price string, cost_price string")
-    assert clean.clean_products(p).first().margin_pct == 75.0
+    assert clean.clean_products(_seq(p)).first().margin_pct == 75.0
     c = spark.createDataFrame([("C1", "x", " a "), ("C1", "y", "b")], "campaign_id string, campaign_name string, campaign_type string")
-    assert [r.campaign_type for r in clean.clean_campaigns(c).collect()] == ["A"]
+    assert [r.campaign_type for r in clean.clean_campaigns(_seq(c)).collect()] == ["A"]
 
 
 def test_dim_date(spark):

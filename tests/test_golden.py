@@ -8,6 +8,7 @@ import csv
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from quotaloom.operators import clean, kpis
 
@@ -18,7 +19,11 @@ def _raw(spark, name):
     with open(os.path.join(G, name)) as f:
         rows = list(csv.reader(f))
     schema = ", ".join(f"{c} string" for c in rows[0])
-    return spark.createDataFrame([tuple(r) for r in rows[1:]], schema)
+    return _seq(spark.createDataFrame([tuple(r) for r in rows[1:]], schema))
+
+
+def _seq(df):
+    return df.coalesce(1).withColumn("_seq", F.monotonically_increasing_id())
 
 
 def _expected(name):
@@ -62,7 +67,7 @@ def test_mom_variance_golden(spark):
     rows = [(f"V{i}", "O", "R", "P", f"{m}-15", v, m) for i, (m, v) in enumerate(months)]
     rev = clean.clean_revenue(spark.createDataFrame(
         rows, "revenue_id string, opportunity_id string, rep_id string, product_id string, close_date string, "
-              "revenue string, month_year string"))
+              "revenue string, month_year string"), unique=True)
     got = {r.month_year: r for r in kpis.mom_variance(rev).collect()}
     assert len(got) == len(exp) == 22
     for e in exp:

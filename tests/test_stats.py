@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from quotaloom.functions.stats import betainc, chi2_df1, t_two_sided
+from quotaloom.functions.stats import chi2_df1, t_two_sided
 from quotaloom.operators import experiments as ab
 
 
@@ -14,8 +14,20 @@ def test_t_table_values(t, df):
     assert abs(t_two_sided(t, df) - 0.05) < 5e-4
 
 
-def test_betainc_symmetry():
-    assert abs(betainc(2.0, 3.0, 0.4) + betainc(3.0, 2.0, 0.6) - 1.0) < 1e-12
+def test_many_degrees_of_freedom_approach_the_normal():
+    for df in (1e6, 1e8, 1e10, 1e13):
+        for t in (0.01, 0.4, 1.0, 2.5, 6.0):
+            normal = math.erfc(t / math.sqrt(2))
+            # the first correction to the normal limit is t (t² + 1) φ(t) / (2 df)
+            near = normal + t * (t * t + 1) * math.exp(-t * t / 2) / math.sqrt(2 * math.pi) / (2 * df)
+            assert abs(t_two_sided(t, df) - near) < 1e-10
+
+
+def test_few_degrees_of_freedom_have_closed_forms():
+    for t in (0.1, 0.6, 3.0, 40.0):
+        assert abs(t_two_sided(t, 1.0) - (1 - 2 * math.atan(t) / math.pi)) < 1e-9
+        assert abs(t_two_sided(t, 2.0) - (1 - t / math.sqrt(2 + t * t))) < 1e-9
+    assert abs(t_two_sided(0.49999, 1.3) - t_two_sided(0.50001, 1.3)) < 1e-4
 
 
 def _ab_rows(spark, won_a, n_a, won_b, n_b):
