@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quotaloom.llm.common import cut, text_of
+from quotaloom.llm.common import cut, fresh
 
 ORDER = 5
 #: Absolute discount of each order.
@@ -32,6 +32,8 @@ WINDOW = 4
 SLOT_BITS = 21
 #: Labelled documents that the calibration may use: the ones with the smallest hashes of their ids.
 CALIBRATION_DOCS = 20_000
+#: Labels are broadcast up to so many rows (two numbers each), so that texts need not be shuffled to them.
+BROADCAST_LABELS = 4_000_000
 #: Words a worker remembers the score of, in each of two generations.
 CACHE_WORDS = 400_000
 CACHE_CHARS = 64
@@ -265,7 +267,7 @@ def fit(labelled: DataFrame, calibration: DataFrame, text_col: str = "text", lab
 
     sample = calibration.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1))
     sample = sample.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("y"))
-    rated = with_features(sample, model, "text").drop("text").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_DOCS).toArrow()
+    rated = with_features(sample, model, "text", ["_f0", "_f1", "_f2"]).drop("text").orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_DOCS).toArrow()
     y = rated.column("y").to_numpy()
     x = np.stack([rated.column(f"_f{i}").to_numpy() for i in range(3)], 1) if len(y) else np.zeros((0, 3))
     model["weights"] = _logistic(x, y)
@@ -297,9 +299,9 @@ def _with(docs: DataFrame, names: list[str]) -> StructType:
     return StructType([*docs.schema.fields, *[StructField(n, DoubleType()) for n in names]])
 
 
-def with_features(docs: DataFrame, model: dict, text_col: str) -> DataFrame:
+def with_features(docs: DataFrame, model: dict, text_col: str, names: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("name", "check", "value")})  # fixed size
-    where, names = docs.columns.index(text_col), [f"_f{i}" for i in range(3)]
+    where = docs.columns.index(text_col)
     every = [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,13 +315,18 @@ def with_features(docs: DataFrame, model: dict, text_col: str) -> DataFrame:
 
 
 def with_score(docs: DataFrame, model: dict, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with a last column ``name``: 0 to 1, higher if toxic is likelier. Null text counts as empty."""
+    """``docs`` with a last column ``name`` (replaced if there): 0 to 1, higher if toxic is likelier.
+
+    Null text counts as empty; a text without a word has the score of no evidence.
+    """
+    docs = docs.drop(name)
+    names = fresh(docs, "_f0", "_f1", "_f2")
     mean, scale, w = model["weights"]
     z = F.lit(float(w[3]))
     for i in range(3):
-        z = z + F.lit(float(w[i])) * ((F.col(f"_f{i}") - float(mean[i])) / float(scale[i]))
+        z = z + F.lit(float(w[i])) * ((F.col(names[i]) - float(mean[i])) / float(scale[i]))
     z = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
-    return with_features(docs, model, text_col).withColumn(name, 1 / (1 + F.exp(-z))).drop(*[f"_f{i}" for i in range(3)])
+    return with_features(docs, model, text_col, names).withColumn(name, 1 / (1 + F.exp(-z))).drop(*names)
 
 
 def fold(id_col: str, parts: int) -> Column:
@@ -330,8 +337,11 @@ def fold(id_col: str, parts: int) -> Column:
 def labelled_docs(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, label) of documents with a label; an id labelled twice takes the larger label."""
     own = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(label_col).alias("toxic"))
+    own = cut(own.where("toxic IS NOT NULL"))
+    if own.count() <= BROADCAST_LABELS:  # else both sides are shuffled
+        own = F.broadcast(own)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.join(own.where("toxic IS NOT NULL"), "doc_id")
+    return rows.join(own, "doc_id")
 
 
 def fit_by_fold(docs: DataFrame, labels: DataFrame) -> dict:
