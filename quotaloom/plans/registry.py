@@ -7,6 +7,7 @@ DECIMAL as double so that other engines read identical values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.exprs import iso_date_text, rnd
 from ..functions.joins import small
 from ..operators import clean, derive, experiments as ab, forecast as fc, kpis, measures as M, reports as rp
-from ..sources import testdata
+from ..session import ensure_checkpoint_dir
+from ..sources import landing, sinks, testdata
+from ..sources.schemas import PARTITIONS, RAW_FILES
+from . import jobs
 from .warehouse import ADAPTER_FIRST_MONTH, ADAPTER_LAST_MONTH, Warehouse, from_testdata, months_between
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -258,3 +262,48 @@ register("report_territory_top8")(lambda w: rp.report_territory_top8(_k6(w)))
 register("report_top_performer")(lambda w: rp.report_top_performer(_k1(w)))
 register("report_cards")(lambda w: rp.report_cards(_k1(w), _k3(w), _k6(w), w.revenue))
 register("report_findings")(lambda w: rp.report_findings(_k5(w), _k1(w), _k3(w), _k4(w), _k6(w)))
+
+
+# ── 2.1 files and views: written, then read back ─────────────
+def _scratch(w: Warehouse) -> str:
+    return f"{ensure_checkpoint_dir(w.spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def _view(name: str) -> Callable[[Warehouse], DataFrame]:
+    def run(w: Warehouse) -> DataFrame:
+        """IO7 and IO8: the reporting view, created and read as SQL."""
+        jobs.create_views(w.spark, w)
+        return jobs.query(w.spark, f"SELECT * FROM vw_{name}")
+    return run
+
+
+for _name in ("exec_kpi_summary", "pipeline_health", "campaign_performance"):
+    register(f"view_{_name}")(_view(_name))
+
+
+@register("io_extract_rows")
+def _io_extract_rows(w: Warehouse) -> DataFrame:
+    """IO1 and IO2: the seven extracts written as CSV, landed again, and counted."""
+    folder = _scratch(w)
+    jobs.extract_job(w.spark, w.source, folder)
+    out = None
+    for name in RAW_FILES:
+        n = landing.read_extract(w.spark, folder, name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("label"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@register("io_stored_revenue")
+def _io_stored_revenue(w: Warehouse) -> DataFrame:
+    """IO3 and IO4: the revenue table written partitioned by month and read by name."""
+    folder = _scratch(w)
+    sinks.write_table(w.revenue, f"{folder}/fact_revenue", "replace", "parquet", PARTITIONS["fact_revenue"])
+    return Warehouse(w.spark, folder, "tables").revenue.select(*w.revenue.columns)
+
+
+@register("io_typed_export")
+def _io_typed_export(w: Warehouse) -> DataFrame:
+    """IO9 and IO13: a KPI exported as CSV and read back with its types."""
+    folder = _scratch(w)
+    sinks.publish({"quota_attainment": kpis.quota_attainment(w.quotas, w.reps, w.revenue)}, folder, "csv")
+    return landing.read_export(w.spark, folder, "quota_attainment")
