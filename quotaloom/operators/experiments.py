@@ -132,6 +132,7 @@ def ab_welch_ttest_p(df: DataFrame, group_col: str = "campaign_type", value_col:
     s = s.withColumn("_p", t_pvalue(F.col("_t_raw"), F.col("_df_raw")))
     sig = F.col("_p") < ALPHA
     pct = F.abs(safe_div(F.col("_mb_raw") - F.col("_ma_raw"), "_ma_raw") * F.lit(100.0))
+    # The wording of both conclusions.
     yes = py_format(
         f"Statistically significant difference in {value_col} (p={{0:.4f}} < α={ALPHA}). "
         f"Group {group_b} mean is {{1:.1f}}% {{2}} than Group {group_a}.",
@@ -178,6 +179,7 @@ def ab_chi_square_p(df: DataFrame, group_col: str = "campaign_type", group_a: st
     s = chi_square_stats(df, group_col, group_a, group_b).withColumn("_p", chi2_pvalue_df1(F.col("_chi2")))
     sig = F.col("_p") < ALPHA
     wa, wb = F.col("win_rate_a"), F.col("win_rate_b")
+    # The wording of both conclusions.
     yes = py_format(
         f"Statistically significant difference in win rate (p={{0:.4f}} < α={ALPHA}). "
         f"Group {group_b} win rate ({{1:.1%}}) vs Group {group_a} ({{2:.1%}}) — difference of {{3:.1%}}.",

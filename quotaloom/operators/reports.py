@@ -154,7 +154,7 @@ def report_summary(win_rate: DataFrame, quota: DataFrame, accuracy: DataFrame, r
     qa = quota.agg(F.avg("quota_attainment").alias("v"))
     fa = accuracy.agg(F.avg("forecast_accuracy").alias("v"))
     pct = lambda c: py_format("{0:.1%}", c)
-    rows = [
+    rows = [  # fixed values: the labels and display formats
         tr.select(F.lit(1).alias("pos"), F.lit("Total Revenue").alias("kpi"), rnd("v", 6).alias("value"),
                   py_format("${0:,.0f}", F.col("v")).alias("display")),
         wr.select(F.lit(2).alias("pos"), F.lit("Avg Win Rate").alias("kpi"), rnd("v", 6).alias("value"),
