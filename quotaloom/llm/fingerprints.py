@@ -9,13 +9,11 @@ are stored, one hexadecimal digit each; agreement by chance, one in sixteen, is
 from __future__ import annotations
 
 import random
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotaloom.llm.common import SPACE, text_of
+from quotaloom.llm.common import SPACE, let, text_of
 
 SHINGLE = 5
 BIN_BITS = 7
@@ -29,11 +27,6 @@ SLICE_ROWS = 4096
 MAX_SLICES = 10_000
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def probe_order(seed: int = 7) -> list[list[int]]:
     """For each bin, all other bins in its own fixed random order."""
     draw = random.Random(seed)
@@ -54,7 +47,7 @@ def shingle_hashes(text: Column, width: int = SHINGLE) -> Column:
     """One hash per shingle of ``width`` words, repeats included; fewer words: one hash of all; none: no hash."""
     words = F.filter(F.split(F.lower(text), f"{SPACE}+"), lambda w: w != "")
     hashed = F.transform(words, lambda w: F.xxhash64(w))
-    return _let(
+    return let(
         hashed,
         lambda h: F.when(F.size(h) == 0, F.array().cast("array<long>")).otherwise(
             F.transform(
@@ -73,7 +66,7 @@ def fingerprint(text: Column, width: int = SHINGLE) -> Column:
         return F.shiftrightunsigned(h, 64 - BIN_BITS).cast("int")
 
     def digits(mins: Column) -> Column:
-        return _let(F.transform(mins, bin_of), lambda bins: fill(mins, bins))
+        return let(F.transform(mins, bin_of), lambda bins: fill(mins, bins))
 
     def fill(mins: Column, bins: Column) -> Column:
         def place(b: Column) -> Column:
@@ -91,8 +84,8 @@ def fingerprint(text: Column, width: int = SHINGLE) -> Column:
         return F.filter(ordered, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(ordered, i - 1))))
 
     hashes = shingle_hashes(F.coalesce(text, F.lit("")), width)
-    mins = _let(F.sort_array(hashes), least)
-    return _let(mins, lambda m: F.when(F.size(m) == 0, F.lit("")).otherwise(digits(m)))
+    mins = let(F.sort_array(hashes), least)
+    return let(mins, lambda m: F.when(F.size(m) == 0, F.lit("")).otherwise(digits(m)))
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -120,8 +120,7 @@ def mix(
     source and orders last. Sizes are words of the text (null text: 0). Returns one row per row of
     ``docs``: id, members, size, copies (times taken, 0 to ``most``), taken (size * copies),
     given (map of source number to the times the document counts for it). Sources are numbered in
-    code point order, with targets in ``mix.targets``' rule: shared by weight, capped at ``most``
-    times their size. Rows that repeat an id are told apart by their size and, if that ties, get their own
+    code point order; targets share all words by weight (``capped_targets``). Rows that repeat an id are told apart by their size and, if that ties, get their own
     place in the order. An empty table gives no rows. Documents of size 0 are never taken.
     """
     frame, _ = mix_with_targets(docs, members, id_col, text_col, weights, most, seed)

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotaloom.llm.common import cut, text_of
+from quotaloom.llm.common import cut, let, text_of
 
 # The three base patterns, with the shortest match (assign: of its value).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,6 +31,8 @@ SAMPLE_DOCS = 20_000
 MIN_RATIO = math.log(10_000)
 #: Counts by which a transition leans on its second character alone.
 PRIOR = 20
+#: Matches whose places are added up at a time.
+SLICE = 256
 #: Token characters lie between these code points.
 LOW, HIGH = ord("+"), ord("z")
 SIDE = HIGH - LOW + 1
@@ -47,19 +49,33 @@ def _spans(text: Column, pattern: str, kind: int, keep_group: int, least: int) -
     parts = F.arrays_zip(
         F.transform(found, F.char_length).alias("n"), F.transform(judged, F.char_length).alias("judged"), F.transform(gaps, F.char_length).alias("gap")
     )
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-    def step(acc: Column, p: Column) -> Column:
-        a = acc["at"] + p["gap"]
-        span = F.struct(a.alias("start"), F.lit(kind).alias("kind"), (a + p["n"]).alias("end"))
-        return F.struct(
-            F.coalesce(a + p["n"], a).alias("at"),
-            F.when(p["judged"] >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"),
+    def spans(p: Column) -> Column:
+        # Places add up over all parts before; in slices of SLICE parts, as a growing array is copied at every step.
+        numbers = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / SLICE).cast("int"))
+        piece = lambda b: F.slice(p, b * SLICE + 1, F.lit(SLICE))
+        size = lambda x: x["gap"] + F.coalesce(x["n"], F.lit(0))
+        sizes = F.transform(numbers, lambda b: F.aggregate(piece(b), F.lit(0), lambda a, x: a + size(x)))
+        sums = F.aggregate(
+            sizes,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+            lambda a: a["out"],
         )
 
-    all_spans = F.aggregate(parts, start, step, lambda acc: acc["out"])
-    return F.when(F.rlike(text, F.lit(pattern)), all_spans).otherwise(none)
+        def step(a: Column, x: Column) -> Column:
+            start = a["at"] + x["gap"]
+            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["n"]).alias("end"))
+            out = F.when(x["judged"] >= least, F.concat(a["out"], F.array(span))).otherwise(a["out"])
+            return F.struct((a["at"] + size(x)).alias("at"), out.alias("out"))
+
+        def own(starts: Column) -> Column:
+            first = lambda b: F.struct(F.get(starts, b).alias("at"), none.alias("out"))
+            return F.flatten(F.transform(numbers, lambda b: F.aggregate(piece(b), first(b), step, lambda a: a["out"])))
+
+        return let(sums, own)
+
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return F.when(F.rlike(text, F.lit(pattern)), let(parts, spans)).otherwise(none)
 
 
 def base_spans(text: Column) -> Column:
@@ -147,7 +163,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             & (ratio(F.substr(text, s["start"] + 1, s["end"] - s["start"]), table) > MIN_RATIO),
         )
 
-    whole = F.transform(F.array(base_spans(F.col("text"))), lambda b: F.array_sort(F.concat(b, judged(F.col("text"), b))))[0]
+    whole = let(base_spans(F.col("text")), lambda b: F.array_sort(F.concat(b, judged(F.col("text"), b))))
     return rows.withColumn("spans", whole)
 
 

@@ -13,6 +13,8 @@ import re
 CACHE_WORDS = 400_000
 #: A longer word is encoded but not remembered.
 CACHE_CHARS = 64
+#: Words encoded in one call.
+JOINED = 1000
 #: Texts of about so many characters are encoded at a time.
 CHUNK_CHARS = 4_000_000
 
@@ -32,7 +34,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # With white space dropped between words, "word" and " word" have the same ids.
-        self.spaceless = self._encode(["a", " a", "  a", "\na"]) == self._encode(["a"]) * 4
+        alone = lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids
+        self.spaceless = all(alone(w) == alone("a") for w in (" a", "  a", "\na"))
         # Letters and the mark after them are separate words to the library's pattern; some fold case first.
         self.marks = ".," if self._encode(["a.", "a,"]) == self._join([["a", "."], ["a", ","]]) else ""
         self.caseless = self._encode(["aB", "AB"]) == self._encode(["ab"]) * 2
@@ -50,15 +53,30 @@ class WordEncoder:
         return (word.lower() if self.caseless and word.isascii() else word), mark
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        from array import array
+        """Ids of each word. Ordinary words go to the library many at a time, and places in the text part the ids."""
+        import numpy as np
 
-        out = [array("I", e.ids) for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        import sys
-
-        if sys.byteorder == "big":
-            for ids in out:
-                ids.byteswap()
-        return [ids.tobytes() for ids in out]
+        out: list[bytes] = [b""] * len(words)
+        if self.spaceless:
+            plain = [i for i, w in enumerate(words) if w.isprintable()]
+        else:  # a word that starts with its own space
+            plain = [i for i, w in enumerate(words) if w[:1] == " " and w.isprintable() and " " not in w[1:]]
+        gap = " " if self.spaceless else ""
+        for at in range(0, len(plain), JOINED):
+            part = plain[at : at + JOINED]
+            texts = [words[i] for i in part]
+            got = self.tokenizer.encode(gap.join(texts), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4").tobytes()
+            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids))
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + len(gap)
+            cuts = [*(4 * np.searchsorted(starts, np.cumsum(sizes) - sizes)).tolist(), len(ids)]
+            for k, i in enumerate(part):
+                out[i] = ids[cuts[k] : cuts[k + 1]]
+        ordinary = set(plain)
+        rest = [i for i in range(len(words)) if i not in ordinary]
+        for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
+        return out
 
     def split(self, text: str) -> list[str]:
         if self.spaceless:

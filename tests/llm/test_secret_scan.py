@@ -37,6 +37,11 @@ def test_base_spans(spark):
         assert ",".join(x for x in got[i] if not x.startswith("markov")) == brute(text), text
 
 
+def test_very_many_matches(spark):
+    text = " ".join("0123456789abcdef" * 2 + "x" * (i % 5) for i in range(6000))
+    assert ",".join(spans(spark.createDataFrame([(1, text)], "doc_id long, text string"))[1]) == brute(text)
+
+
 def test_models_find_random_strings_only(spark):
     word = "".join
     plain = [word(["Konfiguration", "manager", "Verbindung", "handler"][(i * k) % 4] for k in (1, 2, 3)) for i in range(40)]
