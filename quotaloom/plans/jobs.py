@@ -170,12 +170,12 @@ def create_schema(spark: SparkSession, location: str, fmt: str = "parquet") -> l
     for name in PROCESSED:
         path = f"{location.rstrip('/')}/{name}"
         try:
-            stored = spark.read.format(fmt).load(path).schema if fmt != "csv" else None
+            written = spark.read.format(fmt).load(path).schema
         except AnalysisException:  # nothing written yet
-            stored = None
-        spark.sql(f"{ddl(name, fmt, stored)} LOCATION '{path}'")
-        if name in PARTITIONS:
-            spark.catalog.recoverPartitions(name)
+            written = None
+        spark.sql(f"{ddl(name, fmt, written if fmt != 'csv' else None)} LOCATION '{path}'")
+        if name in PARTITIONS and written is not None:  # by its full name: a view may have the short one
+            spark.catalog.recoverPartitions(f"{spark.catalog.currentDatabase()}.{name}")
     return list(PROCESSED)
 
 
