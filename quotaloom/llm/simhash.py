@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from quotaloom.llm.common import components, cut, fresh, lookup, text_of
+from quotaloom.llm.worker import keep
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -63,6 +64,7 @@ def with_fingerprints(docs: DataFrame, text_col: str, name: str, shingle: int =
     names = [*docs.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep("simhash", lambda: None)
         for batch in batches:
             got = [simhash(t.as_py() or "", shingle) for t in batch.column(where)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.int64())], names=names)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 
+from quotaloom.llm.worker import keep
+
 #: Words a worker remembers: one generation fills, the one before it serves, the one before that goes.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 #: A longer word is encoded but not remembered.
 CACHE_CHARS = 64
 #: Words encoded in one call.
@@ -122,16 +124,9 @@ class WordEncoder:
         return [b"".join(map(get, row)) for row in rows]
 
 
-_encoders: dict[int, WordEncoder] = {}
-
-
 def encoder(tokenizer_json: str) -> WordEncoder:
     """The worker's encoder for this tokenizer; it outlives a task where Spark reuses workers."""
-    key = hash(tokenizer_json)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = WordEncoder(tokenizer_json)
-    return _encoders[key]
+    return keep(("encoder", hash(tokenizer_json)), lambda: WordEncoder(tokenizer_json))
 
 
 def chunks(texts: list[str | None], limit: int = CHUNK_CHARS):

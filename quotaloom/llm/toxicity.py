@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quotaloom.llm.common import cut, fresh
+from quotaloom.llm.worker import keep
 
 ORDER = 5
 #: Absolute discount of each order.
@@ -35,7 +36,9 @@ CALIBRATION_DOCS = 20_000
 #: Labels are broadcast up to so many rows (two numbers each), so that texts need not be shuffled to them.
 BROADCAST_LABELS = 4_000_000
 #: Words a worker remembers the score of, in each of two generations.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Words whose grams are counted or scored at a time.
+AT_ONCE = 50_000
 CACHE_CHARS = 64
 #: Padding before a word and the mark of its end; a longer word is scored in pieces of this many characters.
 PAD, END = "\x02", "\x03"
@@ -118,8 +121,8 @@ class Scorer:
                     continue
                 new[w] = v
             out[w] = v
-        for at in range(0, len(unseen), 50_000):
-            part = unseen[at : at + 50_000]
+        for at in range(0, len(unseen), AT_ONCE):
+            part = unseen[at : at + AT_ONCE]
             pieces = [w[i : i + PIECE] for w in part for i in range(0, len(w), PIECE)]
             counts = [-(-len(w) // PIECE) for w in part]
             import numpy as np
@@ -148,15 +151,9 @@ class Scorer:
         return out
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: dict) -> Scorer:
     """The worker's scorer of this model; its memory outlives a task where Spark reuses workers."""
-    if model["name"] not in _scorers:
-        _scorers.clear()
-        _scorers[model["name"]] = Scorer(model)
-    return _scorers[model["name"]]
+    return keep(("scorer", model["name"]), lambda: Scorer(model))
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +162,16 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held: tuple[Counter, Counter] = (Counter(), Counter())
 
-    def flush() -> pa.RecordBatch:
+    keep("gram counts", lambda: None)
+
+    def flush() -> Iterator[pa.RecordBatch]:
         words = list(held[0].keys() | held[1].keys())
+        for at in range(0, len(words), AT_ONCE):
+            yield counted(words[at : at + AT_ONCE])
+        for c in held:
+            c.clear()
+
+    def counted(words: list[str]) -> pa.RecordBatch:
         pieces = [(w[i : i + PIECE], w) for w in words for i in range(0, len(w), PIECE)]
         points, owner = _grams([p for p, _ in pieces])
         at = np.flatnonzero(owner >= 0)
@@ -177,17 +182,14 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts.append(np.bincount(group, weight[owner[at]], len(first)).astype(np.int64))
         ends = at[first]
         grams = ["".join(map(chr, points[e - ORDER + 1 : e + 1])) for e in ends.tolist()]
-        for c in held:
-            c.clear()
         return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(counts[0]), pa.array(counts[1])], names=["gram", "t", "o"])
 
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             held[0 if toxic else 1].update(words_of(text.as_py()))
             if len(held[0]) + len(held[1]) > CACHE_WORDS:
-                yield flush()
-    if held[0] or held[1]:
-        yield flush()
+                yield from flush()
+    yield from flush()
 
 
 def fit(labelled: DataFrame, calibration: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id") -> dict:
