@@ -56,25 +56,27 @@ def compress(ids):
         h = _bucket(a, b)
         counts = np.bincount(h, minlength=1 << HASH_BITS)
         many = np.flatnonzero(counts >= LEAST)
-        if len(many) > 2 * RULES_PER_ROUND:
-            many = many[np.argpartition(counts[many], len(many) - 2 * RULES_PER_ROUND)[-2 * RULES_PER_ROUND :]]
-        picked = np.zeros(1 << HASH_BITS, bool)
-        picked[many] = True
-        at = np.flatnonzero(picked[h])
-        codes, n = np.unique((a[at].astype(np.uint64) << np.uint64(32)) | b[at], return_counts=True)
-        codes, n = codes[n >= LEAST], n[n >= LEAST]
-        if not len(codes):
+        if len(many) > RULES_PER_ROUND:
+            many = many[np.argpartition(counts[many], len(many) - RULES_PER_ROUND)[-RULES_PER_ROUND:]]
+        if not len(many):
             break
-        codes = codes[np.lexsort((codes, -n))]
-        left, right = (codes >> np.uint64(32)).astype(np.uint32), codes.astype(np.uint32)
-        _, first = np.unique(_bucket(left, right), return_index=True)  # a bucket has one rule a round; others wait
-        first = np.sort(first)[:RULES_PER_ROUND]
-        left, right = left[first], right[first]
-        rule_of = np.full(1 << HASH_BITS, -1, np.int64)
-        rule_of[_bucket(left, right)] = np.arange(len(left))
-        r = rule_of[h[at]]
-        fits = (r >= 0) & (a[at] == left[r]) & (b[at] == right[r])
+        # A bucket has one rule a round, for the pair seen there last, mostly its most frequent one; others wait.
+        rule_of = np.full(1 << HASH_BITS, -1, np.int32)
+        rule_of[many] = np.arange(len(many))
+        r = rule_of[h]
+        at = np.flatnonzero(r >= 0)
+        r = r[at]
+        seen = np.empty(len(many), np.int64)
+        seen[r] = at
+        fits = (a[at] == a[seen][r]) & (b[at] == b[seen][r])
         at, r = at[fits], r[fits]
+        often = np.bincount(r, minlength=len(many)) >= LEAST
+        left, right = a[seen][often], b[seen][often]
+        if not len(left):
+            break
+        number = np.cumsum(often) - 1
+        fits = often[r]
+        at, r = at[fits], number[r[fits]]
         new_run = np.ones(len(at), bool)
         new_run[1:] = at[1:] != at[:-1] + 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
