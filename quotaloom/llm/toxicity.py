@@ -7,8 +7,8 @@ judged alike by both and says nothing. A document's words are scored by the diff
 two log-likelihoods, normalised by length over windows of words, and the windows' maximum, the
 document's mean and its length are calibrated on labelled documents that the counts did not use.
 
-Counting is a distributed aggregate whose size follows the labelled corpus; the finished model is a hash
-table of fixed size.
+Counting is a distributed aggregate whose size follows the labelled corpus; the finished model has every counted gram
+and context, sorted by hash, 12 bytes each.
 """
 
 from __future__ import annotations
@@ -29,8 +29,6 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Words of a window that is scored on its own.
 WINDOW = 4
-#: The model table has 2 ** SLOT_BITS entries: its size does not follow the corpus.
-SLOT_BITS = 21
 #: Labelled documents that the calibration may use: the ones with the smallest hashes of their ids.
 CALIBRATION_DOCS = 20_000
 #: Labels are broadcast up to so many rows (two numbers each), so that texts need not be shuffled to them.
@@ -77,7 +75,7 @@ def _hashes(points, order: int):
 
 
 class Scorer:
-    """Log-likelihood ratio of words under a finished model: {"slots": check, kind and value arrays}."""
+    """Log-likelihood ratio of words under a finished model: "check" (all hashes, sorted) and "value" arrays."""
 
     def __init__(self, model: dict):
         self.check, self.value = model["check"], model["value"]
@@ -87,9 +85,10 @@ class Scorer:
     def _find(self, hashes):
         import numpy as np
 
-        slot = (hashes & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
-        seen = self.check[slot] == (hashes >> np.uint64(32)).astype(np.uint32)
-        return seen, self.value[slot]
+        if not len(self.check):
+            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.float32)
+        at = np.minimum(np.searchsorted(self.check, hashes), len(self.check) - 1)
+        return self.check[at] == hashes, self.value[at]
 
     def _ratios(self, words: list[str]):
         """Sum over a word's characters; each character backs off to the longest gram that training saw."""
@@ -235,13 +234,12 @@ def fit(labelled: DataFrame, calibration: DataFrame, text_col: str = "text", lab
             seen = (F.greatest(F.col(k) - d, F.lit(0.0)) + d * F.col(f"kinds_{k}") * F.col(lower)) / F.col(f"sum_{k}")
             return F.when(F.col(f"sum_{k}") > 0, seen).otherwise(F.col(lower))
 
-        p = cut(level.select(F.col("gram").alias("low"), mixed("t", "pt").alias("pt"), mixed("o", "po").alias("po"), (F.col("t") + F.col("o")).alias("n")))
-        entries.append(p.select(F.col("low").alias("gram"), F.lit(False).alias("is_ctx"), F.log(F.col("pt") / F.col("po")).alias("v"), "n"))
+        p = cut(level.select(F.col("gram").alias("low"), mixed("t", "pt").alias("pt"), mixed("o", "po").alias("po")))
+        entries.append(p.select(F.col("low").alias("gram"), F.lit(False).alias("is_ctx"), F.log(F.col("pt") / F.col("po")).alias("v")))
         back = lambda k: F.when(F.col(f"sum_{k}") > 0, d * F.col(f"kinds_{k}") / F.col(f"sum_{k}")).otherwise(F.lit(1.0))
-        entries.append(c.select(F.col("ctx").alias("gram"), F.lit(True).alias("is_ctx"), F.log(back("t") / back("o")).alias("v"), (F.col("sum_t") + F.col("sum_o")).alias("n")))
-        p = p.drop("n")
+        entries.append(c.select(F.col("ctx").alias("gram"), F.lit(True).alias("is_ctx"), F.log(back("t") / back("o")).alias("v")))
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             grams, is_ctx = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), bool)
             h = np.zeros(len(grams), np.uint64)
@@ -251,20 +249,16 @@ def fit(labelled: DataFrame, calibration: DataFrame, text_col: str = "text", lab
                 points = np.frombuffer("".join(grams[i] for i in own).encode("utf-32-le", "surrogatepass"), "<u4")
                 h[own] = _hashes(points, n)[n - 1 :: n]
             h = np.where(is_ctx, h ^ np.uint64(0xA5A5A5A5A5A5A5A5), h)
-            slot = (h & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int32)
-            check = (h >> np.uint64(32)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(check), b.column(2), b.column(3)], names=["slot", "check", "v", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(2).cast(pa.float32())], names=["hash", "v"])
 
     union = entries[0]
     for e in entries[1:]:
         union = union.unionByName(e)
-    # Where two grams share a slot, the more frequent one has it: at most 2 ** SLOT_BITS rows reach the driver.
-    held = union.mapInArrow(slots, "slot int, check long, v double, n long")
-    best = held.groupBy("slot").agg(F.max(F.struct("n", "check", "v")).alias("best")).select("slot", "best.check", "best.v")
-    got = best.toArrow()
-    check, value = np.zeros(1 << SLOT_BITS, np.uint32), np.zeros(1 << SLOT_BITS, np.float32)
-    at = got.column("slot").to_numpy()
-    check[at], value[at] = got.column("check").to_numpy().astype(np.uint32), got.column("v").to_numpy()
+    # Every entry reaches the driver, 12 bytes each: distinct grams and contexts, not occurrences.
+    got = union.mapInArrow(hashed, "hash long, v float").toArrow()
+    check, value = got.column("hash").to_numpy().view(np.uint64), got.column("v").to_numpy()
+    order = np.argsort(check)
+    check, value = check[order], value[order]
     model = {"name": uuid.uuid4().hex, "check": check, "value": value, "weights": None}
 
     sample = calibration.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -302,7 +296,7 @@ def _with(docs: DataFrame, names: list[str]) -> StructType:
 
 
 def with_features(docs: DataFrame, model: dict, text_col: str, names: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("name", "check", "value")})  # fixed size
+    shared = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("name", "check", "value")})  # 12 bytes an entry
     where = docs.columns.index(text_col)
     every = [*docs.columns, *names]
 

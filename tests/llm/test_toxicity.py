@@ -78,3 +78,17 @@ def test_messy_empty_and_one_class(spark, messy, nothing):
         none = toxicity.fit_by_fold(messy, some)
         assert toxicity.with_score(messy, none).agg(F.max("score")).first()[0] < 0.5
     assert toxicity.with_score(messy, toxicity.fit_by_fold(nothing, labels)).count() == messy.count()
+
+
+def test_no_counted_gram_is_lost(spark):
+    draw = random.Random(5)
+    words = ["".join(map(chr, draw.choices(range(0x4E00, 0x5E00), k=10))) for _ in range(40_000)]
+    rows = [(i, " ".join(words[i * 100 : i * 100 + 100]), i % 2) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scorer = toxicity.Scorer(toxicity.fit(docs, docs.limit(10)))
+    points, owner = toxicity._grams(words)
+    ends = (owner >= 0).nonzero()[0]
+    for order in (3, 4, 5):
+        assert scorer._find(toxicity._hashes(points, order)[ends])[0].all()
+    for order in (2, 3, 4):  # contexts
+        assert scorer._find(toxicity._hashes(points, order)[ends - 1] ^ 0xA5A5A5A5A5A5A5A5)[0].all()
