@@ -3,6 +3,7 @@
 A byte-pair tokenizer splits a text before every space that follows a non-space, so a text's ids
 are its words' ids end to end. Words repeat, across documents as well, so a bounded cache in each
 Python worker holds the ids of recent words as little-endian bytes and the library only sees new ones.
+Where the tokenizer's added tokens stand literally in a text, the library cuts there first, and so do we.
 """
 
 from __future__ import annotations
@@ -34,7 +35,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        #: Ids of the added tokens, by their literals.
+        self.added = {t.content: int(i).to_bytes(4, "little") for i, t in added.items()}
+        self._literals = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        # Tokens that look at what is around them, or at the normalized text, are left to the library.
+        odd = lambda t: t.normalized or t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)
+        self.whole = any(map(odd, added.values()))
         # With white space dropped between words, "word" and " word" have the same ids.
         alone = lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids
         self.spaceless = all(alone(w) == alone("a") for w in (" a", "  a", "\na"))
@@ -52,7 +59,12 @@ class WordEncoder:
         mark = ""
         if len(word) > 1 and word[-1] in self.marks and word[-2].lower()[-1].isalpha():
             word, mark = word[:-1], word[-1]
-        return (word.lower() if self.caseless and word.isascii() else word), mark
+        if self.caseless and word.isascii() and not self._holds_added(word.lower()):
+            word = word.lower()
+        return word, mark
+
+    def _holds_added(self, text: str) -> bool:
+        return any(a in text for a in self.added)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Ordinary words go to the library many at a time, and places in the text part the ids."""
@@ -81,6 +93,13 @@ class WordEncoder:
         return out
 
     def split(self, text: str) -> list[str]:
+        """Words and literals of added tokens."""
+        if not self._holds_added(text):
+            return self._words(text)
+        parts = self._literals.split(text)  # every other one is a literal
+        return [w for k, part in enumerate(parts) for w in ([part] if k % 2 else self._words(part))]
+
+    def _words(self, text: str) -> list[str]:
         if self.spaceless:
             return text.replace("\n", " ").split(" ")
         if _space_run.search(text):
@@ -89,13 +108,17 @@ class WordEncoder:
         return [words[0], *[" " + w for w in words[1:]]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        if self.whole:
+            import numpy as np
+
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         rows = [self.split(t) for t in texts]
         new, old = self.new, self.old
         if len(new) > CACHE_WORDS:
             new, old = {}, new
-        local: dict[str, bytes] = {}
+        local: dict[str, bytes] = dict(self.added)
         unseen: list[str] = []
-        for w in set().union(*rows) if rows else ():
+        for w in set().union(*rows) - self.added.keys() if rows else ():
             ids = new.get(w)
             if ids is None:
                 ids = old.get(w)

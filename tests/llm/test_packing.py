@@ -20,6 +20,34 @@ def test_ids_by_words_equal_ids_of_the_whole_text(name):
             assert enc.ids([text]) == [want], text
 
 
+ADDED = [
+    "see <|endoftext|> here", "<|endoftext|><|endoftext|>", "<|endoftext|>", "a<|ENDOFTEXT|>b <|EndOfText|>. <|endoftext|>.", "x  <|endoftext|>\n\ny  \n",
+    "<|startoftext|>Don't.<|endoftext|>, z", "<|endoftext| > <|endoftext|", "x <|<|endoftext|>|> y", "  <|endoftext|>  é. <|startoftext|>\t",
+]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_equal_those_of_the_library_as_it_comes(name):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path(name))
+    enc = WordEncoder(read_text_file(tokenizer_path(name)))
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ADDED + ODD]
+    for _ in range(2):  # a second time from memory
+        assert enc.ids(ADDED + ODD) == want
+        assert [enc.ids([t])[0] for t in ADDED + ODD] == want
+
+
+def test_added_tokens_that_look_around_are_left_to_the_library():
+    from tokenizers import AddedToken, Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    library.add_tokens([AddedToken("zug", lstrip=True, single_word=True)])
+    texts = ["a  zug b", "zugzug zug"]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert WordEncoder(library.to_str()).ids(texts) == want
+
+
 def test_open_sequences_best_fit_and_bound():
     bins = packing.OpenSequences(10, 2)
     assert [bins.place(n) for n in (6, 7, 3, 4, 9)] == [(0, 0), (1, 0), (1, 7), (0, 6), (2, 0)]
