@@ -8,7 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quotaloom.llm import exact_dedup, fingerprints, langid, mixing, packing, repair_files, secret_scan, simhash, suffix_dedup, toxicity
+from quotaloom.llm import (
+    exact_dedup,
+    fingerprints,
+    html_text,
+    langid,
+    mixing,
+    packing,
+    repair_files,
+    secret_scan,
+    simhash,
+    spelling,
+    suffix_dedup,
+    toxicity,
+    vector_codes,
+)
 from quotaloom.llm.common import documents
 from quotaloom.llm.tokens import tokenizer_path
 
@@ -84,6 +98,24 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edit(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_text.main_text(pages.select("page_id", "url", "html"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    coded, books = vector_codes.train_and_encode(vectors, others=("label",))
+    error = F.aggregate("distances", F.lit(0).cast("long"), lambda a, d: a + d)
+    out = coded.select("vec_id", "label", F.lower(F.hex("code")).alias("code"), error.alias("error"))
+    out = vector_codes.with_group_error(out, "error", "label", "label_error")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -95,5 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_repair_files": op9_repair_files,
     "op10_minhash": op10_minhash,
+    "op11_html_text": op11_html_text,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
