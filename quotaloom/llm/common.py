@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space as the contracts spell it, and a word: a run of anything else.
@@ -65,14 +65,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared scratch folder."""
+    return f"{shared_dir(spark).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and return that table."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/corpus-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``scratch_path`` named, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def lookup(big: DataFrame, small: DataFrame, on: list[str], size: str, spread: list[str], salts: int = 64) -> DataFrame:
     """Inner join of ``big`` with ``small``, which has one row per key and, in ``size``, the key's rows in ``big``.
 
@@ -93,19 +104,23 @@ def lookup(big: DataFrame, small: DataFrame, on: list[str], size: str, spread: l
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): one row (v, label) per vertex, label the smallest vertex.
 
-    Each round takes the smallest label among the neighbours, then the label's label, until no
-    label changes; every round is a checkpoint, so a lost executor costs one round at most.
+    Each round takes the smallest label among the neighbours and follows it to the label that it had, until no label
+    changes. A round is one job: both joins are sort-merge joins, which AQE splits where a vertex has very many edges, and
+    the changes are counted while the labels are written. The table of the round before goes then, so the driver
+    keeps neither broadcast relations nor checkpoints of earlier rounds. A lost executor costs one round at most.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = cut(both.select(F.col("a").alias("v"), F.col("a").alias("label")).distinct())
+    spark = edges.sparkSession
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "links")
+    path = scratch_path(spark, "labels")
+    both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("near")).select("v", F.least("v", "near").alias("label")).write.parquet(path)
     while True:
-        near = (
-            both.join(labels, both.a == labels.v).groupBy(F.col("b").alias("v")).agg(F.min("label").alias("near"))
-        )
-        met = labels.join(near, "v").select("v", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        met = cut(met)
-        up = met.select(F.col("v").alias("label"), F.col("label").alias("top"))
-        labels = cut(met.join(up, "label").select("v", F.col("top").alias("label"), "was"))
-        if labels.where("label <> was").isEmpty():
-            return labels.select("v", "label")
-        labels = labels.select("v", "label")
+        labels, before = spark.read.schema("v long, label long").parquet(path), path
+        near = both.join(labels.hint("merge"), both.a == labels.v).groupBy(F.col("b").alias("v")).agg(F.min("label").alias("near"))
+        met = labels.join(near.hint("merge"), "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("met"))
+        up = labels.select(F.col("v").alias("met"), F.col("label").alias("top"))
+        found = met.join(up.hint("merge"), "met").select("v", F.col("top").alias("label"), "was")
+        path, changed = scratch_path(spark, "labels"), Observation()
+        found.observe(changed, F.count_if(F.col("label") != F.col("was")).alias("n")).select("v", "label").write.parquet(path)
+        discard(spark, before)
+        if not changed.get["n"]:
+            return spark.read.schema("v long, label long").parquet(path)

@@ -103,24 +103,27 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     members = cut(keyed.join(company.hint("merge"), "key"))
     nearest = [F.min(F.col("fp").bitwiseXOR(F.lit(h).cast("long"))).bitwiseXOR(F.lit(h).cast("long")) for h in HUBS]
     hubs = members.groupBy("key").agg(F.array(*nearest).alias("hubs"))
-    met = cut(members.join(hubs, "key"))
+    met = cut(members.join(hubs.hint("merge"), "key"))
     near = met.select("fp", F.explode(F.array_distinct("hubs")).alias("hub")).where("fp <> hub")
     near = near.where(_bits_apart(F.col("fp"), F.col("hub")) <= max_bits).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    near = cut(near.distinct())
     first = components(near)
     # What is still apart: bucket members outside the component of the bucket's first hub.
-    named = met.where("n > 2").join(first.withColumnRenamed("v", "fp"), "fp", "left")
+    named = met.where("n > 2").join(first.withColumnRenamed("v", "fp").hint("merge"), "fp", "left")
     named = named.select("fp", "key", F.col("hubs")[0].alias("hub"), F.coalesce("label", "fp").alias("label"))
     main = first.select(F.col("v").alias("hub"), F.col("label").alias("main"))
-    named = named.join(main, "hub", "left").withColumn("main", F.coalesce("main", "hub"))
+    named = named.join(main.hint("merge"), "hub", "left").withColumn("main", F.coalesce("main", "hub"))
     outside = cut(named.where("label <> main").select("fp", "key", "label"))
     if outside.isEmpty():
         return first.withColumnsRenamed({"v": "fp"})
     other = outside.select("key", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
-    pairs = named.select("fp", "key", "label").join(other, "key")
+    pairs = named.select("fp", "key", "label").join(other.hint("merge"), "key")
     pairs = pairs.where((F.col("label") != F.col("label2")) & (_bits_apart(F.col("fp"), F.col("fp2")) <= max_bits))
-    more = cut(pairs.select(F.col("label").alias("a"), F.col("label2").alias("b")).distinct())
-    return components(near.union(more)).withColumnsRenamed({"v": "fp"})
+    more = pairs.select(F.col("label").alias("a"), F.col("label2").alias("b")).distinct()
+    # Whole components are what is linked now; a label is its component's smallest fingerprint, so the smallest label stays right.
+    tops = components(more).withColumnRenamed("label", "top")
+    joined = first.join(tops.withColumnRenamed("v", "label").hint("merge"), "label", "left")
+    alone = tops.join(first.hint("merge"), "v", "left_anti").select(F.col("v").alias("fp"), F.col("top").alias("label"))
+    return joined.select(F.col("v").alias("fp"), F.coalesce("top", "label").alias("label")).union(alone)
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
