@@ -3,8 +3,8 @@
 Every test is one aggregation pass of conditional sufficient statistics (count, Σx, Σx²,
 won/lost cells) over the experiment rows — optionally per extra key — followed by a
 closed form on the aggregated row(s). Only those rows reach Python, for the p-values.
-Σx and Σx² are summed exactly (DECIMAL / integer), so the statistics do not depend on
-how the data is partitioned.
+Σx and Σx² are exact sums of whole units (``functions.moments``), so the statistics neither
+cancel nor depend on how the data is partitioned.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..functions import moments as mo
 from ..functions.exprs import ALPHA, effect_magnitude, rnd, safe_div
 from ..functions.joins import small
 from ..functions.median import exact_median
@@ -32,16 +32,6 @@ def ab_dataset(opps: DataFrame, campaigns: DataFrame) -> DataFrame:
         "campaign_name", "campaign_type")
 
 
-def _square(df: DataFrame, value: str) -> Column:
-    dt = df.schema[value].dataType
-    v = F.col(value)
-    if isinstance(dt, T.DecimalType):
-        return v * v
-    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return v.cast("bigint") * v.cast("bigint")
-    return v.cast("double") * v.cast("double")
-
-
 def campaign_moments(opps: DataFrame, campaigns: DataFrame, value_col: str = "deal_value",
                      by: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """Experiment rows reduced to sufficient statistics before any join: per campaign type (and
@@ -54,65 +44,71 @@ def campaign_moments(opps: DataFrame, campaigns: DataFrame, value_col: str = "de
     by = dict(by or {})
     fks = [fk for _, fk in by.values()]
     closed = opps.filter(F.col("is_closed") == 1)
-    pre = closed.groupBy("campaign_id", *fks).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(value_col).alias("_n"), F.sum(value_col).alias("_s1"),
-        F.sum(_square(closed, value_col)).alias("_s2"), F.sum("is_won").alias("_won"))
+    pre = closed.groupBy("campaign_id", *fks).agg(*_sufficient(closed, value_col))
     j = pre.join(small(campaigns.select("campaign_id", "campaign_type")), "campaign_id")
     for name, (dim, fk) in by.items():
         j = j.join(small(dim.select(fk, name)), fk)
-    return j.groupBy("campaign_type", *by).agg(*[F.sum(c).alias(c) for c in ("_rows", "_n", "_s1", "_s2", "_won")])
+    return j.groupBy("campaign_type", *by).agg(
+        *[F.sum(c).alias(c) for c in ("_rows", "_n", "_won")], F.sum("_s1").cast("decimal(38,0)").alias("_s1"),
+        F.try_sum("_s2").alias("_s2"), F.max("_digits").alias("_digits"))
+
+
+def _sufficient(df: DataFrame, value_col: str) -> list[Column]:
+    """Rows, and n, Σx, Σx² of ``value_col`` in whole units, of which ``_digits`` are behind the point; won rows."""
+    n, s1, s2 = mo.sums(df, value_col)
+    won = F.sum("is_won") if "is_won" in df.columns else F.lit(None).cast("bigint")
+    digits = F.max(F.lit(mo.unit_digits(df.schema[value_col].dataType)))
+    return [F.count(F.lit(1)).alias("_rows"), n.alias("_n"), s1.alias("_s1"), s2.alias("_s2"), won.alias("_won"), digits.alias("_digits")]
 
 
 def _reduced(df: DataFrame, group_col: str, value_col: str, by: Sequence[str]) -> DataFrame:
     """``df`` if it is already reduced, else its statistics per group."""
     if "_s2" in df.columns:
         return df
-    return df.groupBy(group_col, *by).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(value_col).alias("_n"), F.sum(value_col).alias("_s1"),
-        F.sum(_square(df, value_col)).alias("_s2"),
-        (F.sum("is_won") if "is_won" in df.columns else F.lit(None).cast("bigint")).alias("_won"))
+    return df.groupBy(group_col, *by).agg(*_sufficient(df, value_col))
 
 
 def moments(df: DataFrame, group_col: str, value_col: str, group_a: str = "A", group_b: str = "B",
             by: Sequence[str] = ()) -> DataFrame:
-    """n, Σx, Σx² of ``value_col`` (nulls dropped) for groups a and b, per ``by``."""
-    r, aggs = _reduced(df, group_col, value_col, by), []
+    """n, Σx, Σx² in whole units of ``value_col`` (nulls dropped) for groups a and b, per ``by``."""
+    r, aggs = _reduced(df, group_col, value_col, by), [F.max("_digits").alias("_digits")]
     for tag, lab in (("a", group_a), ("b", group_b)):
         inn = F.col(group_col) == F.lit(lab)
         aggs += [F.coalesce(F.sum(F.when(inn, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"n_{tag}"),
-                 F.sum(F.when(inn, F.col("_s1"))).alias(f"s1_{tag}"), F.sum(F.when(inn, F.col("_s2"))).alias(f"s2_{tag}")]
+                 F.sum(F.when(inn, F.col("_s1"))).cast("decimal(38,0)").alias(f"s1_{tag}"),
+                 F.try_sum(F.when(inn, F.col("_s2"))).alias(f"s2_{tag}")]
     return r.groupBy(*by).agg(*aggs) if by else r.agg(*aggs)
 
 
 def _mean_var(tag: str) -> tuple[Column, Column]:
-    n = F.col(f"n_{tag}").cast("double")
-    s1, s2 = F.col(f"s1_{tag}").cast("double"), F.col(f"s2_{tag}").cast("double")
-    mean = s1 / F.when(n > 0, n)
-    var = (s2 - s1 * s1 / F.when(n > 0, n)) / F.when(n > 1, n - F.lit(1.0))
-    return mean, var
+    n, s1, s2 = (F.col(f"{c}_{tag}") for c in ("n", "s1", "s2"))
+    unit = F.pow(F.lit(10.0), F.col("_digits"))
+    return mo.mean(n, s1, 0) / unit, mo.variance(n, s1, s2, 0) / (unit * unit)
 
 
 def welch_stats(df: DataFrame, group_col: str, value_col: str, group_a: str = "A", group_b: str = "B",
                 by: Sequence[str] = ()) -> DataFrame:
-    """AB2 statistics: n, means, difference (b − a), difference %, Welch t (a − b), ν."""
+    """AB2 statistics: n, means, difference (b − a), difference %, Welch t (a − b), ν. Flat groups have no t."""
     m = moments(df, group_col, value_col, group_a, group_b, by)
     ma, va = _mean_var("a")
     mb, vb = _mean_var("b")
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
-    t = safe_div(ma - mb, F.sqrt(safe_div(va, na) + safe_div(vb, nb)))
+    unit = F.pow(F.lit(10.0), F.col("_digits"))
+    more = mo.mean_difference(F.col("n_a"), F.col("s1_a"), F.col("n_b"), F.col("s1_b"), 0) / unit
+    t = safe_div(-more, F.sqrt(safe_div(va, na) + safe_div(vb, nb)))
     pooled = F.sqrt((va + vb) / F.lit(2.0))
-    m = m.select(*by, "n_a", "n_b", ma.alias("_ma"), mb.alias("_mb"), t.alias("_t"),
+    m = m.select(*by, "n_a", "n_b", ma.alias("_ma"), mb.alias("_mb"), more.alias("_more"), t.alias("_t"),
                  welch_df(va, na, vb, nb).alias("_df"),
-                 F.when(pooled > 0, safe_div(mb - ma, pooled)).otherwise(F.lit(0.0)).alias("_d"))
+                 F.when(pooled > 0, safe_div(more, pooled)).otherwise(F.lit(0.0)).alias("_d"))
     return m.select(
         *by, F.lit("Independent t-test (Welch's)").alias("test"), F.lit(value_col).alias("metric"),
         F.lit(group_a).alias("group_a"), F.lit(group_b).alias("group_b"), "n_a", "n_b",
         rnd("_ma", 2).alias("mean_a"), rnd("_mb", 2).alias("mean_b"),
-        rnd(F.col("_mb") - F.col("_ma"), 2).alias("mean_diff"),
-        rnd(safe_div(F.col("_mb") - F.col("_ma"), "_ma") * F.lit(100.0), 2).alias("mean_diff_pct"),
+        rnd("_more", 2).alias("mean_diff"),
+        rnd(safe_div("_more", "_ma") * F.lit(100.0), 2).alias("mean_diff_pct"),
         rnd("_t", 4).alias("t_statistic"), rnd("_df", 4).alias("welch_df"),
         F.col("_t").alias("_t_raw"), F.col("_df").alias("_df_raw"), F.col("_ma").alias("_ma_raw"),
-        F.col("_mb").alias("_mb_raw"), F.col("_d").alias("_d_raw"))
+        F.col("_more").alias("_more_raw"), F.col("_d").alias("_d_raw"))
 
 
 def _public(df: DataFrame) -> DataFrame:
@@ -131,12 +127,12 @@ def ab_welch_ttest_p(df: DataFrame, group_col: str = "campaign_type", value_col:
     s = welch_stats(df, group_col, value_col, group_a, group_b)
     s = s.withColumn("_p", t_pvalue(F.col("_t_raw"), F.col("_df_raw")))
     sig = F.col("_p") < ALPHA
-    pct = F.abs(safe_div(F.col("_mb_raw") - F.col("_ma_raw"), "_ma_raw") * F.lit(100.0))
+    pct = F.abs(safe_div("_more_raw", "_ma_raw") * F.lit(100.0))
     # The wording of both conclusions.
     yes = py_format(
         f"Statistically significant difference in {value_col} (p={{0:.4f}} < α={ALPHA}). "
         f"Group {group_b} mean is {{1:.1f}}% {{2}} than Group {group_a}.",
-        F.col("_p"), pct, F.when(F.col("_mb_raw") > F.col("_ma_raw"), "higher").otherwise("lower"))
+        F.col("_p"), pct, F.when(F.col("_more_raw") > 0, "higher").otherwise("lower"))
     no = py_format(
         f"No statistically significant difference in {value_col} (p={{0:.4f}} ≥ α={ALPHA}). "
         "Cannot conclude the campaigns perform differently.", F.col("_p"))
@@ -204,19 +200,19 @@ def campaign_summary(df: DataFrame) -> DataFrame:
     keys = ["campaign_name", "campaign_type"]
     d = df.filter(F.col("campaign_name").isNotNull() & F.col("campaign_type").isNotNull())
     won = F.col("is_won") == 1
-    sq = _square(d, "deal_value")
+    n_value, s1, s2 = mo.sums(d, "deal_value")
+    digits = mo.unit_digits(d.schema["deal_value"].dataType)
     g = d.groupBy(*keys).agg(
         F.count("opportunity_id").alias("total_opps"), F.sum("is_won").cast("bigint").alias("won_opps"),
         F.sum("is_won").alias("_sw"), F.count("is_won").alias("_cw"),
-        F.sum("deal_value").alias("_s1"), F.count("deal_value").alias("_n"), F.sum(sq).alias("_s2"),
+        F.sum("deal_value").alias("_sv"), n_value.alias("_n"), s1.alias("_s1"), s2.alias("_s2"),
         F.sum(F.when(won, F.col("deal_value")).otherwise(F.lit(0).cast("decimal(18,2)"))).alias("_rev"),
         F.sum("days_in_pipeline").alias("_sd"), F.count("days_in_pipeline").alias("_cd"))
-    n, s1, s2 = F.col("_n").cast("double"), F.col("_s1").cast("double"), F.col("_s2").cast("double")
-    var = (s2 - s1 * s1 / F.when(n > 0, n)) / F.when(n > 1, n - F.lit(1.0))
+    var = mo.variance(F.col("_n"), F.col("_s1"), F.col("_s2"), digits)
     med = exact_median(d, keys, "deal_value", "_median")
     g = g.join(med, keys, "left")
     return g.select(*keys, "total_opps", "won_opps", rnd(safe_div("_sw", "_cw"), 2).alias("win_rate"),
-                    rnd(safe_div("_s1", "_n"), 2).alias("avg_deal_value"), rnd("_median", 2).alias("median_deal_value"),
+                    rnd(safe_div("_sv", "_n"), 2).alias("avg_deal_value"), rnd("_median", 2).alias("median_deal_value"),
                     rnd(F.sqrt(var), 2).alias("std_deal_value"), rnd("_rev", 2).alias("total_revenue"),
                     rnd(safe_div("_sd", "_cd"), 2).alias("avg_cycle_days"))
 
