@@ -4,7 +4,8 @@ The ETL job writes each processed table and re-reads it as the input of the tabl
 derived from it (revenue from opportunities, forecasts from revenue, quotas from reps):
 the written table cuts the lineage, so a lost executor only recomputes the stage it was
 in, and the expensive line ⋈ order join + dedupe runs once. Row counts in/out of every
-cleaning step are collected with ``observe()`` during the same writes.
+cleaning step are collected with ``observe()`` during the same writes. The tables go to a folder
+of the run's own and become visible together, by one commit at the end (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, experiments as ab, forecast as fc, kpis, reports as rp
-from ..sources import sinks
-from ..sources.schemas import PARTITIONS
+from ..sources import sinks, versions
+from ..sources.schemas import PARTITIONS, PROCESSED, ddl
 from .warehouse import Warehouse, from_extracts, from_testdata
 
 RAW_OF = {"dim_reps": "reps", "dim_products": "products", "dim_campaigns": "campaigns",
@@ -41,12 +42,17 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
             last_day: str | None = None) -> DataFrame:
     """IO14: extract → transform → load, full replace. Returns the DQ row-count table;
     ``timings`` (if given) receives seconds per table write. The days bound the calendar of
-    extracts; without them it follows the data."""
+    extracts; without them it follows the data.
+
+    All eight tables are published by one commit. A run that fails or dies before it leaves the version
+    before as it was, and readers that opened that version keep reading it; ``versions.prune`` removes old ones."""
     from concurrent.futures import ThreadPoolExecutor
 
     started = time.time()
     w = from_testdata(spark, source) if kind == "testdata" else from_extracts(spark, source, first_day, last_day)
-    stored = Warehouse(spark, dst, "tables", fmt=fmt)
+    base, folder = versions.current(spark, dst), versions.new_run()
+    own = f"{dst.rstrip('/')}/{folder}"
+    stored = Warehouse(spark, own, "tables", fmt=fmt)
     counts: dict = {}
 
     def plan(table: str) -> DataFrame:
@@ -64,13 +70,18 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
 
     def write(table: str) -> None:
         t0 = time.time()
-        sinks.write_table(plan(table), f"{dst.rstrip('/')}/{table}", "replace", fmt, PARTITIONS.get(table))
+        sinks.write_table(plan(table), f"{own}/{table}", "fail", fmt, PARTITIONS.get(table))
         if timings is not None:
             timings[table] = round(time.time() - t0, 3)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for wave in WAVES:
-            list(pool.map(write, wave))  # re-raises the first failure
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            for wave in WAVES:
+                list(pool.map(write, wave))  # re-raises the first failure
+        versions.commit(spark, dst, base, fmt, {t: [f"{folder}/{t}"] for wave in WAVES for t in wave})
+    except BaseException:
+        versions.discard(spark, dst, folder)
+        raise
     rows = [(k, int(counts[k]["in"].get["rows"]), int(counts[k]["out"].get["rows"]))
             for k in ("reps", "products", "campaigns", "opportunities", "revenue", "quotas", "forecasts")]
     dq = spark.createDataFrame(rows, "label string, rows_in bigint, rows_out bigint")
@@ -125,14 +136,15 @@ def kpi_suite(w: Warehouse) -> dict[str, DataFrame]:
 
 
 def kpi_job(spark: SparkSession, warehouse_dir: str, out: str, fmt: str = "parquet") -> list[str]:
-    """IO9: compute and export the six KPI tables (CSV with header) of a warehouse stored as ``fmt``."""
+    """IO9: compute and export the six KPI tables (CSV with header). ``fmt``, here and in the jobs below, is the
+    format of a warehouse folder without commits; a committed version knows its own."""
     w = Warehouse(spark, warehouse_dir, "tables", fmt=fmt)
     return sinks.publish({n: kpis.for_export(n, df) for n, df in kpi_suite(w).items()}, out, "csv")
 
 
-def ab_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
+def ab_job(spark: SparkSession, warehouse_dir: str, out: str, fmt: str = "parquet") -> list[str]:
     """IO11: campaign summary, t-test (+ effect size) and chi-square result sets."""
-    w = Warehouse(spark, warehouse_dir, "tables")
+    w = Warehouse(spark, warehouse_dir, "tables", fmt=fmt)
     d = ab.ab_dataset(w.opportunities, w.campaigns)
     m = ab.campaign_moments(w.opportunities, w.campaigns)
     t = ab.ab_welch_ttest_p(m).withColumn("_one", F.lit(1)).join(
@@ -141,16 +153,17 @@ def ab_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
                           "chi_square_results": ab.ab_chi_square_p(m)}, out, "csv")
 
 
-def forecast_job(spark: SparkSession, warehouse_dir: str, out: str, horizon: int = 3) -> list[str]:
+def forecast_job(spark: SparkSession, warehouse_dir: str, out: str, horizon: int = 3,
+                 fmt: str = "parquet") -> list[str]:
     """IO10: company-level revenue forecast (month_year, forecasted_revenue)."""
-    w = Warehouse(spark, warehouse_dir, "tables")
+    w = Warehouse(spark, warehouse_dir, "tables", fmt=fmt)
     f = fc.holt_forecast(w.revenue, [], "revenue", horizon).select("month_year", "forecasted_revenue")
     return sinks.publish({"revenue_forecast": f}, out, "csv")
 
 
-def report_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
+def report_job(spark: SparkSession, warehouse_dir: str, out: str, fmt: str = "parquet") -> list[str]:
     """IO12: executive summary + six KPI sheets (quota sheet without the band column)."""
-    w = Warehouse(spark, warehouse_dir, "tables")
+    w = Warehouse(spark, warehouse_dir, "tables", fmt=fmt)
     k = kpi_suite(w)
     sheets = {"executive_summary": rp.report_summary(k["win_rate"], k["quota_attainment"], k["forecast_accuracy"],
                                                       w.revenue),
@@ -159,36 +172,72 @@ def report_job(spark: SparkSession, warehouse_dir: str, out: str) -> list[str]:
     return sinks.publish(sheets, out, "csv")
 
 
+def _catalog_entry(spark: SparkSession, name: str) -> dict[str, str] | None:
+    """Type, provider, location and columns of a catalog table or view, None if there is none; temporary views do not count."""
+    if not spark.catalog.tableExists(name):
+        return None
+    out, columns = {}, []
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect():
+        if r.col_name.startswith("#") or not r.col_name:
+            out.setdefault("Columns", ", ".join(columns))
+        elif "Columns" not in out:
+            columns.append(f"{r.col_name} {r.data_type}")
+        else:
+            out.setdefault(r.col_name, r.data_type)
+    return out
+
+
 def create_schema(spark: SparkSession, location: str, fmt: str = "parquet") -> list[str]:
-    """IO6: declare the eight processed tables in the catalog (CREATE TABLE IF NOT EXISTS)
-    at ``location``/<table>. A table already written there is declared with its own column
-    types and its partitions are found; others get the contract schema. Declared keys are
-    checked by the DQ job (``dq_constraints``), not enforced on write."""
+    """IO6: declare the eight processed tables in the current database, by their full names.
+
+    They stand at the folders of the current version of ``location``, or at ``location``/<table> where nothing was
+    committed. A table already written there is declared with its own column types and its partitions are found;
+    others get the contract schema. A table declared earlier at another place, as another format or with other columns
+    is declared anew: it is external, so its files stay. A managed table or a view of the same name is refused. A
+    table with several folders (appended loads) becomes a view over them. Declared keys are checked by the DQ job
+    (``dq_constraints``), not enforced on write.
+    """
     from pyspark.errors import AnalysisException
 
-    from ..sources.schemas import PROCESSED, ddl
+    version, database = versions.current(spark, location), spark.catalog.currentDatabase()
+    fmt = version.fmt if version else fmt
     for name in PROCESSED:
-        path = f"{location.rstrip('/')}/{name}"
+        full = f"spark_catalog.`{database}`.`{name}`"
+        folders = version.folders(location, name) if version else [f"{location.rstrip('/')}/{name}"]
+        had = _catalog_entry(spark, full)
+        if had and had.get("Type") != "EXTERNAL" and not (had.get("Type") == "VIEW" and _OWN_VIEW in had.get("Table Properties", "")):
+            raise ValueError(f"{full} is a {had.get('Type', 'table').lower()} that this job did not declare")
         try:
-            written = spark.read.format(fmt).load(path).schema
+            written = spark.read.format(fmt).load(folders[0]).schema
         except AnalysisException:  # nothing written yet
             written = None
-        spark.sql(f"{ddl(name, fmt, written if fmt != 'csv' else None)} LOCATION '{path}'")
-        if name in PARTITIONS and written is not None:  # by its full name: a view may have the short one
-            spark.catalog.recoverPartitions(f"{spark.catalog.currentDatabase()}.{name}")
+        if had:  # of a table whose partitions stand elsewhere, each partition would have to move: declare it anew
+            spark.sql(f"DROP {'VIEW' if had['Type'] == 'VIEW' else 'TABLE'} {full}")
+        if len(folders) > 1:
+            if fmt == "csv":
+                raise ValueError(f"{name}: a CSV table of several loads has no typed view; replace it by one load")
+            rows = " UNION ALL ".join(f"SELECT {', '.join(PROCESSED[name].names)} FROM parquet.`{f}`" for f in folders)
+            spark.sql(f"CREATE VIEW {full} TBLPROPERTIES ('{_OWN_VIEW}' = 'true') AS {rows}")
+            continue
+        spark.sql(f"{ddl(name, fmt, written if fmt != 'csv' else None, full)} LOCATION '{folders[0]}'")
+        if name in PARTITIONS and written is not None:
+            spark.catalog.recoverPartitions(full)
     return list(PROCESSED)
 
 
+#: Property of the views that stand for tables of several folders.
+_OWN_VIEW = "quotaloom.folders"
+
+
 def create_views(spark: SparkSession, w: Warehouse) -> list[str]:
-    """IO6/IO7: processed tables and the three reporting views in the session catalog."""
-    for name, df in w.tables().items():
-        df.createOrReplaceTempView(name)
-    views = {"vw_exec_kpi_summary": kpis.exec_kpi_summary(w.opportunities, w.reps, w.revenue, w.quotas),
-             "vw_pipeline_health": kpis.pipeline_health(w.opportunities, w.reps),
-             "vw_campaign_performance": kpis.campaign_performance(w.opportunities, w.campaigns)}
+    """IO7: the three reporting views of the session, and its tables as ``wh_<table>``, so that catalog tables stay visible."""
+    views = {f"wh_{name}": df for name, df in w.tables().items()}
+    views |= {"vw_exec_kpi_summary": kpis.exec_kpi_summary(w.opportunities, w.reps, w.revenue, w.quotas),
+              "vw_pipeline_health": kpis.pipeline_health(w.opportunities, w.reps),
+              "vw_campaign_performance": kpis.campaign_performance(w.opportunities, w.campaigns)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return [*w.tables(), *views]
+    return list(views)
 
 
 def query(spark: SparkSession, sql: str) -> DataFrame:
@@ -197,7 +246,7 @@ def query(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata",
-            via_files: bool = False) -> dict[str, Callable]:
+            via_files: bool = False, fmt: str = "parquet") -> dict[str, Callable]:
     """Full refresh then every downstream job; one failure does not stop the rest, but the run ends by raising it.
     ``via_files`` lands the driver tables as CSV extracts first (extract → transform → load)."""
     wh = f"{root.rstrip('/')}/warehouse"
@@ -206,7 +255,7 @@ def run_all(spark: SparkSession, source: str, root: str, kind: str = "testdata",
         raw = f"{root.rstrip('/')}/raw"
         results["extract"] = extract_job(spark, source, raw)
         source, kind = raw, "extracts"
-    results["etl"] = etl_job(spark, source, wh, kind)
+    results["etl"] = etl_job(spark, source, wh, kind, fmt)
     failed: dict[str, Exception] = {}
     for name, job in (("kpi", kpi_job), ("ab", ab_job), ("forecast", forecast_job), ("report", report_job)):
         try:

@@ -271,9 +271,13 @@ def _scratch(w: Warehouse) -> str:
 
 def _view(name: str) -> Callable[[Warehouse], DataFrame]:
     def run(w: Warehouse) -> DataFrame:
-        """IO7 and IO8: the reporting view, created and read as SQL."""
-        jobs.create_views(w.spark, w)
-        return jobs.query(w.spark, f"SELECT * FROM vw_{name}")
+        """IO7 and IO8: the reporting view, created and read as SQL; the session's views go again once the query is analysed."""
+        views = jobs.create_views(w.spark, w)
+        try:
+            return jobs.query(w.spark, f"SELECT * FROM vw_{name}")
+        finally:
+            for v in views:
+                w.spark.catalog.dropTempView(v)
     return run
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import month_start, rnd
 from ..operators import clean, derive
-from ..sources import landing, testdata
+from ..sources import landing, testdata, versions
 
 # Fixed values of the adapter (driver tables): the quota grid's months.
 ADAPTER_FIRST_MONTH = "1995-01"
@@ -35,7 +35,7 @@ class Warehouse:
     kind: str = "testdata"  # or "extracts" (CSV landing) or "tables" (a written warehouse)
     first_day: str | None = None  # calendar of the extracts; from the data where not given
     last_day: str | None = None
-    fmt: str = "parquet"  # of a written warehouse
+    fmt: str = "parquet"  # of a written warehouse without commits; a committed version knows its own
     _raw: dict = field(default_factory=dict)
 
     # ── raw extracts ─────────────────────────────────────────
@@ -129,7 +129,14 @@ class Warehouse:
         return days.agg(given(self.first_day, first).alias("start"), given(self.last_day, last).alias("end")).filter(
             "start IS NOT NULL AND end IS NOT NULL")
 
+    @cached_property
+    def version(self) -> versions.Version | None:
+        """The committed version that all tables of this object are read from; later commits do not change it."""
+        return versions.current(self.spark, self.source)
+
     def _stored(self, table: str) -> DataFrame:
+        if self.version:
+            return versions.read(self.spark, self.source, self.version, table)
         return landing.read_processed(self.spark, self.source, table, self.fmt)
 
     def tables(self) -> dict[str, DataFrame]:

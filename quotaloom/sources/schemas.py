@@ -95,14 +95,14 @@ FOREIGN_KEYS = [
 ]
 
 
-def ddl(name: str, fmt: str = "parquet", stored: T.StructType | None = None) -> str:
-    """CREATE TABLE IF NOT EXISTS statement of a processed table; column types as ``stored`` where it has them
-    (ids keep the type they landed with), partitioned as the ETL writes it."""
+def ddl(name: str, fmt: str = "parquet", stored: T.StructType | None = None, full_name: str | None = None) -> str:
+    """CREATE TABLE statement of a processed table, under ``full_name`` if given; column types as ``stored`` where it has
+    them (ids keep the type they landed with), partitioned as the ETL writes it."""
     types = {f.name: f.dataType for f in (stored or PROCESSED[name]).fields}
     cols = ", ".join(f"{f.name} {types.get(f.name, f.dataType).simpleString().upper()}" for f in PROCESSED[name].fields)
     options = f" OPTIONS ({', '.join(f'{k} {_quoted(v)}' for k, v in CSV.items())})" if fmt == "csv" else ""
     parts = f" PARTITIONED BY ({', '.join(PARTITIONS[name])})" if name in PARTITIONS else ""
-    return f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{options}{parts}"
+    return f"CREATE TABLE {full_name or name} ({cols}) USING {fmt}{options}{parts}"
 
 
 def _quoted(v: str) -> str:
