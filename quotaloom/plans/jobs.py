@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, experiments as ab, forecast as fc, kpis, reports as rp
-from ..sources import sinks, versions
+from ..sources import landing, sinks, versions
 from ..sources.schemas import PARTITIONS, PROCESSED, ddl
 from .warehouse import Warehouse, from_extracts, from_testdata
 
@@ -44,7 +44,8 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
     ``timings`` (if given) receives seconds per table write. The days bound the calendar of
     extracts; without them it follows the data.
 
-    All eight tables are published by one commit. A run that fails or dies before it leaves the version
+    Malformed records of an extract are counted as rejected (and dropped), and kept as the version's
+    ``rejected_<extract>``. All eight tables are published by one commit. A run that fails or dies before it leaves the version
     before as it was, and readers that opened that version keep reading it; ``versions.prune`` removes old ones."""
     from concurrent.futures import ThreadPoolExecutor
 
@@ -54,16 +55,24 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
     own = f"{dst.rstrip('/')}/{folder}"
     stored = Warehouse(spark, own, "tables", fmt=fmt)
     counts: dict = {}
+    records: dict[str, DataFrame] = {}
+    rejects: dict[str, str] = {}
 
     def plan(table: str) -> DataFrame:
         if table not in RAW_OF:
             return w.dates
         label = RAW_OF[table]
         # derived extracts read the tables already written instead of recomputing them
-        base = _derived_raw(w, stored, label) if label in ("revenue", "forecasts", "quotas") else w.raw(label)
+        base = None if kind == "extracts" else (
+            _derived_raw(w, stored, label) if label in ("revenue", "forecasts", "quotas") else w.raw(label))
         obs_in, obs_out = Observation(f"in_{label}"), Observation(f"out_{label}")
         counts[label] = {"in": obs_in, "out": obs_out}
-        seen = base.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+        if kind == "extracts":  # counted before malformed records are set aside, in the same pass
+            records[label] = landing.read_records(spark, source, label)
+            met = records[label].observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count(landing.REJECTED).alias("rejected"))
+            seen = landing.accepted(met)
+        else:
+            seen = base.observe(obs_in, F.count(F.lit(1)).alias("rows"), F.count(F.lit(None)).alias("rejected"))
         derived = kind == "testdata" and label in ("revenue", "quotas", "forecasts")
         cleaned = CLEANERS[table](seen, unique=True) if derived else CLEANERS[table](seen)
         return cleaned.observe(obs_out, F.count(F.lit(1)).alias("rows"))
@@ -78,14 +87,19 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             for wave in WAVES:
                 list(pool.map(write, wave))  # re-raises the first failure
-        versions.commit(spark, dst, base, fmt, {t: [f"{folder}/{t}"] for wave in WAVES for t in wave})
+        tables = {t: [f"{folder}/{t}"] for wave in WAVES for t in wave}
+        for label, found in records.items():
+            if counts[label]["in"].get["rejected"]:
+                landing.rejected(found, label).write.parquet(f"{own}/rejected_{label}")
+                rejects[f"rejected_{label}"] = f"{folder}/rejected_{label}"
+        versions.commit(spark, dst, base, fmt, tables, rejects)
     except BaseException:
         versions.discard(spark, dst, folder)
         raise
-    rows = [(k, int(counts[k]["in"].get["rows"]), int(counts[k]["out"].get["rows"]))
+    rows = [(k, int(counts[k]["in"].get["rows"]), int(counts[k]["out"].get["rows"]), int(counts[k]["in"].get["rejected"]))
             for k in ("reps", "products", "campaigns", "opportunities", "revenue", "quotas", "forecasts")]
-    dq = spark.createDataFrame(rows, "label string, rows_in bigint, rows_out bigint")
-    dq = dq.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
+    dq = spark.createDataFrame(rows, "label string, rows_in bigint, rows_out bigint, rejected bigint")
+    dq = dq.select("label", "rows_in", "rows_out", (F.col("rows_in") - F.col("rows_out")).alias("dropped"), "rejected")
     spark.conf.set("quotaloom.etl.seconds", f"{time.time() - started:.3f}")
     return dq
 

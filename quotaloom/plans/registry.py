@@ -17,8 +17,8 @@ from ..functions.exprs import iso_date_text, rnd
 from ..functions.joins import small
 from ..operators import clean, derive, experiments as ab, forecast as fc, kpis, measures as M, reports as rp
 from ..session import ensure_checkpoint_dir
-from ..sources import landing, sinks, testdata
-from ..sources.schemas import PARTITIONS, RAW_FILES
+from ..sources import landing, sinks, testdata, versions
+from ..sources.schemas import PARTITIONS, RAW_COLUMNS, RAW_FILES
 from . import jobs
 from .warehouse import ADAPTER_FIRST_MONTH, ADAPTER_LAST_MONTH, Warehouse, from_testdata, months_between
 
@@ -311,3 +311,85 @@ def _io_typed_export(w: Warehouse) -> DataFrame:
     folder = _scratch(w)
     sinks.publish({"quota_attainment": kpis.quota_attainment(w.quotas, w.reps, w.revenue)}, folder, "csv")
     return landing.read_export(w.spark, folder, "quota_attainment")
+
+
+#: What the file queries add up per table or export: a column whose sum shows lost, doubled or shifted values.
+STORED_SUMS = {
+    "dim_reps": "length(rep_name)", "dim_products": "unit_price", "dim_campaigns": "length(campaign_name)", "dim_date": "day_of_week",
+    "fact_opportunities": "deal_value", "fact_revenue": "revenue", "fact_quotas": "quota_amount", "fact_forecasts": "forecasted_rev"}
+EXPORT_SUMS = {
+    "win_rate": "won", "pipeline_velocity": "num_opportunities", "quota_attainment": "quota_amount", "forecast_accuracy": "forecasted_rev",
+    "mom_variance": "total_revenue", "territory_perf": "total_opps"}
+
+
+def _summed(parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(label, n_rows, total) of each frame; amounts add up exactly."""
+    out = None
+    for label, (df, value) in parts.items():
+        row = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.expr(f"CAST({value} AS DECIMAL(28,2))")).cast("double").alias("total"))
+        row = row.select(F.lit(label).alias("label"), "n_rows", "total")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("io_refreshed_tables")
+def _io_refreshed_tables(w: Warehouse) -> DataFrame:
+    """IO3, IO4 and IO14: the eight tables of a committed refresh, read by name."""
+    folder = _scratch(w)
+    jobs.etl_job(w.spark, w.source, folder)
+    tables = Warehouse(w.spark, folder, "tables").tables()
+    return _summed({t: (df, STORED_SUMS[t]) for t, df in tables.items()})
+
+
+@register("io_load_modes")
+def _io_load_modes(w: Warehouse) -> DataFrame:
+    """IO5: the revenue table loaded, its closing months from 1995 on appended, and the products replaced by the dear ones."""
+    folder = _scratch(w)
+    versions.load(w.spark, w.revenue, folder, "fact_revenue", "fail")
+    versions.load(w.spark, w.revenue.where("month_year >= '1995-01'"), folder, "fact_revenue", "append")
+    versions.load(w.spark, w.products, folder, "dim_products")
+    versions.load(w.spark, w.products.where("unit_price >= 1500"), folder, "dim_products", "replace")
+    now = Warehouse(w.spark, folder, "tables")
+    return _summed({"fact_revenue": (now.revenue, "revenue"), "dim_products": (now.products, "unit_price")})
+
+
+@register("io_typed_exports")
+def _io_typed_exports(w: Warehouse) -> DataFrame:
+    """IO9, IO13 and IO15: the six exported KPIs of a written warehouse, read back with their types."""
+    folder = _scratch(w)
+    jobs.etl_job(w.spark, w.source, f"{folder}/wh")
+    jobs.kpi_job(w.spark, f"{folder}/wh", f"{folder}/kpi")
+    return _summed({n: (landing.read_export(w.spark, f"{folder}/kpi", n), v) for n, v in EXPORT_SUMS.items()})
+
+
+@register("io_landing_rejects")
+def _io_landing_rejects(w: Warehouse) -> DataFrame:
+    """IO1 and TR9: a product extract whose names hold line breaks; of every seven ids one record has a field less and one a
+    field more. Records in = landed + rejected."""
+    folder = _scratch(w)
+    rows = w.raw("products").select([F.col(c).cast("string").alias(c) for c in RAW_COLUMNS["products"]])
+    q = lambda c: F.concat(F.lit('"'), F.regexp_replace(F.coalesce(c, F.lit("")), '"', '""'), F.lit('"'))
+    fields = [q(F.regexp_replace(c, " ", "\n") if c == "product_name" else F.col(c)) for c in rows.columns]
+    size = F.pmod(F.col("product_id").cast("long"), F.lit(7))
+    line = F.when(size == 0, F.concat_ws(",", *fields[:-1])).when(size == 1, F.concat_ws(",", *fields, F.lit("9"))).otherwise(F.concat_ws(",", *fields))
+    head = w.spark.createDataFrame([(",".join(rows.columns),)], "value string")
+    # Every part file starts with the header, as an extract does.
+    parts = rows.select(line.alias("value")).repartition(4)
+    parts.mapInArrow(_with_header(",".join(rows.columns)), head.schema).write.text(f"{folder}/products.csv")
+    records = landing.read_records(w.spark, folder, "products", f"{folder}/products.csv")
+    return records.agg(
+        F.count(F.lit(1)).alias("n_records"), F.count(landing.REJECTED).alias("n_rejected"),
+        F.sum(F.when(F.col(landing.REJECTED).isNull(), F.length("product_name"))).alias("name_chars"),
+        F.sum(F.when(F.col(landing.REJECTED).isNull(), F.col("unit_price").cast("decimal(18,2)"))).cast("double").alias("prices"))
+
+
+def _with_header(header: str):
+    def run(batches):
+        import pyarrow as pa
+        first = True
+        for b in batches:
+            if first and b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([header], b.schema.field(0).type)], schema=b.schema)
+                first = False
+            yield b
+    return run

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +32,7 @@ class Version:
     number: int
     fmt: str
     tables: Mapping[str, Sequence[str]]  # folders below the root, by table
+    rejects: Mapping[str, str] = field(default_factory=dict)  # parquet folders of rejected records, by name
 
     def folders(self, root: str, table: str) -> list[str]:
         return [f"{root.rstrip('/')}/{f}" for f in self.tables[table]]
@@ -63,7 +64,7 @@ def at(spark: SparkSession, root: str, number: int) -> Version:
         said = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Version(number, said["fmt"], said["tables"])
+    return Version(number, said["fmt"], said["tables"], said["rejects"])
 
 
 def current(spark: SparkSession, root: str) -> Version | None:
@@ -77,12 +78,15 @@ def new_run() -> str:
     return f"data/{uuid.uuid4().hex}"
 
 
-def commit(spark: SparkSession, root: str, base: Version | None, fmt: str, tables: Mapping[str, Sequence[str]]) -> Version:
-    """Publish ``tables`` as the version after ``base``."""
+def commit(
+    spark: SparkSession, root: str, base: Version | None, fmt: str, tables: Mapping[str, Sequence[str]], rejects: Mapping[str, str] | None = None
+) -> Version:
+    """Publish ``tables`` (and the rejected records of their extracts) as the version after ``base``."""
+    rejects = dict(rejects or {})
     number = base.number + 1 if base else 1
     temporary, fs = _path(spark, f"{root.rstrip('/')}/_commits/.{uuid.uuid4().hex}")
     out = fs.create(temporary, False)
-    out.write(json.dumps({"fmt": fmt, "tables": {k: list(v) for k, v in tables.items()}}).encode())
+    out.write(json.dumps({"fmt": fmt, "tables": {k: list(v) for k, v in tables.items()}, "rejects": rejects}).encode())
     out.close()
     final, _ = _path(spark, _commit_file(root, number))
     files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
@@ -94,7 +98,13 @@ def commit(spark: SparkSession, root: str, base: Version | None, fmt: str, table
         if "FileAlreadyExists" in str(e):
             raise ConcurrentLoad(f"version {number} of {root} was committed by another run") from e
         raise
-    return Version(number, fmt, dict(tables))
+    return Version(number, fmt, dict(tables), rejects)
+
+
+def read_rejected(spark: SparkSession, root: str, version: Version, extract: str) -> DataFrame | None:
+    """The records that the version's run rejected of an extract; None if it rejected none."""
+    folder = version.rejects.get(f"rejected_{extract}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{folder}") if folder else None
 
 
 def discard(spark: SparkSession, root: str, run: str) -> None:
@@ -128,7 +138,7 @@ def load(spark: SparkSession, df: DataFrame, root: str, table: str, mode: str =
     try:
         sinks.write_table(df, f"{root.rstrip('/')}/{run}/{table}", "fail", fmt, PARTITIONS.get(table))
         kept = have if mode == "append" else []
-        return commit(spark, root, base, fmt, {**(base.tables if base else {}), table: [*kept, f"{run}/{table}"]})
+        return commit(spark, root, base, fmt, {**(base.tables if base else {}), table: [*kept, f"{run}/{table}"]}, base.rejects if base else None)
     except BaseException:
         discard(spark, root, run)
         raise
@@ -143,9 +153,10 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
         raise ValueError("keep at least the current version")
     numbers = versions(spark, root)
     old, kept = numbers[:-keep], numbers[-keep:]
-    used = {f for n in kept for fs_ in at(spark, root, n).tables.values() for f in fs_}
+    lists = lambda v: {f for folders in v.tables.values() for f in folders} | set(v.rejects.values())
+    used = set().union(*(lists(at(spark, root, n)) for n in kept)) if kept else set()
     for n in old:
-        unused = {f for folders in at(spark, root, n).tables.values() for f in folders} - used
+        unused = lists(at(spark, root, n)) - used
         p, fs = _path(spark, _commit_file(root, n))
         fs.delete(p, False)
         for f in sorted(unused):
