@@ -47,4 +47,47 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
 FROM p
 """
 
-ORACLE: dict[str, str] = {"op3_exact_dedup": EXACT_DEDUP, "op6_source_mixing": SOURCE_MIXING}
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Plain Lloyd rounds: every part against every entry, each round. ``x``: a part's integers; ``b<r>``: the codebooks after r rounds."""
+    nearest = """
+  SELECT vec_id, label, part, x, arg_min(entry, d * 1000::HUGEINT + entry) AS entry, min(d) AS d
+  FROM (SELECT v.vec_id, v.label, v.part, v.x, b.entry,
+               list_sum(list_transform(list_zip(v.x, b.y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d
+        FROM v JOIN b{r} b ON v.part = b.part) pairs
+  GROUP BY vec_id, label, part, x"""
+    ctes = [f"""k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS whole
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS MATERIALIZED (
+  SELECT vec_id, label, part, whole[part * (len(whole) // {parts}) + 1 : (part + 1) * (len(whole) // {parts})] AS x
+  FROM k, range({parts}) p(part)
+), b0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS y
+  FROM v QUALIFY entry < {entries}
+)"""]
+    for r in range(rounds):
+        ctes.append(f"""a{r} AS MATERIALIZED ({nearest.format(r=r)}
+), s{r} AS (
+  SELECT part, entry, pos, floor_div AS y FROM (
+    SELECT part, entry, pos, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+    FROM (SELECT part, entry, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM a{r}) each GROUP BY part, entry, pos)
+), b{r + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.y, b.y) AS y
+  FROM b{r} b LEFT JOIN (SELECT part, entry, list(y::BIGINT ORDER BY pos) AS y FROM s{r} GROUP BY part, entry) m
+    ON b.part = m.part AND b.entry = m.entry
+)""")
+    return f"""
+WITH {", ".join(ctes)}, f AS ({nearest.format(r=rounds)}
+), c AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry::BIGINT), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM f GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM c"""
+
+
+ORACLE: dict[str, str] = {"op3_exact_dedup": EXACT_DEDUP, "op6_source_mixing": SOURCE_MIXING, "op12_vector_codes": _vector_codes()}
