@@ -21,7 +21,7 @@ from quotaloom.llm.tokens import chunks, encoder, read_text_file
 
 #: Nonterminals start here, above any token id.
 FIRST_RULE = 1 << 20
-ROUNDS = 4
+#: A round makes rules of the most frequent pairs: so many, or a quarter of all frequent ones if that is more.
 RULES_PER_ROUND = 4096
 #: A pair is worth a rule if it occurs this often in the shard.
 LEAST = 8
@@ -44,20 +44,20 @@ def compress(ids):
     """Re-Pair of an array of uint32 ids: (symbols, rules (n, 2), rules per round, ids per rule).
 
     Each round counts the pairs, gives a rule to the most frequent ones and replaces their
-    occurrences from left to right; where chosen pairs overlap, every other one of the run is taken.
+    occurrences from left to right; where chosen pairs overlap, every other one of the run is taken. Rounds
+    go on until no pair occurs LEAST times; later ones run on ever fewer symbols.
     """
     import numpy as np
 
     s, rules, rounds, lengths = ids.astype(np.uint32), [], [], []
-    for _ in range(ROUNDS):
-        if len(s) < 2 * LEAST:
-            break
+    while len(s) >= 2 * LEAST:
         a, b = s[:-1], s[1:]
         h = _bucket(a, b)
         counts = np.bincount(h, minlength=1 << HASH_BITS)
         many = np.flatnonzero(counts >= LEAST)
-        if len(many) > RULES_PER_ROUND:
-            many = many[np.argpartition(counts[many], len(many) - RULES_PER_ROUND)[-RULES_PER_ROUND:]]
+        batch = max(RULES_PER_ROUND, len(many) // 4)
+        if len(many) > batch:
+            many = many[np.argpartition(counts[many], len(many) - batch)[-batch:]]
         if not len(many):
             break
         # A bucket has one rule a round, for the pair seen there last, mostly its most frequent one; others wait.
@@ -72,11 +72,19 @@ def compress(ids):
         at, r = at[fits], r[fits]
         often = np.bincount(r, minlength=len(many)) >= LEAST
         left, right = a[seen][often], b[seen][often]
-        if not len(left):
-            break
-        number = np.cumsum(often) - 1
-        fits = often[r]
-        at, r = at[fits], number[r[fits]]
+        if len(left):
+            number = np.cumsum(often) - 1
+            fits = often[r]
+            at, r = at[fits], number[r[fits]]
+        else:  # buckets that fill up with different pairs: count those exactly
+            at = np.flatnonzero(counts[h] >= LEAST)
+            pairs, r, n = np.unique(a[at].astype(np.uint64) << np.uint64(32) | b[at], return_inverse=True, return_counts=True)
+            often = n >= LEAST
+            if not often.any():
+                break
+            fits = often[r]
+            at, r = at[fits], (np.cumsum(often) - 1)[r[fits]]
+            left, right = (pairs[often] >> np.uint64(32)).astype(np.uint32), pairs[often].astype(np.uint32)
         new_run = np.ones(len(at), bool)
         new_run[1:] = at[1:] != at[:-1] + 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
@@ -97,25 +105,24 @@ def compress(ids):
     return s, np.concatenate(rules) if rules else none, rounds, np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
 
 
-def expand(symbols, rules, rounds):
-    """The ids that ``symbols`` stand for: the rules of the last round first, each round once."""
+def expand(symbols, rules):
+    """The ids that ``symbols`` stand for: all rules at once by their pairs, as often as the grammar is deep."""
     import numpy as np
 
     s = symbols
-    base = FIRST_RULE + sum(rounds)
-    for n in reversed(rounds):
-        base -= n
-        is_rule = s >= base
-        out = np.repeat(s, 1 + is_rule)
+    while True:
+        is_rule = s >= FIRST_RULE
         at = np.flatnonzero(is_rule)
+        if not len(at):
+            return s
+        out = np.repeat(s, 1 + is_rule)
         first = at + np.arange(len(at))
         pair = rules[s[at].astype(np.int64) - FIRST_RULE]
         out[first], out[first + 1] = pair[:, 0], pair[:, 1]
         s = out
-    return s
 
 
-def decode_range(symbols, rules, rounds, expansions, start: int, stop: int, ends=None):
+def decode_range(symbols, rules, expansions, start: int, stop: int, ends=None):
     """Ids ``start`` to ``stop`` of a shard, from the symbols that cover them; ``ends``: of symbols, if known."""
     import numpy as np
 
@@ -125,7 +132,7 @@ def decode_range(symbols, rules, rounds, expansions, start: int, stop: int, ends
     if stop <= start:
         return np.zeros(0, np.uint32)
     before = ends[i - 1] if i else 0
-    return expand(symbols[i:j], rules, rounds)[start - before : stop - before]
+    return expand(symbols[i:j], rules)[start - before : stop - before]
 
 
 def symbol_ends(symbols, expansions):
@@ -225,7 +232,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 for a in range(0, n, step):  # a few documents at a time, each run of them by its own range
                     b = min(n, a + step)
                     first = int(stops[a] - s["doc_lengths"][a])
-                    ids = decode_range(s["symbols"], s["rules"], s["rule_rounds"], s["expansions"], first, int(stops[b - 1]), ends)
+                    ids = decode_range(s["symbols"], s["rules"], s["expansions"], first, int(stops[b - 1]), ends)
                     data = ids.astype("<u4").tobytes()
                     cut = [(int(stops[k] - s["doc_lengths"][k]), int(stops[k])) for k in range(a, b)]
                     docs = [None if d == NO_ID else d for d in s["doc_ids"][a:b].tolist()]

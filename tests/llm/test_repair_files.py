@@ -17,10 +17,10 @@ draw = np.random.default_rng(5)
 def test_round_trip_and_ranges(ids):
     ids = ids.astype(np.uint32)
     symbols, rules, rounds, lengths = repair_files.compress(ids)
-    assert (repair_files.expand(symbols, rules, rounds) == ids).all()
-    assert lengths.tolist() == [len(repair_files.expand(np.array([repair_files.FIRST_RULE + i], np.uint32), rules, rounds)) for i in range(len(rules))]
+    assert (repair_files.expand(symbols, rules) == ids).all()
+    assert lengths.tolist() == [len(repair_files.expand(np.array([repair_files.FIRST_RULE + i], np.uint32), rules)) for i in range(len(rules))]
     for a, b in ((0, 0), (0, len(ids)), (len(ids) // 3, len(ids) // 2), (max(0, len(ids) - 1), len(ids))):
-        assert (repair_files.decode_range(symbols, rules, rounds, lengths, a, b) == ids[a:b]).all()
+        assert (repair_files.decode_range(symbols, rules, lengths, a, b) == ids[a:b]).all()
 
 
 def test_repetitive_ids_shrink():
@@ -28,6 +28,22 @@ def test_repetitive_ids_shrink():
     assert len(repair_files.compress(ids)[0]) < len(ids) / 8
 
 
+def test_compression_runs_to_its_end():
+    ids = np.tile(draw.integers(0, 50000, 4000), 500).astype(np.uint32)
+    symbols, rules, rounds, lengths = repair_files.compress(ids)
+    assert len(symbols) < 2000 and len(rules) < 3 * 4000
+    assert (repair_files.expand(symbols, rules) == ids).all()
+
+
+@pytest.mark.parametrize("bits", [2, 20])
+def test_no_frequent_pair_is_left(monkeypatch, bits):
+    monkeypatch.setattr(repair_files, "HASH_BITS", bits)  # four buckets: full of different pairs
+    symbols, rules, _, _ = repair_files.compress(draw.integers(0, 40, 20000).astype(np.uint32))
+    pairs, n = np.unique(np.stack([symbols[:-1], symbols[1:]], 1), axis=0, return_counts=True)
+    equal = pairs[:, 0] == pairs[:, 1]  # occurrences of these overlap
+    assert n[~equal].max(initial=0) < repair_files.LEAST and len(rules) > 100
+
+
 def expected(rows):
     enc, at, out = WordEncoder(read_text_file(BYTES)), 0, []
     for i, text in rows:
