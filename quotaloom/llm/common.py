@@ -104,8 +104,10 @@ def lookup(big: DataFrame, small: DataFrame, on: list[str], size: str, spread: l
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): one row (v, label) per vertex, label the smallest vertex.
 
-    Each round takes the smallest label among the neighbours and follows it to the label that it had, until no label
-    changes. A round is one job: both joins are sort-merge joins, which AQE splits where a vertex has very many edges, and
+    Labels point towards the smallest vertex. In a round each vertex takes the smallest label of a label among its neighbours and
+    hands it to the vertex that its own label names as well, so whole trees of labels move at once and the rounds grow
+    with the logarithm of the longest path; the end is a round in which no label changes. A round is one job: both joins are
+    sort-merge joins, which AQE splits where a vertex has very many edges or a label very many vertices, and
     the changes are counted while the labels are written. The table of the round before goes then, so the driver
     keeps neither broadcast relations nor checkpoints of earlier rounds. A lost executor costs one round at most.
     """
@@ -115,10 +117,14 @@ def components(edges: DataFrame) -> DataFrame:
     both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("near")).select("v", F.least("v", "near").alias("label")).write.parquet(path)
     while True:
         labels, before = spark.read.schema("v long, label long").parquet(path), path
-        near = both.join(labels.hint("merge"), both.a == labels.v).groupBy(F.col("b").alias("v")).agg(F.min("label").alias("near"))
-        met = labels.join(near.hint("merge"), "v").select("v", F.col("label").alias("was"), F.least("label", "near").alias("met"))
-        up = labels.select(F.col("v").alias("met"), F.col("label").alias("top"))
-        found = met.join(up.hint("merge"), "met").select("v", F.col("top").alias("label"), "was")
+        up = labels.select(F.col("v").alias("label"), F.col("label").alias("top"))
+        now = labels.join(up.hint("merge"), "label").select("v", "label", "top")
+        near = both.join(now.select("v", "top").hint("merge"), both.a == F.col("v")).groupBy(F.col("b").alias("v")).agg(F.min("top").alias("near"))
+        met = now.join(near.hint("merge"), "v").withColumn("low", F.least("top", "near"))
+        own = F.struct("v", F.col("low").alias("to"), F.col("label").alias("was"))
+        tree = F.struct(F.col("label").alias("v"), F.col("near").alias("to"), F.lit(None).cast("long").alias("was"))
+        moves = met.select(F.inline(F.array(own, tree)))
+        found = moves.groupBy("v").agg(F.min("to").alias("label"), F.max("was").alias("was"))
         path, changed = scratch_path(spark, "labels"), Observation()
         found.observe(changed, F.count_if(F.col("label") != F.col("was")).alias("n")).select("v", "label").write.parquet(path)
         discard(spark, before)

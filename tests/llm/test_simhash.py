@@ -71,3 +71,18 @@ def test_one_document_of_each_group_stays(messy, nothing):
     assert {r.component_id for r in groups if r.id in (3, 4, 5)} == {3}
     assert sorted(ids, key=str) == sorted({r.component_id for r in groups}, key=str)
     assert simhash.drop_near_copies(nothing).count() == simhash.find_near_groups(nothing).count() == 0
+
+
+def test_components_of_paths_trees_and_rings_in_few_rounds(spark, monkeypatch):
+    rng = random.Random(7)
+    path = rng.sample(range(1000), 400)  # a path whose numbers are in no order
+    edges = [*zip(path, path[1:], strict=False)]
+    edges += [(1000 + i, 1000 + rng.randrange(i)) for i in range(1, 200)] + [(2000 + i, 2000 + (i + 1) % 150) for i in range(150)]
+    edges += [(3000, 3000), (3001, 3002), (3002, 3001), (3001, 3002)]
+    rounds = []
+    monkeypatch.setattr("quotaloom.llm.common.discard", lambda spark, path: rounds.append(path))
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).select("v", "label").collect()))
+    low = min(path)
+    want = dict.fromkeys(path, low) | dict.fromkeys(range(1000, 1200), 1000) | dict.fromkeys(range(2000, 2150), 2000)
+    assert got == want | {3001: 3001, 3002: 3001}
+    assert len(rounds) <= 12
