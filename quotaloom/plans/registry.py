@@ -182,6 +182,19 @@ register("holt_forecast")(lambda w: fc.holt_forecast(region_monthly(w), ["region
 register("holt_forecast_total")(lambda w: fc.holt_forecast(w.revenue, [], "revenue", HORIZON))
 register("holt_forecast_rep")(
     lambda w: fc.holt_forecast(kpis.revenue_by_rep_month(w.revenue), ["rep_id"], "rev", HORIZON))
+
+
+def monthly_by(w: Warehouse, dim: DataFrame, key: str, attribute: str) -> DataFrame:
+    """Revenue per (attribute, month) of a dimension: aggregated per (key, month) before its join."""
+    pre = w.revenue.groupBy(key, "month_year").agg(F.sum("revenue").alias("rev"))
+    j = pre.join(small(dim.select(key, attribute)), key)
+    return j.groupBy(attribute, "month_year").agg(F.sum("rev").alias("revenue"))
+
+
+register("holt_forecast_territory")(
+    lambda w: fc.holt_forecast(monthly_by(w, w.reps, "rep_id", "territory"), ["territory"], "revenue", HORIZON))
+register("holt_forecast_category")(
+    lambda w: fc.holt_forecast(monthly_by(w, w.products, "product_id", "category"), ["category"], "revenue", HORIZON))
 register("forecast_metrics")(lambda w: fc.forecast_metrics(_holt(w), ["region"], HOLT_ALPHA))
 register("forecast_horizon")(lambda w: fc.forecast_horizon(_holt(w), ["region"], HORIZON))
 register("forecast_chart_data")(lambda w: fc.forecast_chart_data(_holt(w), ["region"], HORIZON))
