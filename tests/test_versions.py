@@ -120,3 +120,31 @@ def test_every_job_runs_over_a_csv_warehouse(spark, warehouse, tmp_out):
     for name in landing.EXPORTS:
         a, b = (landing.read_export(spark, root, name) for root in (tmp_out + "/run/exports/kpi", tmp_out + "/kpi"))
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+
+
+def test_stored_views_serve_other_sessions_and_follow_the_tables(spark, warehouse, tmp_out):
+    from quotaloom.plans.views import store_views
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS stored")
+    spark.catalog.setCurrentDatabase("stored")
+    try:
+        jobs.create_schema(spark, tmp_out + "/empty")
+        names = store_views(spark)
+        assert [spark.newSession().table(n).count() for n in names] == [0, 0, 0]
+        jobs.create_schema(spark, warehouse)  # the views follow
+        other = spark.newSession()
+        w = Warehouse(spark, warehouse, "tables")
+        want = [kpis.exec_kpi_summary(w.opportunities, w.reps, w.revenue, w.quotas), kpis.pipeline_health(w.opportunities, w.reps),
+                kpis.campaign_performance(w.opportunities, w.campaigns)]
+        for name, df in zip(names, want, strict=True):
+            got = other.table(name)
+            assert got.columns == df.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, df.collect())) != [], name
+        assert store_views(spark) == names  # again over those that stand
+        spark.sql("DROP TABLE stored.dim_reps")
+        assert not spark.catalog.tableExists("spark_catalog.stored.dim_reps")
+        with pytest.raises(Exception, match="dim_reps"):
+            other.table(names[1]).count()
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+        spark.sql("DROP DATABASE stored CASCADE")
