@@ -286,42 +286,88 @@ def dq_row_counts(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame
     return g.withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
 
 
-def dq_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """TR10: violations of the declared PK / NOT NULL / FK constraints, per table and rule.
+def _key_facts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per key space (the table whose primary key it is) and key: how often it is that table's key, how
+    often each foreign key refers to it, and the nulls of the table's NOT NULL columns in its rows.
 
-    One pass per table: group by the primary key once (partial aggregation), counting the
-    rows and the nulls of every NOT NULL column per key; a second tiny aggregate gives the
-    duplicate-key rows and the null counts. FK checks count child rows per key before the
-    anti join, so a hot key is a single row there.
+    Every table is read once; a row gives its own key and the keys it refers to. All of them meet in one
+    shuffle after partial aggregation, so a key that a third of all rows refer to is one row a task.
     """
+    width = max([len(_required(t)) for t in tables if t in PRIMARY_KEYS], default=0)
+    refs = _references(tables)
     parts = []
     for t, pk in PRIMARY_KEYS.items():
         if t not in tables:
             continue
-        cols = [pk, *NOT_NULL.get(t, [])]
-        per_key = tables[t].groupBy(pk).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"_null_{i}") for i, c in enumerate(cols)])
-        tot = per_key.agg(
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("_dup"),
-            *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).cast("bigint").alias(f"_null_{i}") for i in range(len(cols))])
-        rules = [F.struct(F.lit("primary_key").alias("rule"), F.lit(pk).alias("column_name"),
-                          F.col("_dup").alias("violations"))]
-        rules += [F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("column_name"),
-                           F.col(f"_null_{i}").alias("violations")) for i, c in enumerate(cols)]
-        parts.append(tot.select(F.lit(t).alias("table_name"), F.explode(F.array(*rules)).alias("_r"))
-                     .select("table_name", "_r.rule", "_r.column_name", "_r.violations"))
-    for child, c, parent, pc in FOREIGN_KEYS:
-        if child not in tables or parent not in tables:
-            continue
-        keys = small(tables[parent].select(F.col(pc).alias("_k")).distinct())
-        # count child rows per key first: a hot key is one row before the anti join
-        per_key = tables[child].filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        orphans = (per_key.join(keys, F.col(c) == F.col("_k"), "left_anti")
-                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")))
-        parts.append(orphans.select(F.lit(child).alias("table_name"), F.lit("foreign_key").alias("rule"),
-                                    F.lit(f"{c}->{parent}").alias("column_name"), "violations"))
-    out = parts[0]
+        nulls = [F.col(c).isNull().cast("int") for c in _required(t)]
+
+        def fact(space: str, key: str, ref: int, flags: list[Column]) -> Column:
+            flags = flags + [F.lit(0)] * (width - len(flags))
+            return F.struct(F.lit(space).alias("space"), F.col(key).cast("string").alias("key"), F.lit(ref).alias("ref"),
+                            *[f.alias(f"null_{i}") for i, f in enumerate(flags)])
+
+        facts = [fact(t, pk, -1, nulls)]
+        facts += [fact(parent, c, i, []) for i, (child, c, parent) in enumerate(refs) if child == t]
+        parts.append(tables[t].select(F.inline(F.array(*facts))))
+    every = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        every = every.unionByName(p)
+    return every.groupBy("space", "key").agg(
+        F.sum((F.col("ref") < 0).cast("bigint")).alias("own"),
+        *[F.sum((F.col("ref") == i).cast("bigint")).alias(f"ref_{i}") for i in range(len(refs))],
+        *[F.sum(f"null_{i}").alias(f"null_{i}") for i in range(width)])
+
+
+def _required(table: str) -> list[str]:
+    return [PRIMARY_KEYS[table], *NOT_NULL.get(table, [])]
+
+
+def _references(tables: Mapping[str, DataFrame]) -> list[tuple[str, str, str]]:
+    """(child, column, parent) of the foreign keys between the tables given."""
+    return [(child, c, parent) for child, c, parent, _ in FOREIGN_KEYS if child in tables and parent in tables]
+
+
+def dq_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """TR10: violations of the declared PK / NOT NULL / FK constraints, per table and rule.
+
+    Primary key: rows that share a key (null is one key). Foreign key: rows whose key, not null, is no key of the
+    parent. All rules are answered by one aggregate over ``_key_facts``: one shuffle for all tables.
+    """
+    refs = _references(tables)
+
+    def total(amount: str, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(amount))), F.lit(0)).cast("bigint")
+
+    rules = []
+    for t, pk in PRIMARY_KEYS.items():
+        if t not in tables:
+            continue
+        own = F.col("space") == t
+        rules.append((t, "primary_key", pk, total("own", own & (F.col("own") > 1))))
+        rules += [(t, "not_null", c, total(f"null_{i}", own)) for i, c in enumerate(_required(t))]
+    for i, (child, c, parent) in enumerate(refs):
+        lost = (F.col("space") == parent) & F.col("key").isNotNull() & (F.col("own") == 0)
+        rules.append((child, "foreign_key", f"{c}->{parent}", total(f"ref_{i}", lost)))
+    sums = _key_facts(tables).agg(*[amount.alias(f"rule_{i}") for i, (*_, amount) in enumerate(rules)])
+    rows = [F.struct(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"), F.lit(c).alias("column_name"),
+                     F.col(f"rule_{i}").alias("violations")) for i, (t, rule, c, _) in enumerate(rules)]
+    return sums.select(F.inline(F.array(*rows)))
+
+
+def split_offenders(table: DataFrame, name: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """``table`` with a last column ``violates``: the constraints that a row breaks (empty: none), for writes that enforce.
+
+    ``parents`` holds the tables that its foreign keys refer to; keys into others are not judged. All rows of a repeated primary
+    key break it (null is one key), so the rows by constraint add up to what ``dq_constraints`` counts. Repeated keys and
+    the keys of the parents are joined by their distinct values: a row is never repeated, and a hot key is one row there.
+    """
+    pk, columns = PRIMARY_KEYS[name], table.columns
+    broken = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")) for c in _required(name)]
+    repeated = table.groupBy(F.col(pk).alias("_pk")).count().filter(F.col("count") > 1).select("_pk", F.lit(True).alias("_repeated"))
+    out = table.join(small(repeated), F.col(pk).eqNullSafe(F.col("_pk")), "left")
+    broken.append(F.when(F.col("_repeated"), F.lit(f"primary_key:{pk}")))
+    for i, (c, parent) in enumerate((c, p) for child, c, p, _ in FOREIGN_KEYS if child == name and p in parents):
+        keys = parents[parent].select(F.col(PRIMARY_KEYS[parent]).cast("string").alias(f"_key_{i}")).distinct()
+        out = out.join(small(keys), F.col(c).cast("string") == F.col(f"_key_{i}"), "left")
+        broken.append(F.when(F.col(c).isNotNull() & F.col(f"_key_{i}").isNull(), F.lit(f"foreign_key:{c}->{parent}")))
+    return out.select(*columns, F.array_sort(F.array_compact(F.array(*broken))).alias("violates"))

@@ -6,19 +6,20 @@ per rep as the forecast baseline, DV4 opportunity state as of a date, DV5 source
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import month_key, month_start
+from ..functions.numbering import number_rows
 
 
 def derive_bookings(opps: DataFrame) -> DataFrame:
     """DV1: one booking per won opportunity; revenue = deal value; month from close date.
 
-    The booking id is the opportunity id (a deterministic key): numbering rows in input
-    order would need one global ordered task over the whole fact.
+    The booking id is the opportunity id (a deterministic key), so that no sort is needed;
+    ``number_bookings`` gives the numbers in input order.
     """
     won = opps.filter(F.col("is_won") == 1)
     return won.select(
@@ -29,6 +30,14 @@ def derive_bookings(opps: DataFrame) -> DataFrame:
     )
 
 
+def number_bookings(bookings: DataFrame, order: Sequence[str] = ("opportunity_id",)) -> DataFrame:
+    """DV1: bookings with ``revenue_id`` REV0001, REV0002 … in the order of ``order`` (four digits or more)."""
+    numbered = number_rows(bookings, order, "_number")
+    digits = F.col("_number").cast("string")
+    padded = F.lpad(digits, F.greatest(F.lit(4), F.length(digits)), F.lit("0"))
+    return numbered.withColumn("revenue_id", F.concat(F.lit("REV"), padded)).drop("_number")
+
+
 def quota_spine(reps: DataFrame, start_month: str, end_month: str, amount: Column) -> DataFrame:
     """DV2: one quota row per rep and month in [start_month, end_month] ('yyyy-MM').
 

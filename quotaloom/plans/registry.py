@@ -78,8 +78,16 @@ def _dq_constraints(w: Warehouse) -> DataFrame:
     return clean.dq_constraints(w.tables())
 
 
+@register("dq_offenders")
+def _dq_offenders(w: Warehouse) -> DataFrame:
+    judged = clean.split_offenders(w.raw("opportunities").drop("_seq"), "fact_opportunities",
+                                   {"dim_reps": w.reps, "dim_products": w.products, "dim_campaigns": w.campaigns})
+    return judged.filter(F.size("violates") > 0).select("opportunity_id", F.array_join("violates", ",").alias("violates"))
+
+
 # ── 2.3 derivations ──────────────────────────────────────────
 register("derive_bookings")(lambda w: derive.derive_bookings(w.opportunities))
+register("booking_numbers")(lambda w: derive.number_bookings(derive.derive_bookings(w.opportunities)))
 register("quota_spine")(lambda w: w.raw("quotas"))
 register("forecast_baseline")(lambda w: derive.forecast_baseline(w.revenue))
 

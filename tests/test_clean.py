@@ -146,3 +146,57 @@ def test_dq_constraints_and_counts(spark):
     assert v[("fact_opportunities", "foreign_key", "rep_id->dim_reps")] == 1
     c = clean.dq_row_counts({"reps": (reps, reps.limit(1))}).first()
     assert (c.rows_in, c.rows_out, c.dropped) == (2, 1, 1)
+
+
+def test_offenders_add_up_to_the_counted_violations(spark):
+    reps = spark.createDataFrame([("R1", "A", "N", "T"), ("R2", None, "N", "T"), ("R2", "B", "N", "T"), (None, "C", None, "T")],
+                                 "rep_id string, rep_name string, region string, territory string")
+    facts = spark.createDataFrame([("O1", "R9"), ("O2", "R1"), ("O2", None), (None, "R2"), (None, "R9"), ("O3", "R9")],
+                                  "opportunity_id string, rep_id string")
+    tables = {"dim_reps": reps, "fact_opportunities": facts}
+    counted = {(r.table_name, f"{r.rule}:{r.column_name}"): r.violations for r in clean.dq_constraints(tables).collect()}
+    assert counted[("fact_opportunities", "foreign_key:rep_id->dim_reps")] == 3
+    assert counted[("fact_opportunities", "primary_key:opportunity_id")] == 4
+    assert counted[("dim_reps", "not_null:rep_name")] == 1 and counted[("dim_reps", "not_null:rep_id")] == 1
+    for name, table in tables.items():
+        judged = clean.split_offenders(table, name, tables).collect()
+        assert len(judged) == table.count()
+        for (t, rule), n in counted.items():
+            if t == name:
+                assert sum(rule in r.violates for r in judged) == n, rule
+    clean_rows = [r for r in clean.split_offenders(facts, "fact_opportunities", tables).collect() if not r.violates]
+    assert clean_rows == []
+
+
+def test_constraints_of_empty_tables_are_zero(spark):
+    reps = spark.createDataFrame([], "rep_id string, rep_name string, region string, territory string")
+    quotas = spark.createDataFrame([], "quota_id string, rep_id string, month_year string")
+    rows = clean.dq_constraints({"dim_reps": reps, "fact_quotas": quotas}).collect()
+    assert len(rows) == 9 and {r.violations for r in rows} == {0}
+
+
+def test_constraints_meet_in_one_shuffle(spark):
+    reps = spark.createDataFrame([("R1", "A", "N", "T")], "rep_id string, rep_name string, region string, territory string")
+    facts = spark.createDataFrame([("O1", "R9")], "opportunity_id string, rep_id string")
+    plan = clean.dq_constraints({"dim_reps": reps, "fact_opportunities": facts})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "SortAggregate" not in plan
+
+
+def test_rows_are_numbered_in_order_over_many_partitions(spark):
+    from quotaloom.functions.numbering import number_rows
+    from quotaloom.operators.derive import number_bookings
+
+    shuffled = spark.range(0, 20_011).select((F.col("id") * 7919 % 20_011).alias("k")).repartition(13)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one partition
+    try:
+        got = number_rows(shuffled, ["k"], "n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.rdd.getNumPartitions() > 1
+    assert got.count() == 20_011 and got.filter("n <> k + 1").count() == 0
+    hot = spark.createDataFrame([(None,)] * 3 + [(5,)] * 50 + [(1,)], "k int")
+    numbers = {(r.k, r.n) for r in number_rows(hot, ["k"], "n").collect()}
+    assert {n for _, n in numbers} == set(range(1, 55)) and (1, 4) in numbers and (None, 1) in numbers
+    assert number_rows(hot.limit(0), ["k"], "n").count() == 0
+    ids = number_bookings(spark.createDataFrame([("O2", "x"), ("O1", "y")], "opportunity_id string, revenue_id string")).collect()
+    assert {(r.opportunity_id, r.revenue_id) for r in ids} == {("O1", "REV0001"), ("O2", "REV0002")}
