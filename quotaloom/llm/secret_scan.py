@@ -93,7 +93,8 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     """(value, random) from ``docs`` (id, text, base).
 
     Random: the values of base spans, and digests of the ids. Ordinary: identifiers that several documents have,
-    each once, and that are no such value; a random string hardly ever occurs twice.
+    each once as it is, in capitals and in small letters, and that are no such value; a random string hardly ever occurs twice.
+    Capitals alone are thus no mark of a random string, while case that changes at random stays one.
     """
     rows = docs.select("id", "text", "base")
     taken = F.transform("base", lambda s: F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]))
@@ -104,7 +105,8 @@ def labelled_samples(docs: DataFrame) -> DataFrame:
     plain = rows.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)))).alias("value"))
     plain = plain.groupBy("value").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
     plain = plain.join(random, "value", "left_anti")
-    return random.unionByName(plain.select("value", F.lit(False).alias("random"))).where(F.char_length("value") > 1)
+    cased = F.explode(F.array_distinct(F.array("value", F.upper("value"), F.lower("value")))).alias("value")
+    return random.unionByName(plain.select(cased).select("value", F.lit(False).alias("random"))).where(F.char_length("value") > 1)
 
 
 def _pairs(value: Column) -> Column:

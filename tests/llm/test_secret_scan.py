@@ -77,3 +77,19 @@ def test_messy_and_empty(messy, nothing):
 def test_plan_has_no_python(messy, capsys):
     secret_scan.find_secrets(messy).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_planted_strings_among_shouted_and_ordinary_words(spark):
+    import random
+
+    draw = random.Random(8)
+    letters, capitals = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    parts = ["schild", "berg", "haus", "trager", "recht", "stadt", "ordnung", "verein"]
+    words = ["".join(draw.choices(parts, k=3)) for _ in range(300)]
+    docs = [(i, " ".join(draw.choices(words, k=20))) for i in range(300)]
+    docs += [(1000 + i, f"hear {''.join(draw.choices(parts, k=3)).upper()} {draw.choice(words).capitalize()} now") for i in range(100)]
+    keys = ["".join(draw.choices(letters if i % 2 else capitals, k=32)) for i in range(60)]
+    docs += [(2000 + i, f"value {k} end") for i, k in enumerate(keys)]
+    got = spans(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert not [i for i, found in got.items() if i < 2000 and found]
+    assert sum(got[2000 + i] == [f"markov:6:{6 + len(k)}"] for i, k in enumerate(keys)) >= 57
