@@ -4,7 +4,7 @@ Two models of how words are spelled, one of toxic and one of ordinary documents:
 characters within a word, order 5. Orders 5 to 3 have counts of their own per class; order 2 and
 below are shared continuation counts, so an expression that neither class has seen often is
 judged alike by both and says nothing. A document's words are scored by the difference of the
-two log-likelihoods, normalised by length over windows of words, and the windows' maximum, the
+two log-likelihoods, normalised by length over windows of words at every word, and the windows' maximum, the
 document's mean and its length are calibrated on labelled documents that the counts did not use.
 
 Counting is a distributed aggregate whose size follows the labelled corpus; the finished model has every counted gram
@@ -144,9 +144,12 @@ class Scorer:
             if not words:
                 continue
             a = np.fromiter(map(table.__getitem__, words), np.float64, len(words))
-            starts = np.arange(0, len(a), WINDOW)
-            means = np.add.reduceat(a, starts) / np.diff(np.append(starts, len(a))).clip(WINDOW // 2)
-            out[i] = means.max(), a.mean(), np.log1p(len(a))
+            if len(a) > WINDOW:  # a window at every word, so that the verdict does not depend on where an expression stands
+                sums = np.append(0.0, np.cumsum(a))
+                highest = (sums[WINDOW:] - sums[:-WINDOW]).max() / WINDOW
+            else:
+                highest = a.sum() / max(len(a), WINDOW // 2)
+            out[i] = highest, a.mean(), np.log1p(len(a))
         return out
 
 

@@ -92,3 +92,18 @@ def test_no_counted_gram_is_lost(spark):
         assert scorer._find(toxicity._hashes(points, order)[ends])[0].all()
     for order in (2, 3, 4):  # contexts
         assert scorer._find(toxicity._hashes(points, order)[ends - 1] ^ 0xA5A5A5A5A5A5A5A5)[0].all()
+
+
+def test_an_expression_scores_alike_wherever_it_stands(spark):
+    docs, labels = corpus(spark)
+    scorer = toxicity.Scorer(toxicity.fit_by_fold(docs, labels))
+    plain = "ta ro min el so ka"
+    texts = [f"{plain} {'so ' * k}{plain} zugx vrekk {plain} {plain}" for k in range(4)]
+    highest = scorer.features(texts)[:, 0]
+    assert max(abs(highest - highest[0])) < 1e-6
+    words = toxicity.words_of(texts[2])
+    value = scorer.lookup(set(words))
+    windows = [sum(value[w] for w in words[i : i + 4]) / 4 for i in range(len(words) - 3)]
+    assert abs(highest[2] - max(windows)) < 1e-6
+    few = scorer.features(["zugx", "zugx ta ro min", ""])[:, 0]
+    assert abs(few[0] - value["zugx"] / 2) < 1e-6 and few[2] == 0
