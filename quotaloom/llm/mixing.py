@@ -3,7 +3,9 @@
 Documents are aggregated by the set of sources they belong to. Token capacity flows from each
 pattern to the quotas of its sources; every repetition of a pattern is an arc of the same
 capacity at a higher cost (convex), so text is repeated only where fresh text has run out. The
-flow network has one node per pattern and source and no more, however many documents there are.
+flow network has one node per pattern and source and no more, however many documents there are, and falls
+apart into connected parts: a source that shares no document with another is filled from its own tokens
+in closed form, however many such sources there are; each part with several sources is solved in a task of its own.
 Documents are then selected in a seeded order, laid out by distributed prefix sums.
 """
 
@@ -11,19 +13,22 @@ from __future__ import annotations
 
 from collections import deque
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quotaloom.llm.common import WORD, cut, fresh, text_of
+from quotaloom.functions.numbering import number_rows
+from quotaloom.llm.common import WORD, components, cut, fresh, lookup, text_of
 
 #: Weights of the sources in code point order, repeating; the most often a document may be taken.
 WEIGHTS = (1, 2, 3)
 MOST = 3
 #: The seeded order is cut into so many slices of each pattern, so that a hot pattern is laid out by many tasks.
 SLICES = 4096
-#: The driver holds the patterns' totals; more patterns than this are refused.
-MAX_PATTERNS = 100_000
+#: Plans of up to so many patterns are broadcast to the documents; larger ones are joined by shuffles, hot patterns salted.
+BROADCAST_PATTERNS = 100_000
+#: Intervals of a pattern's axis.
+SPANS = "array<struct<source:long,low:long,high:long>>"
 
 
 def capped_targets(sizes: list[int], weights: list[float], total: int, most: int = MOST) -> list[float]:
@@ -105,6 +110,86 @@ def seeded(id_col: Column, seed: int) -> Column:
     return F.conv(digits, 16, 10).cast("long")
 
 
+def source_targets(patterns: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The sources of ``patterns`` (members, tokens): number, name, source_size, target (as ``capped_targets``).
+
+    Sources are numbered in code point order, null last. A round finds the level at which the sources that are not
+    full share what is left by weight, and fills those that would get more than ``most`` times their size; full ones only raise the level,
+    so the rounds end when none is added. A round is one aggregate over the sources.
+    """
+    sizes = patterns.select(F.explode("members").alias("name"), "tokens").groupBy("name").agg(F.sum("tokens").alias("source_size"))
+    placed = number_rows(sizes.withColumn("last", F.col("name").isNull()), ["last", "name"], "place")
+    kinds = F.array(*[F.lit(float(w)) for w in weights])
+    number = F.col("place") - 1
+    named = cut(placed.select(number.alias("number"), "name", "source_size", F.get(kinds, (number % len(weights)).cast("int")).alias("weight")))
+    cap = F.col("source_size") * most
+    total = patterns.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    level, full = 0.0, -1
+    while True:
+        is_full = cap <= level * F.col("weight")
+        r = named.agg(
+            F.count_if(is_full).alias("full"),
+            F.coalesce(F.sum(F.when(is_full, cap)), F.lit(0)).alias("caps"),
+            F.sum(F.when(~is_full, F.col("weight"))).alias("weight"),
+        ).first()
+        if r["full"] == full or not r["weight"]:
+            break
+        full, level = r["full"], (total - r["caps"]) / r["weight"]
+    target = F.when(cap <= level * F.col("weight"), cap.cast("double")).otherwise(F.lit(level) * F.col("weight"))
+    return cut(named.select("number", "name", "source_size", target.alias("target")))
+
+
+def axes(patterns: DataFrame, named: DataFrame, most: int = MOST) -> DataFrame:
+    """How far each pattern's tokens go: pattern, spans (intervals of its axis by source), total.
+
+    A source whose documents are in no other has one pattern, and takes its quota of that, ``most`` times at most. The other
+    sources and their patterns fall into connected parts; ``route`` solves each in one task, which holds that part's patterns
+    and sources (totals, no documents). Patterns from which no source takes anything may be absent.
+    """
+    quota = F.rint("target").cast("long").alias("quota")
+    links = patterns.select("pattern", "tokens", F.size("members").alias("n"), F.explode("members").alias("name"))
+    sources = named.select(F.col("name").alias("of"), F.col("number").alias("source"), quota)
+    links = cut(links.join(sources, F.col("name").eqNullSafe(F.col("of"))).select("pattern", "tokens", "n", "source", "quota"))
+    shared = cut(links.where("n > 1").select("source").distinct())
+    alone = links.join(shared, "source", "left_anti")
+    taken = F.least(F.col("quota"), F.col("tokens") * most)
+    own = F.array(F.struct("source", F.lit(0).cast("long").alias("low"), taken.alias("high"))).cast(SPANS)
+    spans = alone.where(taken > 0).select("pattern", own.alias("spans"), taken.alias("total"))
+    if not shared.count():
+        return spans
+    together = cut(links.join(shared, "source"))
+    # Vertices: sources as they are, patterns as negative numbers.
+    parts = components(together.select(F.col("source").alias("a"), (-F.col("pattern") - 1).alias("b")))
+    parted = together.join(parts.withColumnRenamed("v", "source"), "source")
+    routed = parted.groupBy("label").applyInPandas(_route_part(most), "pattern long, spans " + SPANS + ", total long")
+    return spans.unionByName(routed)
+
+
+def _route_part(most: int):
+    def solve(part):
+        import pandas as pd
+
+        part = part.sort_values(["pattern", "source"])
+        quotas = dict(zip(part["source"].tolist(), part["quota"].tolist(), strict=True))
+        names = sorted(quotas)
+        number = {s: i for i, s in enumerate(names)}
+        nodes = []
+        for pattern, own in part.groupby("pattern"):
+            nodes.append((tuple(number[s] for s in own["source"].tolist()), int(own["tokens"].iloc[0]), pattern))
+        nodes.sort()  # by sources, which tell patterns apart, so that reruns break ties alike
+        out = []
+        flows = route([n[:2] for n in nodes], [quotas[s] for s in names], most)
+        for (_, _, pattern), flow in zip(nodes, flows, strict=True):
+            at, spans = 0, []
+            for s, amount in sorted(flow.items()):
+                spans.append({"source": names[s], "low": at, "high": at + amount})
+                at += amount
+            out.append((pattern, spans, at))
+        return pd.DataFrame(out, columns=["pattern", "spans", "total"])
+
+    return solve
+
+
 def mix(
     docs: DataFrame,
     members: Column,
@@ -121,7 +206,7 @@ def mix(
     ``docs``: id, members, size, copies (times taken, 0 to ``most``), taken (size * copies),
     given (map of source number to the times the document counts for it). Sources are numbered in
     code point order; targets share all words by weight (``capped_targets``). Rows that repeat an id are told apart by their size and, if that ties, get their own
-    place in the order. An empty table gives no rows. Documents of size 0 are never taken.
+    place in the order. A null array of members counts as no source. An empty table gives no rows. Documents of size 0 are never taken.
     """
     frame, _ = mix_with_targets(docs, members, id_col, text_col, weights, most, seed)
     return frame
@@ -137,45 +222,24 @@ def mix_with_targets(
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """As ``mix``, and the sources: number, name, source_size, target."""
-    spark: SparkSession = docs.sparkSession
     rows = cut(
         docs.select(
             F.col(id_col).cast("long").alias("id"),
-            F.array_sort(F.array_distinct(members)).alias("members"),
+            F.coalesce(F.array_sort(F.array_distinct(members)), F.array()).alias("members"),
             F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
         )
     )
-    totals = rows.groupBy("members").agg(F.sum("size").alias("tokens")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    key = lambda s: (s is None, s or "")  # noqa: E731  Python compares text by code point
-    totals = sorted(totals, key=lambda r: [key(s) for s in r.members])
-    names = sorted({s for r in totals for s in r.members}, key=key)
-    number = {s: i for i, s in enumerate(names)}
-    sizes = [sum(r.tokens for r in totals if s in r.members) for s in names]
-    goals = capped_targets(sizes, [weights[i % len(weights)] for i in range(len(names))], sum(r.tokens for r in totals), most)
-    flows = route([(tuple(number[s] for s in r.members), r.tokens) for r in totals], [round(x) for x in goals], most)
+    patterns = rows.groupBy("members").agg(F.sum("size").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    patterns = cut(patterns.withColumn("pattern", F.monotonically_increasing_id()))
+    named = source_targets(patterns, weights, most)
+    plan = cut(patterns.join(axes(patterns, named, most), "pattern", "left"))
 
     # A pattern's axis: its documents in seeded order, laid end to end, ``most`` times over. Sources take intervals of it.
-    spans, plan = [], []
-    for p, (r, flow) in enumerate(zip(totals, flows, strict=True)):
-        at = 0
-        for s, amount in sorted(flow.items()):
-            spans.append((p, s, at, at + amount))
-            at += amount
-        plan.append((p, r.members, r.tokens, at))
-    plan_df = spark.createDataFrame(plan, "pattern int, members array<string>, tokens long, total long")
-    parts = spark.createDataFrame(
-        [(p, [x[1:] for x in spans if x[0] == p]) for p in range(len(plan))],
-        "pattern int, spans array<struct<source:int,low:long,high:long>>",
-    )
-    named = spark.createDataFrame(
-        [(i, s, n, float(g)) for i, (s, n, g) in enumerate(zip(names, sizes, goals, strict=True))],
-        "number int, name string, source_size long, target double",
-    )
-    # At most MAX_PATTERNS rows: small enough to broadcast.
-    plan_df = plan_df.join(parts, "pattern")
-    placed = rows.join(F.broadcast(plan_df.withColumnRenamed("members", "of")), rows.members.eqNullSafe(F.col("of"))).drop("of")
+    plan = plan.withColumns({"spans": F.coalesce("spans", F.array().cast(SPANS)), "total": F.coalesce("total", F.lit(0).cast("long"))})
+    if plan.count() <= BROADCAST_PATTERNS:
+        placed = rows.join(F.broadcast(plan.drop("rows")), "members")
+    else:  # a pattern of very many documents is salted
+        placed = lookup(rows, plan, ["members"], "rows", ["id"]).drop("rows")
     placed = placed.withColumn("luck", seeded(F.col("id"), seed))
     placed = placed.withColumn("slice", F.shiftright("luck", 48).cast("int"))
     slices = placed.groupBy("pattern", "slice").agg(F.sum("size").alias("slice_size"))

@@ -71,8 +71,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     mixed, sources = mixing.mix_with_targets(docs, F.array("source"))
     named = mixed.withColumn("name", mixed.members[0])
-    # One row per source name: bounded by the operator's pattern limit.
-    out = named.join(F.broadcast(sources.withColumnRenamed("name", "of")), F.col("name").eqNullSafe(F.col("of")))
+    of = sources.withColumnRenamed("name", "of")
+    if of.count() <= mixing.BROADCAST_PATTERNS:  # else a shuffle, whose hot sources AQE splits
+        of = F.broadcast(of)
+    out = named.join(of, F.col("name").eqNullSafe(F.col("of")))
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

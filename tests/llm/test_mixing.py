@@ -61,6 +61,44 @@ def test_overlapping_sources_share_documents(spark):
     assert all(abs(r.w - goal[r.source]) <= 20 for r in got.collect())
 
 
+def test_very_many_sources(spark):
+    """A source a document, nearly: more patterns than are broadcast, and none that the driver holds."""
+    n = 200_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + int(id % 7))").alias("text"), F.expr("concat('s', id div 2)").alias("source"))
+    mixed, sources = mixing.mix_with_targets(df, F.array("source"))
+    assert sources.count() == n // 2
+    sizes = {r.name: (r.number, r.source_size, r.target) for r in sources.collect()}
+    order = sorted(sizes)
+    goal = mixing.capped_targets([sizes[s][1] for s in order], [(1, 2, 3)[i % 3] for i in range(len(order))], sum(x[1] for x in sizes.values()))
+    assert [sizes[s][0] for s in order] == list(range(len(order)))
+    assert [sizes[s][2] for s in order] == pytest.approx(goal)
+    taken = mixed.groupBy(F.col("members")[0].alias("name")).agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    worst = taken.join(sources, "name").agg(F.max(F.abs(F.col("taken") - F.col("target"))), F.max(F.col("taken") - 3 * F.col("size"))).first()
+    assert worst[0] <= 14 and worst[1] <= 0
+
+
+def test_parts_solved_apart_equal_one_flow(spark):
+    members = [["a"], ["a", "b"], ["b"], ["c", "d"], ["d"], ["e"], None, [None, "e"], ["f"]]
+    rows = [(i, "w " * (1 + i % 5), members[i % 9]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    patterns = df.select(F.col("sources").alias("members"), F.size(F.split("text", " ")).alias("t"))
+    mixed, sources = mixing.mix_with_targets(df, F.col("sources"))
+    named = sorted(sources.collect(), key=lambda r: r.number)
+    assert [r.name for r in named] == ["a", "b", "c", "d", "e", "f", None]
+    totals = mixed.groupBy("members").agg(F.sum("size").alias("t"), F.sum("taken").alias("taken")).collect()
+    number = {r.name: r.number for r in named}
+    network = [(tuple(sorted(number[s] for s in r.members)), r.t) for r in totals]
+    flows = mixing.route(network, [round(r.target) for r in named])
+    got = dict.fromkeys(range(len(named)), 0)
+    for r in mixed.collect():
+        for s, times in r.given.items():
+            got[s] += times * r["size"]
+    for i in got:
+        assert abs(got[i] - sum(f.get(i, 0) for f in flows)) <= 5 * 3
+    assert all(r.copies == 0 for r in mixed.collect() if not r.members)
+    assert patterns.count() == 900
+
+
 def test_messy_and_empty(messy, nothing):
     mixed = mixing.mix(messy, F.array("source")).collect()
     assert len(mixed) == messy.count()
