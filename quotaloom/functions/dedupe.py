@@ -17,19 +17,24 @@ from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per ``keys`` (nulls form one key), the one with the least ``order``."""
+    """One row per ``keys`` (nulls form one key), the one with the least ``order``; ties: the least other columns.
+
+    Columns named in ``order`` are carried once.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    payload = [c for c in df.columns if c not in keys]
+    named = [o for o in order if isinstance(o, str)] if all(isinstance(o, str) for o in order) else []
+    payload = [c for c in df.columns if c not in keys and c not in named]
     q = lambda c: "`" + c.replace("`", "``") + "`"
-    if all(isinstance(o, str) for o in order):
+    if named:
         # one SQL expression: far fewer driver↔JVM calls than building it column by column
-        best = F.expr(f"min(struct(struct({', '.join(q(o) for o in order)}) AS _o, "
-                      f"{', '.join(q(c) for c in payload)})) AS _r")
+        parts = [f"struct({', '.join(q(o) for o in named)}) AS _o", *[q(c) for c in payload]]
+        best = F.expr(f"min(struct({', '.join(parts)})) AS _r")
     else:
         order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
         best = F.min(F.struct(F.struct(*order_cols).alias("_o"), *[F.col(c) for c in payload])).alias("_r")
     r = df.groupBy(*keys).agg(best)
-    return r.selectExpr(*[q(k) for k in keys], *[f"_r.{q(c)} AS {q(c)}" for c in payload])
+    kept = [c for c in df.columns if c not in keys]
+    return r.selectExpr(*[q(k) for k in keys], *[f"_r.{'_o.' * (c in named)}{q(c)} AS {q(c)}" for c in kept])
 
 
 def ingest_sequence() -> Column:

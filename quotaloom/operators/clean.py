@@ -86,10 +86,10 @@ def _coerce_opportunities(d: DataFrame) -> DataFrame:
     )
 
 
-def clean_opportunities(raw: DataFrame) -> DataFrame:
+def clean_opportunities(raw: DataFrame, unique: bool = False) -> DataFrame:
     """TR2: dedupe; coerce; clip probability; |days|; flags; stage repair; value > 0;
     closed rows need a close date; weighted value."""
-    d = _coerce_opportunities(_first(raw, "opportunity_id"))
+    d = _coerce_opportunities(_first(raw, "opportunity_id", unique))
     d = d.filter(F.col("_value") > 0)
     d = d.filter(~((F.col("is_closed") == 1) & F.col("close_date").isNull()))
     return d.select(

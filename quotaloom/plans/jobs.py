@@ -11,13 +11,15 @@ of the run's own and become visible together, by one commit at the end (``source
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, experiments as ab, forecast as fc, kpis, reports as rp
-from ..sources import landing, sinks, versions
+from ..session import ensure_checkpoint_dir
+from ..sources import landing, sinks, testdata, versions
 from ..sources.schemas import PARTITIONS, PROCESSED, ddl
 from .warehouse import Warehouse, from_extracts, from_testdata
 
@@ -107,20 +109,39 @@ def etl_job(spark: SparkSession, source: str, dst: str, kind: str = "testdata",
 def extract_job(spark: SparkSession, source: str, raw_dir: str) -> list[str]:
     """IO2: write the seven raw extracts as CSV (header row, all text), as the source
     systems would deliver them. Each extract is range-partitioned and sorted on its key
-    and ingest order, so file order is the order keep-first dedupe must honour."""
+    and ingest order, so file order is the order keep-first dedupe must honour.
+
+    The line ⋈ order join and the bookings are stored once, in a folder of the run's own that goes at its end: three
+    extracts come from the first and two from the second, and none is computed from the tables again."""
     from ..sources.schemas import RAW_COLUMNS, RAW_FILES
     w = from_testdata(spark, source)
     keys = {"reps": "rep_id", "opportunities": "opportunity_id", "revenue": "revenue_id", "quotas": "quota_id",
             "forecasts": "forecast_id", "products": "product_id", "campaigns": "campaign_id"}
+    shared, own = ensure_checkpoint_dir(spark).rstrip("/"), f"extract-{uuid.uuid4().hex}"
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        sinks.write_table(df, f"{shared}/{own}/{name}", "fail")
+        return spark.read.schema(df.schema).parquet(f"{shared}/{own}/{name}")
+
     paths = []
-    for name, cols in RAW_COLUMNS.items():
-        df = w.raw(name)
-        order = [keys[name], "_seq"] if "_seq" in df.columns else [keys[name]]
-        df = df.repartitionByRange(keys[name]).sortWithinPartitions(*order)
-        out = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-        path = f"{raw_dir.rstrip('/')}/{RAW_FILES[name]}"
-        sinks.write_csv(out, path)
-        paths.append(path)
+    try:
+        w.lines = stored(testdata.marked_lines(spark, source), "lines")
+        w.opportunities = clean.clean_opportunities(testdata.as_opportunities(testdata.first_of_marked(w.lines)), unique=True)
+        w._raw["revenue"] = stored(w.raw("revenue"), "bookings")
+        for name, cols in RAW_COLUMNS.items():
+            if name == "opportunities":  # lines are half as wide as the opportunities with their order
+                order = ["opportunity_id", *testdata.LINE_ORDER]
+                df = testdata.as_opportunities(w.lines.repartitionByRange("opportunity_id").sortWithinPartitions(*order))
+            else:
+                df = w.raw(name)
+                order = [keys[name], "_seq"] if "_seq" in df.columns else [keys[name]]
+                df = df.repartitionByRange(keys[name]).sortWithinPartitions(*order)
+            out = df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+            path = f"{raw_dir.rstrip('/')}/{RAW_FILES[name]}"
+            sinks.write_csv(out, path)
+            paths.append(path)
+    finally:
+        versions.discard(spark, shared, own)
     return paths
 
 

@@ -57,7 +57,7 @@ class Warehouse:
         if name == "campaigns":
             return testdata.raw_campaigns(sp, d)
         if name == "opportunities":
-            return testdata.raw_opportunities(sp, d)
+            return testdata.as_opportunities(self.lines)
         if name == "revenue":
             return derive.derive_bookings(self.opportunities)
         if name == "quotas":
@@ -67,6 +67,11 @@ class Warehouse:
             return adapter_forecasts(self.revenue)
         raise KeyError(name)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """What the opportunities of the driver tables are made of; a job that reads it often sets it to a stored copy."""
+        return testdata.opportunity_lines(self.spark, self.source)
+
     # ── processed tables ─────────────────────────────────────
     @cached_property
     def reps(self) -> DataFrame:
@@ -90,6 +95,8 @@ class Warehouse:
     def opportunities(self) -> DataFrame:
         if self.kind == "tables":
             return self._stored("fact_opportunities")
+        if self.kind == "testdata":
+            return clean.clean_opportunities(testdata.as_opportunities(testdata.first_lines(self.lines)), unique=True)
         return clean.clean_opportunities(self.raw("opportunities"))
 
     @cached_property

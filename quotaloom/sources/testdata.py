@@ -23,9 +23,10 @@ Keys stay BIGINT (cheaper to hash and compare than formatted text ids).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.dedupe import keep_first
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -76,17 +77,53 @@ def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+#: Order of the copies of an opportunity, as ``_seq``; what is left to tell rows apart follows.
+LINE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+def opportunity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders: the columns that opportunities are made of, before they repeat in derived ones."""
+    return _joined_lines(spark, sf_dir).drop("l_orderkey", "l_linenumber")
+
+
+def _joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *LINE_ORDER)
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("opportunity_id"), *LINE_ORDER,
+        "o_orderpriority", F.col("o_orderdate").cast("date").alias("created_date"))
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """One line per opportunity, the one that keep-first finds in the raw extract: by ``_seq``, then by campaign and
+    creation date; all other columns of the extract follow from these. Rows of half the width meet in the shuffle."""
+    return keep_first(lines, "opportunity_id", [*LINE_ORDER, "o_orderpriority", "created_date"])
+
+
+def marked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``opportunity_lines`` with ``is_first`` (of its order and line number, in the order of ``first_lines``) and ``shared``
+    (the line number, null or not one digit, may give the id of another order's line). The join has brought orders together."""
+    copies = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER, "o_orderpriority", "created_date")
+    marks = {"is_first": F.row_number().over(copies) == 1, "shared": ~F.coalesce(F.col("l_linenumber").between(0, 9), F.lit(False))}
+    return _joined_lines(spark, sf_dir).withColumns(marks).drop("l_orderkey", "l_linenumber")
+
+
+def first_of_marked(lines: DataFrame) -> DataFrame:
+    """``first_lines`` of stored ``marked_lines``: without a shuffle, unless two orders may share an id."""
+    first = lines.where("is_first").drop("is_first", "shared")
+    return first if lines.where("shared").isEmpty() else first_lines(first)
+
+
+def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_opportunities(opportunity_lines(spark, sf_dir))
+
+
+def as_opportunities(lines: DataFrame) -> DataFrame:
     closed = F.col("l_linestatus") == "F"
     won = closed & (F.col("l_returnflag") == "A")
     tax, disc = F.col("l_tax"), F.col("l_discount")
     ship = F.col("l_shipdate").cast("date")
-    created = F.col("o_orderdate").cast("date")
+    created = F.col("created_date")
     stage = (
         F.when(won, "Closed Won")
         .when(closed, "Closed Lost")
@@ -96,12 +133,12 @@ def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Negotiation")
     )
     price = F.col("l_extendedprice")
-    return j.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("opportunity_id"),
+    return lines.select(
+        "opportunity_id",
         F.col("l_suppkey").alias("rep_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderpriority").alias("campaign_id"),
-        created.alias("created_date"),
+        created,
         F.when(closed & ~((tax < 0.005) & (disc > 0.095)), ship).alias("close_date"),
         stage.alias("stage"),
         F.when((tax < 0.005) & (disc < 0.005), -price).otherwise(price).alias("deal_value"),
@@ -109,8 +146,7 @@ def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.datediff(ship, created).alias("days_in_pipeline"),
         F.when(won, 1).otherwise(0).alias("is_won"),
         F.when(closed, 1).otherwise(0).alias("is_closed"),
-        F.struct("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount",
-                 "l_tax", "l_returnflag", "l_linestatus").alias("_seq"),
+        F.struct(*LINE_ORDER).alias("_seq"),
     )
 
 
