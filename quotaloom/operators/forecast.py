@@ -99,19 +99,26 @@ def _sse_grid(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray):
     A, B = np.meshgrid(alphas, betas, indexing="ij")
     A, B = A.ravel(), B.ravel()
     g = A.size
-    # level and trend as affine forms c + u·l0 + v·b0: columns (c, u, v)
-    lvl = np.tile(np.array([0.0, 1.0, 0.0]), (g, 1))
-    trd = np.tile(np.array([0.0, 0.0, 1.0]), (g, 1))
-    suu = suv = svv = sur = svr = srr = np.zeros(g)
+    # level and trend as affine forms c + u·l0 + v·b0: rows (c, u, v), each contiguous over the grid
+    lvl, trd = np.zeros((3, g)), np.zeros((3, g))
+    lvl[1], trd[2] = 1.0, 1.0
+    f, new_lvl, products = np.empty((3, g)), np.empty((3, g)), np.empty((3, g))
+    suu_suv, svv, s_r = np.zeros((2, g)), np.zeros(g), np.zeros((3, g))
+    rest_a, rest_b = 1 - A, 1 - B
     for yt in y:
-        f = lvl + trd
-        r = yt - f[:, 0]
-        u, v = f[:, 1], f[:, 2]
-        suu, suv, svv = suu + u * u, suv + u * v, svv + v * v
-        sur, svr, srr = sur + u * r, svr + v * r, srr + r * r
-        new_lvl = A[:, None] * np.array([yt, 0.0, 0.0]) + (1 - A)[:, None] * f
-        trd = B[:, None] * (new_lvl - lvl) + (1 - B)[:, None] * trd
-        lvl = new_lvl
+        np.add(lvl, trd, out=f)
+        np.multiply(rest_a, f, out=new_lvl)
+        new_lvl[0] += A * yt
+        np.subtract(yt, f[0], out=f[0])  # now (r, u, v)
+        suu_suv += np.multiply(f[1], f[1:], out=products[:2])
+        svv += f[2] * f[2]
+        s_r += np.multiply(f, f[0], out=products)
+        trd *= rest_b
+        np.subtract(new_lvl, lvl, out=lvl)
+        lvl *= B
+        trd += lvl
+        lvl, new_lvl = new_lvl, lvl
+    (suu, suv), (srr, sur, svr) = suu_suv, s_r
     det = suu * svv - suv * suv
     ok = np.abs(det) > 1e-12 * np.maximum(1.0, suu * svv)
     l0 = np.where(ok, (sur * svv - svr * suv) / np.where(ok, det, 1.0), y[0])
@@ -146,7 +153,11 @@ def fit_holt(y: np.ndarray) -> dict:
 
 
 def holt_forecast(df: DataFrame, keys: Sequence[str], value: str, horizon: int = 3) -> DataFrame:
-    """FC2: per key, fit Holt by least squares and forecast ``horizon`` months ahead."""
+    """FC2: per key, fit Holt by least squares and forecast ``horizon`` months ahead.
+
+    The series are small and the fits are not: rows are dealt to a fixed number of partitions by key, as partitions
+    merged by their size would leave all fits to one task or two.
+    """
     keys = list(keys)
     monthly = df.groupBy(*keys, "month_year").agg(F.sum(value).cast("double").alias("y"))
     key_fields = [f for f in monthly.schema.fields if f.name in keys]
@@ -173,6 +184,8 @@ def holt_forecast(df: DataFrame, keys: Sequence[str], value: str, horizon: int =
         monthly = monthly.withColumn("_all", F.lit(1))
         out_schema = T.StructType([T.StructField("_all", T.IntegerType())] + list(out_schema.fields))
         keys = ["_all"]
+    if keys != ["_all"]:
+        monthly = monthly.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     fitted = monthly.groupBy(*keys).applyInPandas(fit, out_schema).withColumns(
         {"forecasted_revenue": rnd("forecasted_revenue", 2), "alpha": rnd("alpha", 4), "beta": rnd("beta", 4)})
     return fitted.drop("_all")

@@ -56,6 +56,12 @@ def _parts(df):
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
+def test_holt_fits_are_spread(spark):
+    rows = [(k, f"2023-{m:02d}", float(k + m)) for k in range(40) for m in range(1, 4)]
+    df = spark.createDataFrame(rows, "rep_id int, month_year string, rev double")
+    assert _parts(fc.holt_forecast(df, ["rep_id"], "rev", 1)) > 4
+
+
 def test_extracts_come_from_one_join(spark, tmp_out, monkeypatch):
     read, write = {}, sinks.write_csv
 
