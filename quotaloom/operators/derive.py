@@ -41,9 +41,11 @@ def number_bookings(bookings: DataFrame, order: Sequence[str] = ("opportunity_id
 def quota_spine(reps: DataFrame, start_month: str, end_month: str, amount: Column) -> DataFrame:
     """DV2: one quota row per rep and month in [start_month, end_month] ('yyyy-MM').
 
-    The month list is generated per rep row (``explode(sequence)``), so the grid is a
-    narrow projection of the rep table: no join, no shuffle.
+    The month list is generated per rep row (``explode(sequence)``): no join. Reps are few bytes and their grid is
+    many, so they are dealt round robin to a fixed number of partitions first: merged by size (or dealt by their id again,
+    which the planner drops), they would leave the whole grid, and what is grouped on it, to one task.
     """
+    reps = reps.select("rep_id").repartition(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     months = F.sequence(F.lit(f"{start_month}-01").cast("date"), F.lit(f"{end_month}-01").cast("date"),
                         F.expr("INTERVAL 1 MONTH"))
     g = reps.select("rep_id", F.explode(months).alias("_m"))

@@ -56,6 +56,12 @@ def _parts(df):
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
+def test_quota_grid_is_spread(spark):
+    reps = spark.range(200).withColumnRenamed("id", "rep_id").groupBy("rep_id").count()
+    grid = derive.quota_spine(reps, "1995-01", "2001-12", F.col("rep_id") * 1.0)
+    assert grid.count() == 200 * 84 and _parts(grid) == 8
+
+
 def test_holt_fits_are_spread(spark):
     rows = [(k, f"2023-{m:02d}", float(k + m)) for k in range(40) for m in range(1, 4)]
     df = spark.createDataFrame(rows, "rep_id int, month_year string, rev double")
