@@ -78,3 +78,16 @@ def test_extracts_come_from_one_join(spark, tmp_out, monkeypatch):
     monkeypatch.setattr(sinks, "write_csv", seen)
     jobs.extract_job(spark, "/root/testdata/sf0.001", tmp_out)
     assert not [name for name, files in read.items() if "lineitem" in files], read
+
+
+def test_load_modes_read_the_loaded_revenue(spark, monkeypatch):
+    read, load = [], versions.load
+
+    def seen(session, df, root, table, *more):
+        read.append((table, " ".join(df.inputFiles())))
+        return load(session, df, root, table, *more)
+
+    monkeypatch.setattr(versions, "load", seen)
+    registry._io_load_modes(from_testdata(spark, "/root/testdata/sf0.001"))
+    revenue = [files for table, files in read if table == "fact_revenue"]
+    assert "lineitem" in revenue[0] and "lineitem" not in revenue[1]
