@@ -21,6 +21,9 @@ JOINED = 1000
 #: Texts of about so many characters are encoded at a time.
 CHUNK_CHARS = 4_000_000
 
+#: Stands between words where a text is cut; texts that hold it are left to the library.
+PART = "\0"
+
 _before_space = re.compile(r"(?<=\S)(?= )")
 _space_run = re.compile(r"\s ")
 
@@ -46,11 +49,22 @@ class WordEncoder:
         alone = lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids
         self.spaceless = all(alone(w) == alone("a") for w in (" a", "  a", "\na"))
         # Letters and the mark after them are separate words to the library's pattern; some fold case first.
+        self.begins = None
         self.marks = ".," if self._encode(["a.", "a,"]) == self._join([["a", "."], ["a", ","]]) else ""
+        self.begins = None if self.spaceless else self._begins()
         self.caseless = self._encode(["aB", "AB"]) == self._encode(["ab"]) * 2
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _begins(self):
+        """By id, whether a token starts with the byte of a space, as the byte-level alphabet writes it."""
+        import numpy as np
+
+        vocabulary = self.tokenizer.get_vocab()
+        out = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        out[[i for t, i in vocabulary.items() if t[:1] == "\u0120" and t not in self.added]] = True
+        return out
+
     def _join(self, rows: list[list[str]]) -> list[bytes]:
         return [b"".join(self._encode(r)) for r in rows]
 
@@ -79,13 +93,19 @@ class WordEncoder:
         for at in range(0, len(plain), JOINED):
             part = plain[at : at + JOINED]
             texts = [words[i] for i in part]
-            got = self.tokenizer.encode(gap.join(texts), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4").tobytes()
-            starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids))
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + len(gap)
-            cuts = [*(4 * np.searchsorted(starts, np.cumsum(sizes) - sizes)).tolist(), len(ids)]
+            first = None
+            if self.begins is not None:  # every word starts with its only space: no places needed
+                ids = np.array(self.tokenizer.encode_batch_fast([gap.join(texts)], add_special_tokens=False)[0].ids, "<u4")
+                first = np.flatnonzero(self.begins[ids])
+            if first is None or len(first) != len(part):
+                got = self.tokenizer.encode(gap.join(texts), add_special_tokens=False)
+                ids = np.array(got.ids, "<u4")
+                starts = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids))
+                sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + len(gap)
+                first = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+            cuts, data = [*(4 * first).tolist(), 4 * len(ids)], ids.tobytes()
             for k, i in enumerate(part):
-                out[i] = ids[cuts[k] : cuts[k + 1]]
+                out[i] = data[cuts[k] : cuts[k + 1]]
         ordinary = set(plain)
         rest = [i for i in range(len(words)) if i not in ordinary]
         for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
@@ -108,43 +128,77 @@ class WordEncoder:
         return [words[0], *[" " + w for w in words[1:]]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if self.whole:
-            import numpy as np
+        if not texts:
+            return []
+        import numpy as np
 
+        if self.whole:
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        rows = [self.split(t) for t in texts]
+        if any(PART in t for t in texts):
+            whole = lambda t: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            rest = iter(self.ids([t for t in texts if PART not in t]))
+            return [whole(t) if PART in t else next(rest) for t in texts]
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # Distinct words are found, and the ids of all words put together, a column at a time.
+        rows = pc.split_pattern(pa.array([self._parted(t) for t in texts], pa.large_string()), PART)
+        coded = pc.dictionary_encode(rows.flatten())
+        ids = self._ids_of_words(coded.dictionary.to_pylist())
+        data, code = np.frombuffer(b"".join(ids), "<u4"), coded.indices.to_numpy(zero_copy_only=False)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = size[code]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        place = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], n)
+        place += np.arange(len(place))
+        out, cuts = data[place].tobytes(), (4 * ends[rows.offsets.to_numpy(zero_copy_only=False)]).tolist()
+        return [out[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _parted(self, text: str) -> str:
+        """The words of ``split`` with PART between them, for a text that holds none itself."""
+        if self._holds_added(text):
+            return PART.join(self.split(text))
+        if self.spaceless:
+            return text.replace("\n", PART).replace(" ", PART)
+        if _space_run.search(text):
+            return PART.join(_before_space.split(text))
+        return text.replace(" ", PART + " ")
+
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, from memory or the library."""
         new, old = self.new, self.old
         if len(new) > CACHE_WORDS:
             new, old = {}, new
-        local: dict[str, bytes] = dict(self.added)
-        unseen: list[str] = []
-        for w in set().union(*rows) - self.added.keys() if rows else ():
-            ids = new.get(w)
+        out: list[bytes | None] = list(map(new.get, words))
+        unseen: list[int] = []
+        for k, ids in enumerate(out):
             if ids is None:
-                ids = old.get(w)
+                w = words[k]
+                ids = self.added.get(w)
                 if ids is None:
-                    unseen.append(w)
-                    continue
-                new[w] = ids
-            local[w] = ids
-        parts = [self._simpler(w) for w in unseen]
+                    ids = old.get(w)
+                    if ids is None:
+                        unseen.append(k)
+                        continue
+                    new[w] = ids
+                out[k] = ids
+        parts = [self._simpler(words[k]) for k in unseen]
         known = {}
         for w in {x for part in parts for x in part}:
             known[w] = new.get(w) or old.get(w) or (b"" if not w else None)
         todo = [w for w, ids in known.items() if ids is None]
         known.update(zip(todo, self._encode(todo), strict=True))
-        for w, (word, mark) in zip(unseen, parts, strict=True):
-            ids = known[word]
+        for k, (word, mark) in zip(unseen, parts, strict=True):
+            w, ids = words[k], known[word]
             if len(w) <= CACHE_CHARS:
                 new[word] = ids
             if mark or w is not word:
                 ids += known[mark]
                 if len(w) <= CACHE_CHARS:
                     new[w] = ids
-            local[w] = ids
+            out[k] = ids
         self.new, self.old = new, old
-        get = local.__getitem__
-        return [b"".join(map(get, row)) for row in rows]
+        return out
 
 
 def encoder(tokenizer_json: str) -> WordEncoder:
