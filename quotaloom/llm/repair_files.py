@@ -28,16 +28,16 @@ LEAST = 8
 #: A shard is closed at the first document end beyond so many ids; rows of documents dealt to a task.
 SHARD_IDS = 1 << 21
 END_ID = 2
-#: Pairs are first counted in a table of 2 ** HASH_BITS buckets.
+#: Pairs are first counted in a table of at most 2 ** HASH_BITS buckets.
 HASH_BITS = 20
 
 SHARD = "part long, shard int, n_ids long, doc_ids binary, doc_lengths binary, rules binary, rule_rounds binary, expansions binary, symbols binary"
 
 
-def _bucket(a, b):
+def _bucket(a, b, bits):
     import numpy as np
 
-    return ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - HASH_BITS)
+    return ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - bits)
 
 
 def compress(ids):
@@ -50,18 +50,25 @@ def compress(ids):
     import numpy as np
 
     s, rules, rounds, lengths = ids.astype(np.uint32), [], [], []
-    while len(s) >= 2 * LEAST:
-        a, b = s[:-1], s[1:]
-        h = _bucket(a, b)
-        counts = np.bincount(h, minlength=1 << HASH_BITS)
+    # Places whose pair may be frequent. All occurrences of a pair come with its newer symbol and later only go, so a pair that was
+    # not frequent once never is: its places wait until a neighbour is replaced.
+    live = np.arange(len(s) - 1) if len(s) else np.zeros(0, np.int64)
+    while len(live) >= LEAST:
+        a, b = s[live], s[live + 1]
+        bits = min(HASH_BITS, len(live).bit_length() + 1)
+        h = _bucket(a, b, bits)
+        counts = np.bincount(h, minlength=1 << bits)
         many = np.flatnonzero(counts >= LEAST)
         batch = max(RULES_PER_ROUND, len(many) // 4)
-        if len(many) > batch:
-            many = many[np.argpartition(counts[many], len(many) - batch)[-batch:]]
         if not len(many):
             break
+        stays = counts[h] >= LEAST
+        if not stays.all():
+            live, a, b, h = live[stays], a[stays], b[stays], h[stays]
+        if len(many) > batch:
+            many = many[np.argpartition(counts[many], len(many) - batch)[-batch:]]
         # A bucket has one rule a round, for the pair seen there last, mostly its most frequent one; others wait.
-        rule_of = np.full(1 << HASH_BITS, -1, np.int32)
+        rule_of = np.full(1 << bits, -1, np.int32)
         rule_of[many] = np.arange(len(many))
         r = rule_of[h]
         at = np.flatnonzero(r >= 0)
@@ -77,25 +84,30 @@ def compress(ids):
             fits = often[r]
             at, r = at[fits], number[r[fits]]
         else:  # buckets that fill up with different pairs: count those exactly
-            at = np.flatnonzero(counts[h] >= LEAST)
-            pairs, r, n = np.unique(a[at].astype(np.uint64) << np.uint64(32) | b[at], return_inverse=True, return_counts=True)
+            pairs, r, n = np.unique(a.astype(np.uint64) << np.uint64(32) | b, return_inverse=True, return_counts=True)
             often = n >= LEAST
             if not often.any():
                 break
-            fits = often[r]
-            at, r = at[fits], (np.cumsum(often) - 1)[r[fits]]
+            at = np.flatnonzero(often[r])
+            r = (np.cumsum(often) - 1)[r[at]]
             left, right = (pairs[often] >> np.uint64(32)).astype(np.uint32), pairs[often].astype(np.uint32)
+        at = live[at]
         new_run = np.ones(len(at), bool)
         new_run[1:] = at[1:] != at[:-1] + 1
         run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
         take = (np.arange(len(at)) - run_start) % 2 == 0
         at, r = at[take], r[take]
         base = FIRST_RULE + sum(rounds)
-        s = s.copy()
         s[at] = base + r
+        may = np.zeros(len(s), bool)
+        may[live] = True
+        may[at] = True
+        may[np.maximum(at - 1, 0)] = True
         keep = np.ones(len(s), bool)
         keep[at + 1] = False
-        s = s[keep]
+        s, may = s[keep], may[keep]
+        may[-1] = False
+        live = np.flatnonzero(may)
         known = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
         size = lambda x: np.where(x >= FIRST_RULE, known[np.maximum(x.astype(np.int64) - FIRST_RULE, 0)] if len(known) else 1, 1)
         lengths.append(size(left) + size(right))
