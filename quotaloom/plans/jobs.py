@@ -126,7 +126,7 @@ def extract_job(spark: SparkSession, source: str, raw_dir: str) -> list[str]:
     paths = []
     try:
         w.lines = stored(testdata.marked_lines(spark, source), "lines")
-        w.opportunities = clean.clean_opportunities(testdata.as_opportunities(testdata.first_of_marked(w.lines)), unique=True)
+        w.opportunities = clean.clean_opportunities(testdata.first_opportunities(testdata.first_of_marked(w.lines)), unique=True)
         w._raw["revenue"] = stored(w.raw("revenue"), "bookings")
         for name, cols in RAW_COLUMNS.items():
             if name == "opportunities":  # lines are half as wide as the opportunities with their order

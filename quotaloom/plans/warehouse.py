@@ -96,7 +96,7 @@ class Warehouse:
         if self.kind == "tables":
             return self._stored("fact_opportunities")
         if self.kind == "testdata":
-            return clean.clean_opportunities(testdata.as_opportunities(testdata.first_lines(self.lines)), unique=True)
+            return clean.clean_opportunities(testdata.first_opportunities(testdata.first_lines(self.lines)), unique=True)
         return clean.clean_opportunities(self.raw("opportunities"))
 
     @cached_property

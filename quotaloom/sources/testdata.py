@@ -23,7 +23,7 @@ Keys stay BIGINT (cheaper to hash and compare than formatted text ids).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dedupe import keep_first
@@ -114,11 +114,21 @@ def first_of_marked(lines: DataFrame) -> DataFrame:
     return first if lines.where("shared").isEmpty() else first_lines(first)
 
 
+def first_opportunities(first: DataFrame) -> DataFrame:
+    """The opportunities of first lines, each column computed once: without the step through ``inline`` the planner repeats the
+    expressions wherever the cleaning rules use a column, in methods too long for the JIT compiler."""
+    return first.select(F.inline(F.array(F.struct(*opportunity_columns()))))
+
+
 def raw_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_opportunities(opportunity_lines(spark, sf_dir))
 
 
 def as_opportunities(lines: DataFrame) -> DataFrame:
+    return lines.select(*opportunity_columns())
+
+
+def opportunity_columns() -> list[Column]:
     closed = F.col("l_linestatus") == "F"
     won = closed & (F.col("l_returnflag") == "A")
     tax, disc = F.col("l_tax"), F.col("l_discount")
@@ -133,8 +143,8 @@ def as_opportunities(lines: DataFrame) -> DataFrame:
         .otherwise("Negotiation")
     )
     price = F.col("l_extendedprice")
-    return lines.select(
-        "opportunity_id",
+    return [
+        F.col("opportunity_id"),
         F.col("l_suppkey").alias("rep_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("o_orderpriority").alias("campaign_id"),
@@ -147,7 +157,7 @@ def as_opportunities(lines: DataFrame) -> DataFrame:
         F.when(won, 1).otherwise(0).alias("is_won"),
         F.when(closed, 1).otherwise(0).alias("is_closed"),
         F.struct(*LINE_ORDER).alias("_seq"),
-    )
+    ]
 
 
 def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:

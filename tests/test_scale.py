@@ -36,9 +36,9 @@ def test_first_lines_are_those_that_keep_first_finds_in_the_extract(spark, tmp_o
     folder = _tables(spark, tmp_out, lines)
     raw = testdata.raw_opportunities(spark, folder)
     want = sorted(map(str, keep_first(raw, "opportunity_id", ["_seq"]).collect()))
-    first = testdata.as_opportunities(testdata.first_lines(testdata.opportunity_lines(spark, folder)))
+    first = testdata.first_opportunities(testdata.first_lines(testdata.opportunity_lines(spark, folder)))
     testdata.marked_lines(spark, folder).write.parquet(f"{folder}/marked")
-    marked = testdata.as_opportunities(testdata.first_of_marked(spark.read.parquet(f"{folder}/marked")))
+    marked = testdata.first_opportunities(testdata.first_of_marked(spark.read.parquet(f"{folder}/marked")))
     assert sorted(map(str, first.collect())) == want
     assert sorted(map(str, marked.collect())) == want
 
