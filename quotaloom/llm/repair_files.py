@@ -28,6 +28,12 @@ LEAST = 8
 #: A shard is closed at the first document end beyond so many ids; rows of documents dealt to a task.
 SHARD_IDS = 1 << 21
 END_ID = 2
+#: Texts of about so many characters are tokenised at a time: each batch counts its distinct words anew.
+CHUNK_CHARS = 16_000_000
+#: Rules of at most so many ids are spelled out once a shard, before its documents are decoded.
+SHORT = 16
+#: Once so small a share of the symbols may be in a frequent pair, what is replaced is only marked as gone.
+LINK_SHARE = 4
 #: Pairs are first counted in a table of at most 2 ** HASH_BITS buckets.
 HASH_BITS = 20
 
@@ -53,26 +59,25 @@ def compress(ids):
     # Places whose pair may be frequent. All occurrences of a pair come with its newer symbol and later only go, so a pair that was
     # not frequent once never is: its places wait until a neighbour is replaced.
     live = np.arange(len(s) - 1) if len(s) else np.zeros(0, np.int64)
+    after = before = gone = None  # the places next to each one, once symbols that go leave gaps
     while len(live) >= LEAST:
-        a, b = s[live], s[live + 1]
+        a, b = (s[:-1], s[1:]) if len(live) == len(s) - 1 else (s[live], s[live + 1 if after is None else after[live]])
         bits = min(HASH_BITS, len(live).bit_length() + 1)
-        h = _bucket(a, b, bits)
+        h = _bucket(a, b, bits).astype(np.int64)
         counts = np.bincount(h, minlength=1 << bits)
         many = np.flatnonzero(counts >= LEAST)
         batch = max(RULES_PER_ROUND, len(many) // 4)
         if not len(many):
             break
-        stays = counts[h] >= LEAST
-        if not stays.all():
-            live, a, b, h = live[stays], a[stays], b[stays], h[stays]
+        rule_of = np.full(1 << bits, -2, np.int32)
+        rule_of[many] = -1
         if len(many) > batch:
             many = many[np.argpartition(counts[many], len(many) - batch)[-batch:]]
         # A bucket has one rule a round, for the pair seen there last, mostly its most frequent one; others wait.
-        rule_of = np.full(1 << bits, -1, np.int32)
         rule_of[many] = np.arange(len(many))
         r = rule_of[h]
-        at = np.flatnonzero(r >= 0)
-        r = r[at]
+        stays, at = r > -2, np.flatnonzero(r >= 0)
+        r = r[at].astype(np.int64)
         seen = np.empty(len(many), np.int64)
         seen[r] = at
         fits = (a[at] == a[seen][r]) & (b[at] == b[seen][r])
@@ -84,58 +89,111 @@ def compress(ids):
             fits = often[r]
             at, r = at[fits], number[r[fits]]
         else:  # buckets that fill up with different pairs: count those exactly
-            pairs, r, n = np.unique(a.astype(np.uint64) << np.uint64(32) | b, return_inverse=True, return_counts=True)
+            full = np.flatnonzero(stays)
+            pairs, r, n = np.unique(a[full].astype(np.uint64) << np.uint64(32) | b[full], return_inverse=True, return_counts=True)
             often = n >= LEAST
             if not often.any():
                 break
             at = np.flatnonzero(often[r])
-            r = (np.cumsum(often) - 1)[r[at]]
+            r, at = (np.cumsum(often) - 1)[r[at]], full[at]
             left, right = (pairs[often] >> np.uint64(32)).astype(np.uint32), pairs[often].astype(np.uint32)
-        at = live[at]
+        at, live = live[at], live[stays]
         new_run = np.ones(len(at), bool)
-        new_run[1:] = at[1:] != at[:-1] + 1
-        run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - run_start) % 2 == 0
+        new_run[1:] = at[1:] != (at[:-1] + 1 if after is None else after[at[:-1]])
+        run_start = np.flatnonzero(new_run)
+        run_start = np.repeat(run_start, np.diff(run_start, append=len(at)))
+        take = (np.arange(len(at)) - run_start) & 1 == 0
         at, r = at[take], r[take]
         base = FIRST_RULE + sum(rounds)
         s[at] = base + r
         may = np.zeros(len(s), bool)
         may[live] = True
         may[at] = True
-        may[np.maximum(at - 1, 0)] = True
-        keep = np.ones(len(s), bool)
-        keep[at + 1] = False
-        s, may = s[keep], may[keep]
-        may[-1] = False
-        live = np.flatnonzero(may)
+        if after is None:
+            may[np.maximum(at - 1, 0)] = True
+            keep = np.ones(len(s), bool)
+            keep[at + 1] = False
+            s, may = s[keep], may[keep]
+            may[-1] = False
+            live = np.flatnonzero(may)
+            if LINK_SHARE * len(live) < len(s):
+                after, before, gone = np.arange(1, len(s) + 1), np.arange(-1, len(s)), np.zeros(len(s), bool)
+        else:
+            may[np.maximum(before[at], 0)] = True
+            taken = after[at]
+            gone[taken], may[taken] = True, False
+            after[at] = after[taken]
+            before[after[at]] = at
+            live = np.flatnonzero(may)
+            live = live[after[live] < len(s)]
         known = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
         size = lambda x: np.where(x >= FIRST_RULE, known[np.maximum(x.astype(np.int64) - FIRST_RULE, 0)] if len(known) else 1, 1)
         lengths.append(size(left) + size(right))
         rules.append(np.stack([left, right], 1))
         rounds.append(len(left))
     none = np.zeros((0, 2), np.uint32)
+    s = s if gone is None else s[~gone]
     return s, np.concatenate(rules) if rules else none, rounds, np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
 
 
+def _by_pairs(s, at, rules):
+    """``s`` with the rules at ``at`` replaced by their pairs."""
+    import numpy as np
+
+    size = np.ones(len(s), np.int64)
+    size[at] = 2
+    out, first = np.repeat(s, size), at + np.arange(len(at))
+    pair = rules[s[at].astype(np.int64) - FIRST_RULE]
+    out[first], out[first + 1] = pair[:, 0], pair[:, 1]
+    return out
+
+
 def expand(symbols, rules):
     """The ids that ``symbols`` stand for: all rules at once by their pairs, as often as the grammar is deep."""
     import numpy as np
 
     s = symbols
     while True:
-        is_rule = s >= FIRST_RULE
-        at = np.flatnonzero(is_rule)
+        at = np.flatnonzero(s >= FIRST_RULE)
         if not len(at):
             return s
-        out = np.repeat(s, 1 + is_rule)
-        first = at + np.arange(len(at))
-        pair = rules[s[at].astype(np.int64) - FIRST_RULE]
-        out[first], out[first + 1] = pair[:, 0], pair[:, 1]
-        s = out
+        s = _by_pairs(s, at, rules)
+
+
+def spell(symbols, rules, expansions):
+    """(every id and every short rule's ids as bytes, the first rule's row there, which rules are not short)."""
+    import numpy as np
+
+    long = expansions > SHORT
+    top = max(int(x[x < FIRST_RULE].max(initial=0)) for x in (symbols, rules)) + 1
+    plain = np.arange(top, dtype="<u4")
+    ids = np.concatenate([plain, expand((FIRST_RULE + np.flatnonzero(~long)).astype("<u4"), rules)])
+    sizes = np.concatenate([[0], np.ones(top, np.int64), np.where(long, 0, expansions)])
+    ends = pa.py_buffer(4 * np.cumsum(sizes))
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes) - 1, [None, ends, pa.py_buffer(ids)]), top, long
+
+
+def expand_spelled(symbols, rules, spelled):
+    """As ``expand``, with the short rules looked up."""
+    import numpy as np
+
+    ids, first, long = spelled
+    s = symbols
+    while True:
+        at = np.flatnonzero(s >= FIRST_RULE)
+        at = at[long[s[at].astype(np.int64) - FIRST_RULE]]
+        if not len(at):
+            break
+        s = _by_pairs(s, at, rules)
+    row = s.astype(np.int64)
+    row[row >= FIRST_RULE] += first - FIRST_RULE
+    out = ids.take(pa.array(row))
+    n = np.frombuffer(out.buffers()[1], np.int64, len(row) + 1)[-1] // 4
+    return np.frombuffer(out.buffers()[2] or b"", "<u4", n)
 
 
-def decode_range(symbols, rules, expansions, start: int, stop: int, ends=None):
-    """Ids ``start`` to ``stop`` of a shard, from the symbols that cover them; ``ends``: of symbols, if known."""
+def decode_range(symbols, rules, expansions, start: int, stop: int, ends=None, spelled=None):
+    """Ids ``start`` to ``stop`` of a shard, from the symbols that cover them; ``ends``: of symbols, and ``spelled`` rules, if known."""
     import numpy as np
 
     if ends is None:
@@ -144,7 +202,8 @@ def decode_range(symbols, rules, expansions, start: int, stop: int, ends=None):
     if stop <= start:
         return np.zeros(0, np.uint32)
     before = ends[i - 1] if i else 0
-    return expand(symbols[i:j], rules)[start - before : stop - before]
+    out = expand(symbols[i:j], rules) if spelled is None else expand_spelled(symbols[i:j], rules, spelled)
+    return out[start - before : stop - before]
 
 
 def symbol_ends(symbols, expansions):
@@ -190,7 +249,7 @@ def write_shards(
 
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in chunks(texts.to_pylist()):
+            for a, b in chunks(texts.to_pylist(), CHUNK_CHARS):
                 for doc, got in zip(doc_ids[a:b], enc.ids(texts.slice(a, b - a).to_pylist()), strict=True):
                     held.append(got + end)
                     ids.append(doc)
@@ -237,14 +296,14 @@ def read_documents(shards: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
                 s = unpack(row)
-                ends = symbol_ends(s["symbols"], s["expansions"])
+                ends, spelled = symbol_ends(s["symbols"], s["expansions"]), spell(s["symbols"], s["rules"], s["expansions"])
                 stops = np.cumsum(s["doc_lengths"])
                 n = len(stops)
                 step = max(1, n // 16)
                 for a in range(0, n, step):  # a few documents at a time, each run of them by its own range
                     b = min(n, a + step)
                     first = int(stops[a] - s["doc_lengths"][a])
-                    ids = decode_range(s["symbols"], s["rules"], s["expansions"], first, int(stops[b - 1]), ends)
+                    ids = decode_range(s["symbols"], s["rules"], s["expansions"], first, int(stops[b - 1]), ends, spelled)
                     data = ids.astype("<u4").tobytes()
                     cut = [(int(stops[k] - s["doc_lengths"][k]), int(stops[k])) for k in range(a, b)]
                     docs = [None if d == NO_ID else d for d in s["doc_ids"][a:b].tolist()]

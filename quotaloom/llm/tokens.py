@@ -24,8 +24,51 @@ CHUNK_CHARS = 4_000_000
 #: Stands between words where a text is cut; texts that hold it are left to the library.
 PART = "\0"
 
+#: Parts of words that a byte-level worker remembers, the latest used ones.
+KNOWN_PARTS = 500_000
+
 _before_space = re.compile(r"(?<=\S)(?= )")
 _space_run = re.compile(r"\s ")
+_two_spaces = re.compile(r"\s\s")
+# A run of white space stays with what follows it, as its last character goes there; a lone line end is a token.
+_edges = re.compile(r"(?<=\S)(?=[ \n])|(?<=\S\n)(?=\S)")
+#: A run of letters, with its space, and what follows it; both are cut there by the byte-level pattern, which looks behind nowhere.
+_LETTERS = r"(?s)^(?P<letters> ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>[\n-@\[-`{-~].*)?$"
+
+
+class KnownParts:
+    """Ids of parts of words in Arrow columns, those used last first."""
+
+    def __init__(self, most: int):
+        import pyarrow as pa
+
+        self.most = most
+        self.parts, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def ids_of(self, parts, encode):
+        """Ids (large binary) of distinct ``parts`` (large string); ``encode`` gives those of a list of unknown ones."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        place = pc.index_in(parts, value_set=self.parts)
+        known = place.is_valid()
+        unseen = parts.filter(pc.invert(known))
+        ids = pa.concat_arrays([self.ids, pa.array(encode(unseen.to_pylist()), pa.large_binary())])
+        at = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        hit = known.to_numpy(zero_copy_only=False)
+        at[~hit] = len(self.parts) + np.arange(len(unseen))
+        out = ids.take(pa.array(at))
+        short = pc.less_equal(pc.utf8_length(parts), CACHE_CHARS)
+        unused = np.ones(len(self.parts), bool)
+        unused[at[hit]] = False
+        unused = pa.array(unused)
+        self.parts = pa.concat_arrays([parts.filter(short), self.parts.filter(unused)])
+        self.ids = pa.concat_arrays([out.filter(short), self.ids.filter(unused)])
+        if len(self.parts) > self.most:  # copied, as a slice would hold all of it
+            first = pa.array(np.arange(self.most))
+            self.parts, self.ids = self.parts.take(first), self.ids.take(first)
+        return out
 
 
 class WordEncoder:
@@ -49,12 +92,24 @@ class WordEncoder:
         alone = lambda w: self.tokenizer.encode(w, add_special_tokens=False).ids
         self.spaceless = all(alone(w) == alone("a") for w in (" a", "  a", "\na"))
         # Letters and the mark after them are separate words to the library's pattern; some fold case first.
-        self.begins = None
+        self.begins = self.columns = self.newline = None
         self.marks = ".," if self._encode(["a.", "a,"]) == self._join([["a", "."], ["a", ","]]) else ""
         self.begins = None if self.spaceless else self._begins()
         self.caseless = self._encode(["aB", "AB"]) == self._encode(["ab"]) * 2
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        if self._byte_level():
+            self.columns = KnownParts(KNOWN_PARTS)
+            self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def _byte_level(self) -> bool:
+        """Whether words are cut by the library's byte-level pattern alone, which parts letters, digits, marks and white space."""
+        import json
+
+        spec = json.loads(self.tokenizer.to_str())
+        cut = spec["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+        return bool(plain and not spec["normalizer"] and not any(a[:1].isalpha() for a in self.added))
 
     def _begins(self):
         """By id, whether a token starts with the byte of a space, as the byte-level alphabet writes it."""
@@ -108,6 +163,19 @@ class WordEncoder:
                 out[i] = data[cuts[k] : cuts[k + 1]]
         ordinary = set(plain)
         rest = [i for i in range(len(words)) if i not in ordinary]
+        if self.newline and len(self.newline) == 1:  # a line each: a line's end between other characters is a token
+            lines = [i for i in rest if words[i].isprintable() and words[i] and " " not in words[i]]
+            for at in range(0, len(lines), JOINED):
+                part = lines[at : at + JOINED]
+                got = self.tokenizer.encode_batch_fast(["\n".join([words[i] for i in part])], add_special_tokens=False)[0].ids
+                ids = np.array(got, "<u4")
+                ends = np.flatnonzero(ids == self.newline[0])
+                if len(ends) == len(part) - 1:
+                    ordinary.update(part)
+                    data, first = ids.tobytes(), [0, *(4 * ends + 4).tolist()]
+                    for i, a, b in zip(part, first, [*(4 * ends).tolist(), len(data)], strict=True):
+                        out[i] = data[a:b]
+            rest = [i for i in rest if i not in ordinary]
         for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         return out
@@ -122,6 +190,8 @@ class WordEncoder:
     def _words(self, text: str) -> list[str]:
         if self.spaceless:
             return text.replace("\n", " ").split(" ")
+        if self.columns:
+            return self._parted(text).split(PART)
         if _space_run.search(text):
             return _before_space.split(text)
         words = text.split(" ")
@@ -144,6 +214,8 @@ class WordEncoder:
         # Distinct words are found, and the ids of all words put together, a column at a time.
         rows = pc.split_pattern(pa.array([self._parted(t) for t in texts], pa.large_string()), PART)
         coded = pc.dictionary_encode(rows.flatten())
+        if self.columns:
+            return self._put_together(rows, coded)
         ids = self._ids_of_words(coded.dictionary.to_pylist())
         data, code = np.frombuffer(b"".join(ids), "<u4"), coded.indices.to_numpy(zero_copy_only=False)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -158,12 +230,34 @@ class WordEncoder:
         """The words of ``split`` with PART between them, for a text that holds none itself."""
         if self._holds_added(text):
             return PART.join(self.split(text))
+        if self.columns:
+            if _two_spaces.search(text):
+                return PART.join(_edges.split(text))
+            return text.replace("\n", f"{PART}\n{PART}").replace(" ", f"{PART} ")
         if self.spaceless:
             return text.replace("\n", PART).replace(" ", PART)
         if _space_run.search(text):
             return PART.join(_before_space.split(text))
         return text.replace(" ", PART + " ")
 
+    def _put_together(self, rows, coded) -> list[bytes]:
+        """Ids of each text, from the words of all: a word's letters and what follows them are looked up apart."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = coded.dictionary
+        cut = pc.extract_regex(words, _LETTERS)
+        letters = pc.coalesce(pc.struct_field(cut, "letters"), words)
+        rest = pc.coalesce(pc.struct_field(cut, "rest"), pa.scalar("", pa.large_string()))
+        both = pc.dictionary_encode(pa.concat_arrays([letters, rest]))
+        ids = self.columns.ids_of(both.dictionary, self._encode).take(both.indices)
+        of_words = pc.binary_join_element_wise(ids.slice(0, len(words)), ids.slice(len(words)), pa.scalar(b"", pa.large_binary()))
+        of_texts = of_words.take(coded.indices)
+        _, offsets, data = of_texts.buffers()
+        ends = memoryview(offsets).cast("q")
+        cuts, data = [ends[k] for k in rows.offsets.to_pylist()], memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+
     def _ids_of_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, from memory or the library."""
         new, old = self.new, self.old
