@@ -9,6 +9,7 @@ documents. Any range of ids is decoded without the rest, from the symbols that c
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,11 +30,11 @@ LEAST = 8
 SHARD_IDS = 1 << 21
 END_ID = 2
 #: Texts of about so many characters are tokenised at a time: each batch counts its distinct words anew.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 32_000_000
 #: Rules of at most so many ids are spelled out once a shard, before its documents are decoded.
 SHORT = 16
 #: Once so small a share of the symbols may be in a frequent pair, what is replaced is only marked as gone.
-LINK_SHARE = 4
+LINK_SHARE = 2
 #: Pairs are first counted in a table of at most 2 ** HASH_BITS buckets.
 HASH_BITS = 20
 
@@ -248,9 +249,9 @@ def write_shards(
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in chunks(texts.to_pylist(), CHUNK_CHARS):
-                for doc, got in zip(doc_ids[a:b], enc.ids(texts.slice(a, b - a).to_pylist()), strict=True):
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for a, b in chunks(texts, CHUNK_CHARS):
+                for doc, got in zip(doc_ids[a:b], enc.ids(texts[a:b]), strict=True):
                     held.append(got + end)
                     ids.append(doc)
                     lengths.append(len(got) // 4 + 1)
@@ -286,8 +287,9 @@ def unpack(row: dict) -> dict:
     return out | {"rules": out["rules"].reshape(-1, 2), "rule_rounds": out["rule_rounds"].tolist()}
 
 
-def read_documents(shards: DataFrame) -> DataFrame:
-    """Decode a shard table: doc_id, part, shard, place (in its shard), n_tokens, ids (binary, little-endian uint32)."""
+def read_documents(shards: DataFrame, only_crc: bool = False) -> DataFrame:
+    """Decode a shard table: doc_id, part, shard, place (in its shard), n_tokens, ids (binary, little-endian uint32), or those bytes' ids_crc32."""
+    last = "ids_crc32" if only_crc else "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -304,8 +306,9 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     b = min(n, a + step)
                     first = int(stops[a] - s["doc_lengths"][a])
                     ids = decode_range(s["symbols"], s["rules"], s["expansions"], first, int(stops[b - 1]), ends, spelled)
-                    data = ids.astype("<u4").tobytes()
+                    data = memoryview(ids.astype("<u4").tobytes())
                     cut = [(int(stops[k] - s["doc_lengths"][k]), int(stops[k])) for k in range(a, b)]
+                    each = [data[4 * (x - first) : 4 * (y - first)] for x, y in cut]
                     docs = [None if d == NO_ID else d for d in s["doc_ids"][a:b].tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -314,12 +317,12 @@ def read_documents(shards: DataFrame) -> DataFrame:
                             pa.array([row["shard"]] * (b - a), pa.int32()),
                             pa.array([x for x, _ in cut], pa.int64()),
                             pa.array([y - x for x, y in cut], pa.int64()),
-                            pa.array([data[4 * (x - first) : 4 * (y - first)] for x, y in cut], pa.binary()),
+                            pa.array([zlib.crc32(d) for d in each], pa.int64()) if only_crc else pa.array([bytes(d) for d in each], pa.binary()),
                         ],
-                        names=["doc_id", "part", "shard", "place", "n_tokens", "ids"],
+                        names=["doc_id", "part", "shard", "place", "n_tokens", last],
                     )
 
-    return shards.mapInArrow(run, "doc_id long, part long, shard int, place long, n_tokens long, ids binary")
+    return shards.mapInArrow(run, f"doc_id long, part long, shard int, place long, n_tokens long, {last} {'long' if only_crc else 'binary'}")
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
@@ -334,7 +337,7 @@ def shard_starts(shards: DataFrame) -> DataFrame:
 
 def document_index(shards: DataFrame) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, decoded from the files."""
-    docs = read_documents(shards).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    docs = read_documents(shards, only_crc=True)
     return docs.join(shard_starts(shards), ["part", "shard"]).select(
         "doc_id", (F.col("shard_start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"
     )

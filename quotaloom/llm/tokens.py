@@ -34,6 +34,10 @@ _two_spaces = re.compile(r"\s\s")
 _edges = re.compile(r"(?<=\S)(?=[ \n])|(?<=\S\n)(?=\S)")
 #: A run of letters, with its space, and what follows it; both are cut there by the byte-level pattern, which looks behind nowhere.
 _LETTERS = r"(?s)^(?P<letters> ?[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>[\n-@\[-`{-~].*)?$"
+#: Two characters that Python or the library takes for white space.
+_SPACE_RUN = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]{2}"
+_SPACED = r"^ [!-~À-ÿ]+$"
+_BARE = r"^[!-~À-ÿ]+$"
 
 
 class KnownParts:
@@ -46,7 +50,7 @@ class KnownParts:
         self.parts, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def ids_of(self, parts, encode):
-        """Ids (large binary) of distinct ``parts`` (large string); ``encode`` gives those of a list of unknown ones."""
+        """Ids (large binary) of distinct ``parts`` (large string); ``encode`` gives those of unknown ones."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -54,7 +58,7 @@ class KnownParts:
         place = pc.index_in(parts, value_set=self.parts)
         known = place.is_valid()
         unseen = parts.filter(pc.invert(known))
-        ids = pa.concat_arrays([self.ids, pa.array(encode(unseen.to_pylist()), pa.large_binary())])
+        ids = pa.concat_arrays([self.ids, encode(unseen)])
         at = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         hit = known.to_numpy(zero_copy_only=False)
         at[~hit] = len(self.parts) + np.arange(len(unseen))
@@ -100,16 +104,17 @@ class WordEncoder:
         self.old: dict[str, bytes] = {}
         if self._byte_level():
             self.columns = KnownParts(KNOWN_PARTS)
-            self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+            newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+            self.newline = newline[0] if len(newline) == 1 else None
 
     def _byte_level(self) -> bool:
         """Whether words are cut by the library's byte-level pattern alone, which parts letters, digits, marks and white space."""
         import json
 
-        spec = json.loads(self.tokenizer.to_str())
-        cut = spec["pre_tokenizer"] or {}
+        rule = self.tokenizer.pre_tokenizer
+        cut = json.loads(rule.__getstate__()) if rule else {}
         plain = cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
-        return bool(plain and not spec["normalizer"] and not any(a[:1].isalpha() for a in self.added))
+        return bool(plain and not self.tokenizer.normalizer and not any(a[:1].isalpha() for a in self.added))
 
     def _begins(self):
         """By id, whether a token starts with the byte of a space, as the byte-level alphabet writes it."""
@@ -163,23 +168,49 @@ class WordEncoder:
                 out[i] = data[cuts[k] : cuts[k + 1]]
         ordinary = set(plain)
         rest = [i for i in range(len(words)) if i not in ordinary]
-        if self.newline and len(self.newline) == 1:  # a line each: a line's end between other characters is a token
-            lines = [i for i in rest if words[i].isprintable() and words[i] and " " not in words[i]]
-            for at in range(0, len(lines), JOINED):
-                part = lines[at : at + JOINED]
-                got = self.tokenizer.encode_batch_fast(["\n".join([words[i] for i in part])], add_special_tokens=False)[0].ids
-                ids = np.array(got, "<u4")
-                ends = np.flatnonzero(ids == self.newline[0])
-                if len(ends) == len(part) - 1:
-                    ordinary.update(part)
-                    data, first = ids.tobytes(), [0, *(4 * ends + 4).tolist()]
-                    for i, a, b in zip(part, first, [*(4 * ends).tolist(), len(data)], strict=True):
-                        out[i] = data[a:b]
-            rest = [i for i in rest if i not in ordinary]
         for i, e in zip(rest, self.tokenizer.encode_batch([words[i] for i in rest], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 
+    def _encode_column(self, words):
+        """Ids (large binary) of a large string column of distinct words; ordinary ones go to the library many at a time."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        spaced = pc.match_substring_regex(words, _SPACED).to_numpy(zero_copy_only=False)
+        bare = pc.match_substring_regex(words, _BARE).to_numpy(zero_copy_only=False) & (self.newline is not None)
+        order, columns = [], []
+        for kind, chosen in ((0, spaced), (1, bare), (2, ~(spaced | bare))):
+            places = np.flatnonzero(chosen)
+            column = words.take(pa.array(places))
+            ids, sizes = [], []
+            for at in range(0, len(column), JOINED):
+                part = column.slice(at, JOINED)
+                got = cut = None
+                if kind < 2:
+                    # A word with its space begins with the only token that does; a line's end between other characters is a token.
+                    text = ("\n" * kind).join(part.to_pylist())
+                    got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                    ends = got == self.newline if kind else None
+                    first = np.flatnonzero(self.begins[got]) if not kind else np.concatenate([[0], np.flatnonzero(ends) + 1])
+                    if len(first) == len(part):
+                        cut = np.diff(first, append=len(got) + kind) - kind
+                        got = got[~ends] if kind else got
+                if cut is None:
+                    each = self._encode(part.to_pylist())
+                    got, cut = np.frombuffer(b"".join(each), "<u4"), np.fromiter(map(len, each), np.int64, len(each)) // 4
+                ids.append(got)
+                sizes.append(cut)
+            if ids:
+                offsets = np.concatenate([[0], np.cumsum(4 * np.concatenate(sizes))]).astype(np.int64)
+                data = [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(ids))]
+                order.append(places)
+                columns.append(pa.Array.from_buffers(pa.large_binary(), len(places), data))
+        if not columns:
+            return pa.array([], pa.large_binary())
+        return pa.concat_arrays(columns).take(pa.array(np.argsort(np.concatenate(order))))
+
     def split(self, text: str) -> list[str]:
         """Words and literals of added tokens."""
         if not self._holds_added(text):
@@ -212,7 +243,7 @@ class WordEncoder:
         import pyarrow.compute as pc
 
         # Distinct words are found, and the ids of all words put together, a column at a time.
-        rows = pc.split_pattern(pa.array([self._parted(t) for t in texts], pa.large_string()), PART)
+        rows = pc.split_pattern(self._all_parted(pa.array(texts, pa.large_string())), PART)
         coded = pc.dictionary_encode(rows.flatten())
         if self.columns:
             return self._put_together(rows, coded)
@@ -226,6 +257,22 @@ class WordEncoder:
         out, cuts = data[place].tobytes(), (4 * ends[rows.offsets.to_numpy(zero_copy_only=False)]).tolist()
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _all_parted(self, texts):
+        """``_parted`` of a column; byte-level texts without runs of white space or added tokens are cut in Arrow."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.columns:
+            return pa.array([self._parted(t) for t in texts.to_pylist()], pa.large_string())
+        odd = pc.match_substring_regex(texts, _SPACE_RUN)
+        for a in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, a))
+        plain = pc.replace_substring(pc.replace_substring(texts, "\n", f"{PART}\n{PART}"), " ", f"{PART} ")
+        if not pc.any(odd).as_py():
+            return plain
+        others = pa.array([self._parted(t) for t in texts.filter(odd).to_pylist()], pa.large_string())
+        return pc.replace_with_mask(plain, odd, others)
+
     def _parted(self, text: str) -> str:
         """The words of ``split`` with PART between them, for a text that holds none itself."""
         if self._holds_added(text):
@@ -250,7 +297,7 @@ class WordEncoder:
         letters = pc.coalesce(pc.struct_field(cut, "letters"), words)
         rest = pc.coalesce(pc.struct_field(cut, "rest"), pa.scalar("", pa.large_string()))
         both = pc.dictionary_encode(pa.concat_arrays([letters, rest]))
-        ids = self.columns.ids_of(both.dictionary, self._encode).take(both.indices)
+        ids = self.columns.ids_of(both.dictionary, self._encode_column).take(both.indices)
         of_words = pc.binary_join_element_wise(ids.slice(0, len(words)), ids.slice(len(words)), pa.scalar(b"", pa.large_binary()))
         of_texts = of_words.take(coded.indices)
         _, offsets, data = of_texts.buffers()
