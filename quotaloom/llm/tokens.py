@@ -243,7 +243,7 @@ class WordEncoder:
         import pyarrow.compute as pc
 
         # Distinct words are found, and the ids of all words put together, a column at a time.
-        rows = pc.split_pattern(self._all_parted(pa.array(texts, pa.large_string())), PART)
+        rows = pc.split_pattern(self._all_parted(texts), PART)
         coded = pc.dictionary_encode(rows.flatten())
         if self.columns:
             return self._put_together(rows, coded)
@@ -257,13 +257,14 @@ class WordEncoder:
         out, cuts = data[place].tobytes(), (4 * ends[rows.offsets.to_numpy(zero_copy_only=False)]).tolist()
         return [out[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _all_parted(self, texts):
-        """``_parted`` of a column; byte-level texts without runs of white space or added tokens are cut in Arrow."""
+    def _all_parted(self, texts: list[str]):
+        """A column of ``_parted`` texts; byte-level texts without runs of white space or added tokens are cut in Arrow."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
         if not self.columns:
-            return pa.array([self._parted(t) for t in texts.to_pylist()], pa.large_string())
+            return pa.array([self._parted(t) for t in texts], pa.large_string())
+        texts = pa.array(texts, pa.large_string())
         odd = pc.match_substring_regex(texts, _SPACE_RUN)
         for a in self.added:
             odd = pc.or_(odd, pc.match_substring(texts, a))
